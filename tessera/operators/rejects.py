@@ -136,7 +136,8 @@ def _judge(column: pa.Array, width: int, with_fields: bool) -> tuple[list, list[
     data, offsets = data[base : offsets[-1]], offsets - base
     f_start, f_end, first, bad = structural_index(data, offsets[:-1], offsets[1:])
     raw = data.tobytes()
-    counts = np.diff(first)
+    counts, bad = np.diff(first).tolist(), bad.tolist()
+    first, f_start, f_end = first.tolist(), f_start.tolist(), f_end.tolist()
     reasons: list = [None] * n
     fields: list[list] | None = [[None] * n for _ in range(width)] if with_fields else None
     for i in range(n):
