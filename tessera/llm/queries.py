@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.addresses import address_pairs
 from tessera.llm.leaks import leaks
 from tessera.llm.packing import pack_documents
 from tessera.llm.splitting import split_documents
@@ -14,6 +15,10 @@ from tessera.session import table
 CAPACITY, LIMIT, OVERLAP = 2048, 512, 64
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return address_pairs(*(table(spark, sf, n) for n in ("staging_korzet", "canonical_address", "address_mapping", "polling_station")))
+
+
 def p6_survivors(spark: SparkSession, sf: str) -> DataFrame:
     """One surviving record per group, put together field by field."""
     return survivors(table(spark, sf, "canonical_address"), table(spark, sf, "address_mapping"), table(spark, sf, "source_trust"))
@@ -42,7 +47,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_survivors, p7_packing, p8_found, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_survivors, p7_packing, p8_found, p9_found, p9_pieces)}
 
 _UNKNOWN = ", ".join(f"'{u}'" for u in UNKNOWN)
 _KNOWN = lambda c: f"CASE WHEN lower(trim({c})) NOT IN ({_UNKNOWN}) THEN trim({c}) END"
