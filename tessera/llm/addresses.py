@@ -270,7 +270,7 @@ def neighbours(forms: DataFrame, window: int = WINDOW) -> DataFrame:
             yield t.loc[t["cost"] < 9, ["a", "b", "cost"]]
 
     pairs = pairs.select("a", "b", *(F.col(f"f{f}.{p}").alias(f"{side}_{p}") for f, side in (("a", "x"), ("b", "y")) for p in FORM))
-    scored = pairs.mapInPandas(score, "a long, b long, cost double")
+    scored = cut(pairs.mapInPandas(score, "a long, b long, cost double"))
     return scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
 
 
@@ -288,11 +288,11 @@ def resolve_streets(forms: DataFrame) -> DataFrame:
     edges = near.join(ra, "a").join(rb, "b")
     slip = F.col("cost") >= 1.5
     up = edges.where((F.col("ra") < F.col("rb")) & (~slip | (F.col("sa") <= F.greatest(F.lit(2), F.col("sb") / 8))))
-    best = up.withColumn("least", F.min("cost").over(Window.partitionBy("a"))).where("cost <= least + 0.01").select("a", "b").distinct()
+    best = cut(up.withColumn("least", F.min("cost").over(Window.partitionBy("a"))).where("cost <= least + 0.01").select("a", "b").distinct())
     # Two more steps lead variants of variants to their roots.
     for _ in range(2):
         further = best.select(F.col("a").alias("b"), F.col("b").alias("c"))
-        best = best.join(further, "b", "left").select("a", F.coalesce("c", "b").alias("b")).distinct()
+        best = cut(best.join(further, "b", "left").select("a", F.coalesce("c", "b").alias("b")).distinct())
     return forms.select("form_id").join(best.withColumnRenamed("a", "form_id"), "form_id", "left").select("form_id", F.coalesce("b", "form_id").alias("root"))
 
 
@@ -327,19 +327,19 @@ def same_places(records: DataFrame, extra_forms: DataFrame | None = None) -> Dat
     )
     roots = resolve_streets(cut(forms))
     options = roots.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("form_id")))
-    joined = parsed.select("kind_of_record", "id", "form_id", "number", "spot").join(options, "form_id")
+    joined = cut(parsed.select("kind_of_record", "id", "form_id", "number", "spot").join(options, "form_id"))
     sure = joined.where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
     # With several streets to choose from, the one that has such a place decides, if it is the only one.
     places = sure.where("number != ''").select("root", "spot").distinct()
     open_ = joined.where("n > 1 AND number != ''").join(places, ["root", "spot"], "left_semi")
     told = open_.groupBy("kind_of_record", "id", "number", "spot").agg(F.min("root").alias("root"), F.count_distinct("root").alias("n")).where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
-    known = sure.unionByName(told)
+    known = cut(sure.unionByName(told))
     # A number left out: the street's only place, within records of that kind.
     single = known.where("number != ''").groupBy("kind_of_record", "root").agg(F.min("spot").alias("low"), F.max("spot").alias("high"))
     single = single.where("low = high").select("kind_of_record", "root", F.col("low").alias("only"))
     bare = known.where("number = ''").join(single, ["kind_of_record", "root"], "left").withColumn("spot", F.coalesce("only", F.lit("")))
     every = known.where("number != ''").select("kind_of_record", "id", "root", "spot").unionByName(bare.select("kind_of_record", "id", "root", "spot"))
-    return every.select("kind_of_record", "id", F.xxhash64("root", "spot").alias("place")).distinct()
+    return cut(every.select("kind_of_record", "id", F.xxhash64("root", "spot").alias("place")).distinct())
 
 
 def pairs_of(places: DataFrame) -> DataFrame:
