@@ -55,7 +55,8 @@ ROMAN = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5", "vi": "6", "vii":
 BUILDING = re.compile(r"(?:^|[\s,.;])([0-9a-z]{1,4})\.?\s*(?:epulet|epul|ep)\b\.?")
 STAIRCASE = re.compile(r"(?:^|[\s,.;])([0-9a-z]{1,5})\.?\s*(?:lepcsohaz|lephaz|lph|lh)\b\.?")
 SPACED_RANGE = re.compile(r"(?<=\d)\s*[-–—]\s*(?=\d)")
-SPACED_SLASH = re.compile(r"(?<=\d)\s*/\s*(?=[a-z0-9])")
+SPACED_SLASH = re.compile(r"(?<=\d)\s*/\s*(?=[a-z0-9])", re.I)
+POINTED_LETTER = re.compile(r"(?<=\d)\.(?=[a-z]\b)|(?<=\d) (?=[a-z]\.?$)", re.I)
 
 
 def fold(text: str) -> str:
@@ -94,7 +95,7 @@ def one_error(a: str, b: str, limit: int) -> int:
 
 def house_parts(text: str) -> tuple[str, str] | None:
     """(number or range, letter) without leading zeros, or None if the text is no house number."""
-    m = NUMBER.match(SPACED_SLASH.sub("/", SPACED_RANGE.sub("-", fold(text).strip(" ."))).replace(" ", ""))
+    m = NUMBER.match(POINTED_LETTER.sub("/", SPACED_SLASH.sub("/", SPACED_RANGE.sub("-", fold(text).strip(" .")))).replace(" ", ""))
     if not m or (m[3] and m[4]):
         return None
     first, last = m[1].lstrip("0"), (m[2] or "").lstrip("0")
@@ -115,6 +116,8 @@ def stair(text: str) -> str:
 
 def type_of(word: str) -> str | None:
     w = fold(word).strip(".,")
+    if len(w) == 1 and not word.isascii():
+        return None  # an abbreviated first word
     if w in TYPE_OF:
         return TYPE_OF[w]
     if len(w) >= 4:
@@ -125,7 +128,7 @@ def type_of(word: str) -> str | None:
 
 def street_parts(text: str, station: bool = False) -> tuple[str, str | None, str | None]:
     """(street name, street type, house number text) read from a text that may hold all of them in any order."""
-    t = SPACED_SLASH.sub("/", SPACED_RANGE.sub("-", re.sub(r"\s+", " ", unicodedata.normalize("NFC", text)).strip()))
+    t = POINTED_LETTER.sub("/", SPACED_SLASH.sub("/", SPACED_RANGE.sub("-", re.sub(r"\s+", " ", unicodedata.normalize("NFC", text)).strip())))
     if station:
         t = _address_part(t)
     words = [w for w in re.split(r"[\s,;()]+", t) if w and w.strip("-–.\"'")]
@@ -144,7 +147,7 @@ def street_parts(text: str, station: bool = False) -> tuple[str, str | None, str
             break
     if kind is None and words and at is None:
         at = -1
-    name = [w for k, w in enumerate(words) if k not in (place, at)]
+    name = [w for k, w in enumerate(words) if k not in (place, at) and not (place is not None and w[0].isdigit() and house_parts(w))]
     if station:
         if at is not None and at >= 0 and place == 0 and at > 1:
             name = words[1:at]  # number, street, type, institution
