@@ -48,7 +48,7 @@ TYPES = {
 TYPE_OF = {w: t for t, words in TYPES.items() for w in words}
 # Words of institutions that stations are in, without accents; the beginning of the word decides.
 INSTITUTION = re.compile(
-    r"^(gimn|iskola|isk$|altalanos|alt$|ovoda|ov$|konyvtar|kvtar|kozseghaza|kozs|kozshaza|faluhaz|muvelodesi|muv$|muvhaz|mh$|kulturhaz|kult$|kulthaz|haz$|haza$|sportcs|tuzolto|tuzo|szertar|polgarmesteri|polg|polgm|hivatal|hiv$|idosek|klubja|kl$|csarnok)"
+    r"^(gimn|iskola|isk$|altalanos|alt$|ovoda|ov$|konyvtar|kvtar|kozseghaza|kozs|kozshaza|faluhaz|muvelodesi|muv$|muvhaz|mh$|kulturhaz|kult$|kulthaz|haz$|haza$|sportcs|tuzolto|tuzo$|szertar|polgarmesteri|polg|polgm|hivatal|hiv$|idosek|klubja|kl$|csarnok)"
 )
 NUMBER = re.compile(r"^(\d{1,6})(?:[-–—](\d{1,6}))?(?:/([a-z0-9]{1,4}))?([a-z]{0,2})\.?$")
 ROMAN = {"i": "1", "ii": "2", "iii": "3", "iv": "4", "v": "5", "vi": "6", "vii": "7", "viii": "8", "ix": "9", "x": "10"}
