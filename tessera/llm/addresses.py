@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import blank_to_empty, cut
 
+CACHED = 1 << 16  # texts whose reading each worker keeps
 WINDOW = 10  # forms that a form is compared with on either side, in each order
 BLOCK = 3  # letters of the sort key that neighbours share; each order begins elsewhere in the name
 
@@ -59,6 +61,7 @@ SPACED_SLASH = re.compile(r"(?<=\d)\s*/\s*(?=[a-z0-9])", re.I)
 POINTED_LETTER = re.compile(r"(?<=\d)\.(?=[a-z]\b)|(?<=\d) (?=[a-z]\.?$)", re.I)
 
 
+@functools.lru_cache(CACHED)
 def fold(text: str) -> str:
     """Without accents and case."""
     return "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c))
@@ -93,6 +96,7 @@ def one_error(a: str, b: str, limit: int) -> int:
     return min(row[-1], limit + 1)
 
 
+@functools.lru_cache(CACHED)
 def house_parts(text: str) -> tuple[str, str] | None:
     """(number or range, letter) without leading zeros, or None if the text is no house number."""
     m = NUMBER.match(POINTED_LETTER.sub("/", SPACED_SLASH.sub("/", SPACED_RANGE.sub("-", fold(text).strip(" .")))).replace(" ", ""))
@@ -104,16 +108,19 @@ def house_parts(text: str) -> tuple[str, str] | None:
     return (f"{first}-{last}" if last and last != first else first), (m[3] or m[4] or "").lstrip("0").upper()
 
 
+@functools.lru_cache(CACHED)
 def unit(text: str) -> str:
     t = fold(text).strip(" .")
     return t.lstrip("0").upper() if t else ""
 
 
+@functools.lru_cache(CACHED)
 def stair(text: str) -> str:
     t = fold(text).strip(" .")
     return ROMAN.get(t, t.lstrip("0").upper())
 
 
+@functools.lru_cache(CACHED)
 def type_of(word: str) -> str | None:
     w = fold(word).strip(".,")
     if len(w) == 1 and not word.isascii():
@@ -126,6 +133,7 @@ def type_of(word: str) -> str | None:
     return None
 
 
+@functools.lru_cache(CACHED)
 def street_parts(text: str, station: bool = False) -> tuple[str, str | None, str | None]:
     """(street name, street type, house number text) read from a text that may hold all of them in any order."""
     t = POINTED_LETTER.sub("/", SPACED_SLASH.sub("/", SPACED_RANGE.sub("-", re.sub(r"\s+", " ", unicodedata.normalize("NFC", text)).strip())))
@@ -181,6 +189,21 @@ def _address_like(t: str) -> int:
     return 2 * any(w[0].isdigit() for w in words) + any(type_of(w) is not None for w in words) - 2 * any(INSTITUTION.match(fold(w).strip(".").replace(".", "")) is not None for w in words)
 
 
+@functools.lru_cache(CACHED)
+def name_parts(name: str) -> tuple[str, str, str, str, str]:
+    """(accented, folded, first word, abbreviation, rest of the folded name) of a street name."""
+    words = [w for w in re.split(r"[\s\-–]+", name) if w]
+    abbreviation, rest = "", ""
+    first = fold(words[0]) if words else ""
+    if len(words) > 1 and (first.endswith(".") and len(first) <= 5 or len(first) == 1):
+        abbreviation = first.strip(".")
+        rest = "".join(c for w in words[1:] for c in fold(w) if c.isalnum())
+    accented = "".join(c for w in words for c in unicodedata.normalize("NFC", w.casefold()) if c.isalnum())
+    folded = "".join(c for w in words for c in fold(w) if c.isalnum())
+    head = "".join(c for c in first if c.isalnum()) if len(words) > 1 else ""
+    return accented, folded, head, abbreviation, rest
+
+
 def read_address(street: str, kind: str, house: str, building: str, stairs: str, full: str, mode: str) -> tuple:
     """(accented name, folded name, abbreviation, rest of the folded name, type, number, unit, staircase) of one way of writing."""
     station = mode == "station"
@@ -199,15 +222,7 @@ def read_address(street: str, kind: str, house: str, building: str, stairs: str,
         h = house_parts(number)
     number, letter = h or ("", "")
     units = "|".join(u for u in (letter, b) if u)
-    words = [w for w in re.split(r"[\s\-–]+", name) if w]
-    abbreviation, rest = "", ""
-    first = fold(words[0]) if words else ""
-    if len(words) > 1 and (first.endswith(".") and len(first) <= 5 or len(first) == 1):
-        abbreviation = first.strip(".")
-        rest = "".join(c for w in words[1:] for c in fold(w) if c.isalnum())
-    accented = "".join(c for w in words for c in unicodedata.normalize("NFC", w.casefold()) if c.isalnum())
-    folded = "".join(c for w in words for c in fold(w) if c.isalnum())
-    head = "".join(c for c in first if c.isalnum()) if len(words) > 1 else ""
+    accented, folded, head, abbreviation, rest = name_parts(name)
     return accented, folded, head, abbreviation, rest, found or given or "", number, units, s
 
 
