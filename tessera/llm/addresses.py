@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import blank_to_empty, cut
 
+PLAIN = str.maketrans("áéíóöőúüűä", "aeiooouuua")
 CACHED = 1 << 16  # texts whose reading each worker keeps
 WINDOW = 10  # forms that a form is compared with on either side, in each order
 BLOCK = 3  # letters of the sort key that neighbours share; each order begins elsewhere in the name
@@ -64,6 +65,9 @@ POINTED_LETTER = re.compile(r"(?<=\d)\.(?=[a-z]\b)|(?<=\d) (?=[a-z]\.?$)", re.I)
 @functools.lru_cache(CACHED)
 def fold(text: str) -> str:
     """Without accents and case."""
+    quick = text.casefold().translate(PLAIN)
+    if quick.isascii():
+        return quick
     return "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c))
 
 
@@ -211,9 +215,9 @@ def read_address(street: str, kind: str, house: str, building: str, stairs: str,
     text = full if mode in ("station", "full") and full else street
     if mode == "full" and full:
         low = fold(full)
-        if m := STAIRCASE.search(low):
+        if "l" in low and (m := STAIRCASE.search(low)):
             s, text, low = s or stair(m[1]), text[: m.start()] + " " + text[m.end() :], low[: m.start()] + " " + low[m.end() :]
-        if m := BUILDING.search(low):
+        if "ep" in low and (m := BUILDING.search(low)):
             b, text = b or unit(m[1]), text[: m.start()] + " " + text[m.end() :]
     name, found, number = street_parts(text, station)
     given = type_of(kind) if kind else None
