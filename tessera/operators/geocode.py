@@ -94,8 +94,8 @@ def best_fuzzy(left: DataFrame, right: DataFrame, block: str, left_text: str, ri
 
     The texts of a block are compared once each: equal texts are collapsed to their smallest id first.
     """
-    a = left.select(block, F.col(left_id).alias("left_id"), F.col(left_text).alias("a"))
-    b = right.groupBy(block, F.col(right_text).alias("b")).agg(F.min(right_id).alias("right_id"))
-    pairs = a.select(block, "a").distinct().join(b, block).withColumn("similarity", byte_similarity(F.col("a"), F.col("b"))).where(F.col("similarity") >= least)
-    best = pairs.groupBy(block, "a").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "right_id")).alias("m"))
-    return a.join(best, [block, "a"]).select("left_id", F.col("m.right_id").alias("right_id"), (-F.col("m.s")).alias("similarity"))
+    a = left.select(F.col(block).alias("__block"), F.col(left_id).alias("left_id"), F.col(left_text).alias("__a"))
+    b = right.groupBy(F.col(block).alias("__block"), F.col(right_text).alias("__b")).agg(F.min(right_id).alias("right_id"))
+    pairs = a.select("__block", "__a").distinct().join(b, "__block").withColumn("similarity", byte_similarity(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= least)
+    best = pairs.groupBy("__block", "__a").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "right_id")).alias("m"))
+    return a.join(best, ["__block", "__a"]).select("left_id", F.col("m.right_id").alias("right_id"), (-F.col("m.s")).alias("similarity"))
