@@ -273,14 +273,14 @@ def _row_schema(kind: str) -> str:
     return f"doc {kind}, item int, starts array<int>, places array<long>, sizes array<int>"
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, item_bytes: int = 64 << 20) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, item_bytes: int = 64 << 20, standing_share: float = STANDING_SHARE, standing_least: int = STANDING_LEAST) -> DataFrame:
     """Documents that carry at least ``least_words`` words in a row of an item's own wording.
 
     Result: distinct rows of ``key``, ``item_key``, and ``words`` and ``changes`` of the longest stretch found.
     Case, accents, punctuation, markup, escapes and line breaks do not matter; up to one word in ten may be
     changed, dropped or added; other text may stand between two pieces. Stretches of at least
-    ``STANDING_RUN`` words that more than ``STANDING_SHARE`` of all documents carry (and at least
-    ``STANDING_LEAST``) do not count. Null and empty texts leak nothing; rows without key are left out;
+    ``STANDING_RUN`` words that at least the ``standing_share`` of all documents carry (and at least
+    ``standing_least``) do not count. Null and empty texts leak nothing; rows without key are left out;
     repeated documents give one row; empty tables give none. Other columns are not read. The items are
     gathered and sent to all tasks, up to ``item_bytes`` of text; more are taken in several passes over
     the documents, so that the size of a broadcast stays bounded.
@@ -290,17 +290,17 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     size = tests.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     passes = max(1, -(-int(size) // item_bytes))
     kind = documents.schema[key].dataType.simpleString()
-    n_docs = documents.count()
+    high = max(standing_least, standing_share * documents.count())
     found = None
     for p in range(passes):
         part = tests.where(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == p).orderBy("k", "t").collect()
-        one = _leaks_of(documents, [r["k"] for r in part], [r["t"] for r in part], key, text, kind, n_docs, least_words)
+        one = _leaks_of(documents, [r["k"] for r in part], [r["t"] for r in part], key, text, kind, high, least_words)
         found = one if found is None else found.unionByName(one)
     item_kind = items.schema[item_key].dataType.simpleString()
     return found.select(F.col("doc").alias(key), F.col("item_id").cast(item_kind).alias(item_key), "words", "changes").groupBy(key, item_key).agg(F.max("words").alias("words"), F.min("changes").alias("changes"))
 
 
-def _leaks_of(documents: DataFrame, ids: list, texts: list[str], key: str, text: str, kind: str, n_docs: int, least_words: int) -> DataFrame:
+def _leaks_of(documents: DataFrame, ids: list, texts: list[str], key: str, text: str, kind: str, high: float, least_words: int) -> DataFrame:
     spark = documents.sparkSession
     index = Items(ids, texts)
     shared = spark.sparkContext.broadcast(index)
@@ -330,7 +330,6 @@ def _leaks_of(documents: DataFrame, ids: list, texts: list[str], key: str, text:
     steps = long.select("item", F.explode(F.array(F.struct(F.col("starts").alias("at"), F.lit(1).alias("step")), F.struct((F.col("starts") + F.col("sizes")).alias("at"), F.lit(-1).alias("step")))).alias("s"))
     steps = steps.groupBy("item", F.col("s.at").alias("at")).agg(F.sum("s.step").alias("step"))
     w = Window.partitionBy("item").orderBy("at")
-    high = max(STANDING_LEAST, STANDING_SHARE * n_docs)
     standing = (
         steps.withColumn("carried", F.sum("step").over(w)).withColumn("next", F.lead("at").over(w)).where(F.col("carried") >= high)
         .groupBy("item").agg(F.flatten(F.collect_list(F.sequence("at", F.col("next") - 1))).alias("standing"))
