@@ -168,7 +168,7 @@ def record(house='"000001"', street='"Anna"', n=17, tail=""):
 
 
 RECORDS = [
-    (record(), None), (record() + "\r", None), (record(tail='"a; ""b"""'), None), (record(street='"An""na"""'), None), (record().replace('"', ""), None), (record(street='"An\nna; x"'), None),
+    (record(), None), (record() + "\r", None), (record(tail='"a; ""b"""'), None), (record(street='"An""na"""'), None), (record().replace('"', ""), None), (record(street='"An; na"').replace('"01"', '"0\n1"', 1), None), (record(street='"An\nna"'), "invalid_value"),
     (record(house='""'), None), (record(house='" 000001-00005/D "'), None), (record(street='An"na'), "quoting"), (record(street='"Anna'), "quoting"), (record(street='"An"na"'), "quoting"), (record(street='Anna"'), "quoting"),
     (record(n=16), "column_count"), (record(n=18), "column_count"), ("", "column_count"), (None, "column_count"), (" ", "column_count"), (record(house='"1//A"'), "invalid_value"), (record(house='"0000001"'), "invalid_value"), (record(house='"１"'), "invalid_value"),
     (record(street='""'), "invalid_value"), (record(street='"NULL"'), "invalid_value"), (record(street='"#REF!"'), "invalid_value"), (record(street='"FehÃ©r"'), "invalid_value"), (record(street='"Felsõ"'), "invalid_value"), (record(street='"A​nna"'), "invalid_value"), (record(street='"An�na"'), "invalid_value"), (record(street='"Őszirózsa"'), None),
@@ -181,7 +181,7 @@ def test_records(spark):
     assert got.columns == ["record_id", "reason", *STAGING_COLUMNS]
     by = {r.record_id: r for r in got.collect()}
     assert [by[i].reason for i in range(len(RECORDS))] == [w for _, w in RECORDS]
-    assert by[2].additional_info == 'a; "b"' and by[3].street_name == 'An"na"' and by[8].street_name is None
+    assert by[2].additional_info == 'a; "b"' and by[3].street_name == 'An"na"' and by[9].street_name is None
     assert parse_records(df.limit(0), with_fields=False).count() == 0
     with pytest.raises(ValueError):
         parse_records(df, keep=("reason",))
