@@ -19,12 +19,12 @@ def staging_schema() -> T.StructType:
 def read_staging_csv(spark: SparkSession, path: str, run_tag: str, tolerant: bool = True) -> DataFrame:
     """A delivery in CSV by column position: ``;``, quoted, with header and byte-order mark, 18 fields.
 
-    ``tolerant`` drops rows that do not fit; to keep them with a reason, use ``parse_records``. An empty
+    ``tolerant`` drops rows that do not fit (whatever columns a query reads, hence no pruning in the parser); to keep them with a reason, use ``parse_records``. An empty
     ``tevk_code`` is read as null, other empty fields as empty text.
     """
     df = (
         spark.read.schema(staging_schema()).option("sep", ";").option("header", True).option("enforceSchema", True).option("quote", '"')
-        .option("escape", '"').option("encoding", "UTF-8").option("mode", "DROPMALFORMED" if tolerant else "FAILFAST").csv(path)
+        .option("escape", '"').option("encoding", "UTF-8").option("columnPruning", False).option("mode", "DROPMALFORMED" if tolerant else "FAILFAST").csv(path)
     )
     tidy = [F.coalesce(F.trim(F.col(c)), F.lit("")).alias(c) if c != "tevk_code" else F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) for c in STAGING_COLUMNS]
     return df.select(F.lit(run_tag).alias("run_tag"), *tidy)
