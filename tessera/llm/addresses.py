@@ -27,6 +27,8 @@ from tessera.session import blank_to_empty, cut
 PLAIN = str.maketrans("áéíóöőúüűä", "aeiooouuua")
 CACHED = 1 << 16  # texts whose reading each worker keeps
 WINDOW = 10  # forms that a form is compared with on either side, in each order
+ANCHORS = 6  # common forms that a rare form is compared with on either side, in each order
+ANCHOR_SUPPORT = 3
 BLOCK = 3  # letters of the sort key that neighbours share; each order begins elsewhere in the name
 
 # Street types and their ways of writing, without accents and case.
@@ -266,8 +268,12 @@ def penalty(a: tuple, b: tuple) -> float:
     return cost + 2 * d
 
 
-def neighbours(forms: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Similar forms of one area, found in three orders: (``a``, ``b``, ``cost``), every pair in both directions at most once per order."""
+def neighbours(forms: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
+    """Similar forms of one area, found in three orders: (``a``, ``b``, ``cost``), every pair in both directions.
+
+    A window holds the next ``window`` forms and the ``anchors`` nearest common forms on either side; a form is
+    common if it is complete and seen with at least ``ANCHOR_SUPPORT`` numbers.
+    """
     name = F.when(F.col("abbreviation") != "", F.col("rest")).otherwise(F.col("folded"))
     last_first = F.when(F.col("abbreviation") != "", F.concat("rest", "abbreviation")).when(F.col("head") != "", F.concat(F.expr("substring(folded, length(head) + 1)"), "head")).otherwise(F.col("folded"))
     orders = F.array(
@@ -276,12 +282,19 @@ def neighbours(forms: DataFrame, window: int = WINDOW) -> DataFrame:
         F.struct(F.lit(2).alias("pass"), last_first.alias("sort_key")),
     )
     form = F.struct(*FORM).alias("form")
-    keyed = forms.select("area", "form_id", form, F.explode(orders).alias("o")).select("area", "form_id", "form", F.col("o.pass").alias("pass"), F.col("o.sort_key").alias("sort_key"))
-    w = Window.partitionBy("area", "pass", F.substring("sort_key", 1, BLOCK)).orderBy("sort_key", "form_id").rowsBetween(1, window)
-    ahead = keyed.withColumn("near", F.collect_list(F.struct("form_id", "form")).over(w)).where(F.size("near") > 0)
+    anchor = (F.col("support") >= ANCHOR_SUPPORT) & (F.col("abbreviation") == "") & (F.col("kind") != "")
+    keyed = forms.select("area", "form_id", form, anchor.alias("anchor"), F.explode(orders).alias("o"))
+    keyed = keyed.select("area", "form_id", "form", "anchor", F.col("o.pass").alias("pass"), F.col("o.sort_key").alias("sort_key")).withColumn("block", F.substring("sort_key", 1, BLOCK))
+    w = Window.partitionBy("area", "pass", "block").orderBy("sort_key", "form_id")
+    placed = keyed.withColumn("near", F.collect_list(F.struct("form_id", "form")).over(w.rowsBetween(1, window))).withColumn("at", F.sum(F.col("anchor").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = cut(placed)
+    next_forms = placed.select(F.col("form_id").alias("a"), F.col("form").alias("fa"), F.explode("near").alias("n")).select("a", "fa", F.col("n.form_id").alias("b"), F.col("n.form").alias("fb"))
+    # However many rare forms crowd a window, the nearest common ones are in it too.
+    seek = placed.where("NOT anchor").select("area", "pass", "block", F.col("form_id").alias("a"), F.col("form").alias("fa"), F.explode(F.sequence(F.col("at") - anchors + 1, F.col("at") + anchors)).alias("at"))
+    common = placed.where("anchor").select("area", "pass", "block", "at", F.col("form_id").alias("b"), F.col("form").alias("fb"))
+    pairs = next_forms.unionByName(seek.join(common, ["area", "pass", "block", "at"]).select("a", "fa", "b", "fb"))
     # Cheap test in the JVM: the shorter of two names, or what is left of an abbreviated one, is close in letters.
     bare = lambda f: F.when(f["abbreviation"] != "", f["rest"]).otherwise(f["folded"])
-    pairs = ahead.select("form_id", "form", F.explode("near").alias("n")).select(F.col("form_id").alias("a"), F.col("form").alias("fa"), F.col("n.form_id").alias("b"), F.col("n.form").alias("fb"))
     short = (F.col("fa.abbreviation") != "") | (F.col("fb.abbreviation") != "")
     pairs = pairs.where(((F.col("fa.kind") == F.col("fb.kind")) | (F.col("fa.kind") == "") | (F.col("fb.kind") == "")) & (short | (F.levenshtein(bare(F.col("fa")), bare(F.col("fb")), 2) >= 0))).distinct()
 
