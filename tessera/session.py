@@ -48,10 +48,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# White space of any kind, and two invisible signs that come with copied text.
+WHITE = "".join(map(chr, [0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
+
+
 def strip(c: Column | str) -> Column:
     """Remove white space of any kind at both ends (plain ``trim`` removes blanks only)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, r"^[\s\p{Z}\x{FEFF}\x{200B}]+|[\s\p{Z}\x{FEFF}\x{200B}]+$", "")
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(WHITE))
 
 
 def blank_to_empty(c: Column | str) -> Column:
