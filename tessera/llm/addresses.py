@@ -33,7 +33,7 @@ BLOCK = 3  # letters of the sort key that neighbours share; each order begins el
 
 # Street types and their ways of writing, without accents and case.
 TYPES = {
-    "utca": ["utca", "u", "utcza", "uca", "utcaja", "str"],
+    "utca": ["utca", "u", "utcza", "uca", "uta", "utc", "utcaja", "str"],
     "ut": ["ut", "utja"],
     "ter": ["ter", "tere", "t"],
     "koz": ["koz", "kz"],
@@ -159,8 +159,13 @@ def street_parts(text: str, station: bool = False) -> tuple[str, str | None, str
                 continue  # an abbreviated first word
             kind, at = found, k
             break
-    if kind is None and words and at is None:
-        at = -1
+    # A long type may have grown together with the name before it.
+    if kind is None and words:
+        k = next((k for k in range(len(words) - 1, -1, -1) if k != place), 0)
+        for ending in ("utca", "setany", "lejto"):
+            w = words[k].rstrip(".")
+            if fold(w).endswith(ending) and len(w) >= len(ending) + 4 and len(fold(w)) == len(w):
+                kind, words[k] = ending, w[: -len(ending)]
     name = [w for k, w in enumerate(words) if k not in (place, at) and not (place is not None and w[0].isdigit() and house_parts(w))]
     if station:
         if at is not None and at >= 0 and place == 0 and at > 1:
@@ -369,10 +374,9 @@ def same_places(records: DataFrame, extra_forms: DataFrame | None = None) -> Dat
     open_ = joined.where("n > 1 AND number != ''").join(places, ["root", "spot"], "left_semi")
     told = open_.groupBy("kind_of_record", "id", "number", "spot").agg(F.min("root").alias("root"), F.count_distinct("root").alias("n")).where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
     known = cut(sure.unionByName(told))
-    # A number left out: the street's only place, within records of that kind.
-    single = known.where("number != ''").groupBy("kind_of_record", "root").agg(F.min("spot").alias("low"), F.max("spot").alias("high"))
-    single = single.where("low = high").select("kind_of_record", "root", F.col("low").alias("only"))
-    bare = known.where("number = ''").join(single, ["kind_of_record", "root"], "left").withColumn("spot", F.coalesce("only", F.lit("")))
+    # A number left out: the street's only place, within records of that kind; of several none can be meant.
+    ends = known.where("number != ''").groupBy("kind_of_record", "root").agg(F.min("spot").alias("low"), F.max("spot").alias("high"))
+    bare = known.where("number = ''").join(ends, ["kind_of_record", "root"], "left").where("low IS NULL OR low = high").withColumn("spot", F.coalesce("low", F.lit("")))
     every = known.where("number != ''").select("kind_of_record", "id", "root", "spot").unionByName(bare.select("kind_of_record", "id", "root", "spot"))
     return cut(every.select("kind_of_record", "id", F.xxhash64("root", "spot").alias("place")).distinct())
 

@@ -67,5 +67,10 @@ behind AS (SELECT a.g, a.id FROM m a WHERE NOT EXISTS (
     OR (a.staircase IS NULL AND b.staircase IS NOT NULL) OR (a.pir_code IS NULL AND b.pir_code IS NOT NULL) OR (a.point IS NULL AND b.point IS NOT NULL))))
 SELECT g AS canonical_address_id, min(id) AS original_address_id FROM behind GROUP BY g HAVING count(*) = 1"""
 
-_TOKENS = r"""('s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+)"""
-ORACLE = {"p6_found": _P6_FOUND}
+_BEST = lambda c: f"first({c} ORDER BY {c} IS NOT NULL DESC, rank DESC, time DESC, {c} DESC) AS {c}"
+_P6_SURVIVORS = _P6 + f"""
+SELECT g AS canonical_address_id, n_records, accessibility_flag, building, staircase, pir_code, point.latitude AS latitude, point.longitude AS longitude, latest, w.original_address_id AS whole_record_id
+FROM (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_flag", "building", "staircase", "pir_code", "point")))},
+      CASE WHEN max(time) > -1e18::BIGINT THEN make_timestamp(max(time)) END AS latest FROM m GROUP BY g) s
+LEFT JOIN ({_P6_FOUND}) w ON w.canonical_address_id = s.g"""
+ORACLE = {"p6_found": _P6_FOUND, "p6_survivors": _P6_SURVIVORS}
