@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import geo as G
@@ -109,17 +109,19 @@ def street_interpolation(spark, sf):
     return r.select("id", F.round("new_latitude", 7).alias("new_latitude"), F.round("new_longitude", 7).alias("new_longitude"), "new_source")
 
 
-@query("""
-WITH b AS (SELECT p_brand, p_name AS b, min(p_partkey) AS right_id FROM part GROUP BY 1, 2),
-a AS (SELECT p_brand, p_partkey AS left_id, reverse(p_name) AS a FROM part),
-s AS (SELECT left_id, right_id, 1 - levenshtein(lower(a), lower(b)) / greatest(length(a), length(b))::DOUBLE AS similarity FROM a JOIN b USING (p_brand))
-SELECT left_id, right_id, round(similarity, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY similarity DESC, right_id) AS n FROM s WHERE similarity >= 0.3) WHERE n = 1""")
+_AREA = "county_code || '|' || settlement_name"
+@query(f"""
+WITH a AS (SELECT DISTINCT {_AREA} AS area, trim(street_name) AS a FROM canonical_address WHERE trim(street_name) <> ''),
+b AS (SELECT DISTINCT trim(county_code) || '|' || trim(settlement_name) AS area, trim(street_name) AS b FROM staging_korzet WHERE trim(street_name) <> ''),
+s AS (SELECT area, a, b, 1 - levenshtein(lower(a), lower(b)) / greatest(length(a), length(b))::DOUBLE AS similarity FROM a JOIN b USING (area))
+SELECT area, a AS street, b AS match, round(similarity, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY area, a ORDER BY similarity DESC, b) AS n FROM s WHERE similarity >= 0.6) WHERE n = 1""")
 def fuzzy_best_match(spark, sf):
-    p = table(spark, sf, "part")
-    left = p.select("p_brand", F.reverse("p_name").alias("a_name"), F.col("p_partkey").alias("l"))
-    right = p.select("p_brand", F.col("p_name").alias("b_name"), F.col("p_partkey").alias("r"))
-    r = best_fuzzy(left, right, "p_brand", "a_name", "b_name", "l", "r", 0.3)
-    return r.select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
+    """The most similar street of a settlement's staging records for every street of its canonical ones; distinct names only."""
+    area = lambda c, n: F.concat(c, F.lit("|"), n).alias("area")
+    left = table(spark, sf, "canonical_address").select(area(F.col("county_code"), F.col("settlement_name")), F.trim("street_name").alias("a")).where("a != '' AND area IS NOT NULL").distinct()
+    right = staging(spark, sf).select(area(F.trim("county_code"), F.trim("settlement_name")), F.trim("street_name").alias("b")).where("b != '' AND area IS NOT NULL").distinct()
+    r = best_fuzzy(left.withColumn("id", F.struct("area", "a")), right, "area", "a", "b", "id", "b", 0.6)
+    return r.select(F.col("left_id.area").alias("area"), F.col("left_id.a").alias("street"), F.col("right_id").alias("match"), F.round("similarity", 6).alias("similarity"))
 
 
 @query("SELECT county_code, settlement_name, round(avg(latitude), 8) AS latitude, round(avg(longitude), 8) AS longitude, count(*) AS n FROM canonical_address WHERE geocoding_quality IN ('exact', 'street') AND latitude IS NOT NULL GROUP BY 1, 2")
@@ -203,8 +205,8 @@ def wide_denormalised_view(spark, sf):
 @query("SELECT coalesce(geocoding_quality, 'none') AS quality, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4) AS percent FROM canonical_address GROUP BY 1")
 def quality_distribution(spark, sf):
     g = table(spark, sf, "canonical_address").groupBy(F.coalesce("geocoding_quality", F.lit("none")).alias("quality")).agg(F.count(F.lit(1)).alias("n"))
-    total = g.agg(F.sum("n").alias("total"))
-    return g.join(F.broadcast(total)).select("quality", "n", F.round(100.0 * F.col("n") / F.col("total"), 4).alias("percent"))  # one row
+    total = F.sum("n").over(Window.partitionBy())  # over the few groups, not over the rows
+    return g.select("quality", "n", F.round(100.0 * F.col("n") / total, 4).alias("percent"))
 
 
 @query("SELECT id, original_address_id FROM address_mapping WHERE original_address_id IS NOT NULL AND original_address_id NOT IN (SELECT id FROM canonical_address WHERE id IS NOT NULL)")
@@ -215,9 +217,7 @@ def fk_orphans(spark, sf):
 @query("""WITH s AS (SELECT id, county_id, settlement_code, row_number() OVER (PARTITION BY county_id ORDER BY settlement_code, id, loaded_at) AS n FROM settlement WHERE county_id IS NOT NULL),
 pick AS (SELECT DISTINCT id FROM s WHERE n <= 5) SELECT d.id, d.tevk, d.settlement_id FROM settlement_individual_electoral_district d WHERE d.settlement_id IN (SELECT id FROM pick)""")
 def semi_join_subset(spark, sf):
-    s = table(spark, sf, "settlement").where("county_id IS NOT NULL").withColumn("code", F.col("settlement_code"))
-    from pyspark.sql import Window
-
+    s = table(spark, sf, "settlement").where("county_id IS NOT NULL")
     pick = s.withColumn("n", F.row_number().over(Window.partitionBy("county_id").orderBy("settlement_code", "id", "loaded_at"))).where("n <= 5").select(F.col("id").alias("settlement_id")).distinct()
     return table(spark, sf, "settlement_individual_electoral_district").join(pick, "settlement_id", "left_semi").select("id", "tevk", "settlement_id")
 
