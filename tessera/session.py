@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 
 def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session with the settings that tests and the bench use."""
-    return (
+    return shipped(
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tessera")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -25,6 +27,20 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
 
 
+def shipped(spark: SparkSession) -> SparkSession:
+    """The session, its Python workers supplied with this package, so that they need not have it installed."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_tessera_shipped", False):
+        root = Path(__file__).resolve().parent
+        target = os.path.join(sc._temp_dir, f"{root.name}.zip")
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(target)
+        sc._tessera_shipped = True
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the test data or of a lake laid out alike: one Parquet path per table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
