@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.keys import text_of
@@ -84,33 +84,46 @@ def roman(c: Column | str) -> Column:
     return F.when(t.rlike("^[0-9]+$") & n.between(1, 3999), out).otherwise(t)
 
 
+def _address_parts(name: Column, kind: Column, house: Column, building: Column, stairs: Column) -> dict[str, Column]:
+    """What the decision table of ``full_address`` looks at."""
+    raw, b_raw, s_raw = (F.trim(text_of(c)) for c in (house, building, stairs))
+    return {
+        "p": F.trim(F.concat(text_of(name), F.lit(" "), text_of(kind))),
+        "h": clean_house_number(house),
+        "b": F.when(b_raw.rlike(DIGITS), _strip_zeros(b_raw)).otherwise(F.upper(b_raw)),
+        "s": F.when(s_raw.rlike(DIGITS), roman(_strip_zeros(s_raw))).otherwise(F.upper(s_raw)),
+        "slash": raw.contains("/"),
+        "spelled": raw.contains("-") | (b_raw.rlike(DIGITS) & s_raw.rlike(DIGITS)),
+    }
+
+
+def _address_text(p: Column, h: Column, b: Column, s: Column, slash: Column, spelled: Column) -> Column:
+    has_b, has_s = b != "", s != ""
+    building, stairs = F.concat(b, F.lit(". épület")), F.concat(s, F.lit(". lépcsőház"))
+    line = lambda *parts: F.concat(p, *parts)
+    bare = F.when(has_b & has_s, line(F.lit(", "), building, F.lit(" "), stairs)).when(has_b, line(F.lit(", "), building)).when(has_s, line(F.lit(", "), stairs)).otherwise(p)
+    out_of = lambda number: line(F.lit(" "), number, F.lit(". "), building, F.lit(" "), stairs)
+    slashed = F.when(has_b & has_s, out_of(F.substring_index(h, "/", 1))).when(has_s, line(F.lit(" "), h, F.lit(". "), stairs)).otherwise(line(F.lit(" "), h, F.lit(".")))
+    both = F.when(spelled, out_of(h)).otherwise(line(F.lit(" "), h, F.lit("/"), b, F.lit(". "), stairs))
+    single = line(F.lit(" "), h, F.lit("/"), F.when(has_b, b).otherwise(s), F.lit("."))
+    plain = F.when(has_b & has_s, both).when(has_b | has_s, single).otherwise(line(F.lit(" "), h, F.lit(".")))
+    return F.when(h == "", bare).when(slash, slashed).otherwise(plain)
+
+
 def full_address(name: Column, kind: Column, house: Column, building: Column, stairs: Column) -> Column:
     """Formatted address by the decision table over house, building and staircase.
 
     A slash letter gives way to a building if a staircase is named too; a single unit joins the number with a
     slash; two numeric units, or a range, are written out; a slash with a building alone drops the building.
     """
-    raw = F.trim(text_of(house))
-    h = clean_house_number(house)
-    b_raw, s_raw = F.trim(text_of(building)), F.trim(text_of(stairs))
-    numeric = b_raw.rlike(DIGITS) & s_raw.rlike(DIGITS)
-    b = F.when(b_raw.rlike(DIGITS), _strip_zeros(b_raw)).otherwise(F.upper(b_raw))
-    s = F.when(s_raw.rlike(DIGITS), roman(_strip_zeros(s_raw))).otherwise(F.upper(s_raw))
-    p = F.trim(F.concat(text_of(name), F.lit(" "), text_of(kind)))
-    has_b, has_s = b != "", s != ""
-    slash, ranged = raw.contains("/"), raw.contains("-")
-    house_word, stair_word = F.lit(". épület"), F.lit(". lépcsőház")
-    spelled = lambda n: F.concat(p, F.lit(" "), n, F.lit(". "), b, house_word, F.lit(" "), s, stair_word)
-    return (
-        F.when(h == "", F.when(has_b & has_s, F.concat(p, F.lit(", "), b, house_word, F.lit(" "), s, stair_word)).when(has_b, F.concat(p, F.lit(", "), b, house_word)).when(has_s, F.concat(p, F.lit(", "), s, stair_word)).otherwise(p))
-        .when(slash & has_b & has_s, spelled(F.substring_index(h, "/", 1)))
-        .when(slash & has_s & ~has_b, F.concat(p, F.lit(" "), h, F.lit(". "), s, stair_word))
-        .when(~slash & has_b & has_s & (ranged | numeric), spelled(h))
-        .when(~slash & has_b & has_s, F.concat(p, F.lit(" "), h, F.lit("/"), b, F.lit(". "), s, stair_word))
-        .when(~slash & has_b, F.concat(p, F.lit(" "), h, F.lit("/"), b, F.lit(".")))
-        .when(~slash & has_s, F.concat(p, F.lit(" "), h, F.lit("/"), s, F.lit(".")))
-        .otherwise(F.concat(p, F.lit(" "), h, F.lit(".")))
-    )
+    return _address_text(**_address_parts(name, kind, house, building, stairs))
+
+
+def with_full_address(df: DataFrame, name: str, kind: str, house: str, building: str, stairs: str, out: str = "full_address") -> DataFrame:
+    """``df`` with ``full_address`` as a column; what the table looks at is computed once for each row."""
+    parts = _address_parts(*map(F.col, (name, kind, house, building, stairs)))
+    made = df.withColumns({f"__{k}": v for k, v in parts.items()})
+    return made.withColumn(out, _address_text(**{k: F.col(f"__{k}") for k in parts})).drop(*(f"__{k}" for k in parts))
 
 
 def plain_address(*parts: Column) -> Column:

@@ -6,14 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.keys import md5_16
-from tessera.functions.textops import clean_house_number, clean_unit, full_address, normal_text, structure_score
+from tessera.functions.textops import clean_house_number, clean_unit, normal_text, structure_score, with_full_address
 
 
 def with_canonical_id(df: DataFrame) -> DataFrame:
     """Adds the cleaned fields (``house``, ``bldg``, ``stairs``), the formatted address and its ``canonical_address_id``."""
     tidy = df.withColumn("house", clean_house_number("house_number")).withColumn("bldg", clean_unit("building")).withColumn("stairs", clean_unit("staircase"))
-    text = full_address(F.col("street_name"), F.col("street_type"), F.col("house"), F.col("bldg"), F.col("stairs"))
-    tidy = tidy.withColumn("full_address", text)
+    tidy = with_full_address(tidy, "street_name", "street_type", "house", "bldg", "stairs")
     return tidy.withColumn("canonical_address_id", md5_16(F.upper(F.trim("county_code")), normal_text("settlement_name"), normal_text("full_address")))
 
 

@@ -202,7 +202,7 @@ def roman_numerals(spark, sf):
 def full_address_format(spark, sf):
     parts = ["street_name", "street_type", "house_number", "building", "staircase"]
     d = staging(spark, sf).select(*parts).distinct()
-    return d.withColumn("full_address", X.full_address(*map(F.col, parts)))
+    return X.with_full_address(d, *parts)
 
 
 @query("SELECT DISTINCT street_name, street_type, house_number, trim(concat_ws(' ', street_name, street_type, house_number, coalesce(building, ''), coalesce(staircase, ''))) AS plain, CASE WHEN street_name IS NOT NULL THEN trim(regexp_replace(concat_ws(' ', street_name, street_type, house_number, building, staircase), '\\s+', ' ', 'g')) END AS collapsed FROM staging_korzet")
