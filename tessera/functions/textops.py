@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tessera.functions.keys import text_of
 
-DIGITS = "^[0-9]+$"
+def all_digits(c: Column) -> Column:
+    """Whether a text is made of the digits 0 to 9, at least one."""
+    return (c != "") & (F.translate(c, "0123456789", "") == "")
 
 
 def _strip_zeros(c: Column, empty: str = "0") -> Column:
     """Without leading zeros; ``empty`` where nothing is left."""
-    t = F.regexp_replace(c, "^0+", "")
+    t = F.ltrim(c, F.lit("0"))
     return F.when(t == "", F.lit(empty)).otherwise(t)
 
 
@@ -28,7 +30,7 @@ def trim_zeros(c: Column | str, null_value: str | None = "") -> Column:
     left, right = F.substring_index(c, "-", 1), F.substring(c, dash + 1, F.length(c))
     ranged = F.concat(_strip_zeros(left), F.lit("-"), _strip_zeros(right))
     slashed = F.when(c.rlike("^[0-9]+/"), F.concat(_strip_zeros_keep(F.substring_index(c, "/", 1)), F.substring(c, F.instr(c, "/"), F.length(c)))).otherwise(c)
-    out = F.when(dash > 0, ranged).when(c.contains("/"), slashed).when(c.rlike(DIGITS), _strip_zeros(c)).otherwise(c)
+    out = F.when(dash > 0, ranged).when(c.contains("/"), slashed).when(all_digits(c), _strip_zeros(c)).otherwise(c)
     return F.when(c.isNull() | (c == ""), F.lit(null_value) if null_value is not None else c).otherwise(out)
 
 
@@ -48,15 +50,15 @@ def clean_house_number(c: Column | str) -> Column:
     """House number for matching: no leading zeros; empty if it is, or a side of it is, all zeros."""
     t = F.trim(text_of(c))
     base = F.substring_index(t, "/", 1)
-    zero_side = F.exists(F.split(base, "-"), lambda p: (F.regexp_replace(p, "^0+", "") == "") & (F.length(p) > 0))
-    ranged = F.concat(F.array_join(F.transform(F.split(base, "-"), lambda p: F.regexp_replace(p, "^0+", "")), "-"), F.substring(t, F.length(base) + 1, F.length(t)))
-    return F.when(t == "", "").when(zero_side, "").otherwise(ranged)
+    zero_side = F.exists(F.split(base, "-"), lambda p: (F.ltrim(p, F.lit("0")) == "") & (F.length(p) > 0))
+    ranged = F.concat(F.array_join(F.transform(F.split(base, "-"), lambda p: F.ltrim(p, F.lit("0"))), "-"), F.substring(t, F.length(base) + 1, F.length(t)))
+    return F.when(all_digits(t) | (t == ""), F.ltrim(t, F.lit("0"))).when(zero_side, "").otherwise(ranged)
 
 
 def clean_unit(c: Column | str) -> Column:
     """Building or staircase: digits without leading zeros (all zeros are none), otherwise upper case."""
     t = F.trim(text_of(c))
-    return F.when(t.rlike(DIGITS), F.regexp_replace(t, "^0+", "")).otherwise(F.upper(t))
+    return F.when(all_digits(t), F.ltrim(t, F.lit("0"))).otherwise(F.upper(t))
 
 
 def zero_only_to_empty(c: Column | str) -> Column:
@@ -68,7 +70,7 @@ def zero_only_to_empty(c: Column | str) -> Column:
 def strip_leading_zeros_regex(c: Column | str) -> Column:
     """Leading zeros off where another digit from 1 to 9 follows, otherwise unchanged."""
     t = text_of(c)
-    return F.when(t.rlike("^0+[1-9]"), F.regexp_replace(t, "^0+", "")).otherwise(t)
+    return F.when(t.rlike("^0+[1-9]"), F.ltrim(t, F.lit("0"))).otherwise(t)
 
 
 def roman(c: Column | str) -> Column:
@@ -81,7 +83,7 @@ def roman(c: Column | str) -> Column:
         return F.element_at(F.array(*map(F.lit, forms)), (value % 10 + 1).cast("int"))
 
     out = F.concat(F.repeat(F.lit("M"), (n / 1000).cast("int")), digit((n / 100).cast("int"), "C", "D", "M"), digit((n / 10).cast("int"), "X", "L", "C"), digit(n, "I", "V", "X"))
-    return F.when(t.rlike("^[0-9]+$") & n.between(1, 3999), out).otherwise(t)
+    return F.when(all_digits(t) & n.between(1, 3999), out).otherwise(t)
 
 
 def _address_parts(name: Column, kind: Column, house: Column, building: Column, stairs: Column) -> dict[str, Column]:
@@ -90,10 +92,10 @@ def _address_parts(name: Column, kind: Column, house: Column, building: Column,
     return {
         "p": F.trim(F.concat(text_of(name), F.lit(" "), text_of(kind))),
         "h": clean_house_number(house),
-        "b": F.when(b_raw.rlike(DIGITS), _strip_zeros(b_raw)).otherwise(F.upper(b_raw)),
-        "s": F.when(s_raw.rlike(DIGITS), roman(_strip_zeros(s_raw))).otherwise(F.upper(s_raw)),
+        "b": F.when(all_digits(b_raw), _strip_zeros(b_raw)).otherwise(F.upper(b_raw)),
+        "s": F.when(all_digits(s_raw), roman(_strip_zeros(s_raw))).otherwise(F.upper(s_raw)),
         "slash": raw.contains("/"),
-        "spelled": raw.contains("-") | (b_raw.rlike(DIGITS) & s_raw.rlike(DIGITS)),
+        "spelled": raw.contains("-") | (all_digits(b_raw) & all_digits(s_raw)),
     }
 
 

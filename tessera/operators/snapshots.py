@@ -36,7 +36,7 @@ def snapshot_changes(df: DataFrame, snapshot: str, key: str, columns: list[str],
     """
     names = [r[0] for r in df.select(blank_to_empty(F.col(snapshot).cast("string")).alias("s")).distinct().orderBy("s").collect() if r[0]]
     schema = f"`{snapshot}` string, `{key}` string, change_kind string" + ", changed_columns array<string>" * with_columns
-    values = [F.regexp_replace(blank_to_empty(F.col(c).cast("string")), SEPARATOR, " ") for c in columns]
+    values = [F.replace(blank_to_empty(F.col(c).cast("string")), F.lit(SEPARATOR), F.lit(" ")) for c in columns]
     tidy = df.select(
         F.array_position(F.array(*map(F.lit, names)) if names else F.array(F.lit("")), blank_to_empty(F.col(snapshot).cast("string"))).cast("int").alias("at"),
         blank_to_empty(F.col(key).cast("string")).alias("k"),
