@@ -4,15 +4,16 @@ Words (letters and digits without case, accents and marks of presentation) are h
 hashes over fixed masks that leave out some positions of a word window, so that a changed word at such
 a position does not hide a match. Seeds of all documents are looked up among those of the items; around
 hits, whole diagonals of both texts are compared word by word, and documents with enough of an item's
-words in agreement become candidates with their runs of equal words. How many documents carry a
-stretch of an item is counted over the whole corpus; stretches that many carry are standing text and
-do not count. Runs are then chained, allowing a few changed, dropped or added words between them and
+words in agreement become candidates with their runs of equal words. How many different texts carry a
+stretch of an item is counted over the whole corpus, copies under other ids once; stretches that many
+carry are standing text and do not count. Runs are then chained, allowing a few changed, dropped or added words between them and
 one longer piece of other text.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import html
 import re
 import unicodedata
@@ -31,7 +32,7 @@ MASKS = ("111111", "11101111", "110101011")
 LEAST_HITS = 5  # seeds in agreement, before words are counted
 LEAST_COVER = 16  # words of an item in agreement, before a document is a candidate
 STANDING_RUN = 15  # words in a row that make a stretch of standing text
-STANDING_SHARE, STANDING_LEAST = 0.013, 4  # of documents that carry it, and documents at least
+STANDING_SHARE, STANDING_LEAST = 0.013, 4  # of different texts that carry it, and texts at least
 CHUNK_CHARS = 1_000_000
 SPAN = 1 << 32  # room for the difference of two word positions
 
@@ -160,9 +161,27 @@ class Items:
             yield at, pos[np.repeat(low, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)], mask
 
 
-def candidates(items: Items, texts: list[str]) -> Iterator[tuple[int, int, list[int], list[int], list[int]]]:
+def copies(h: np.ndarray, begins: np.ndarray) -> list[int | None]:
+    """One number for each text, equal where all words are; none for texts without words."""
+    return [int.from_bytes(hashlib.blake2b(h[a:b].tobytes(), digest_size=8).digest(), "little", signed=True) if b > a else None for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
+
+
+def spans(starts: list[int], sizes: list[int]) -> tuple[list[int], list[int]]:
+    """Where the long runs of one text begin and end in the item, overlapping ones joined, so that no word counts twice."""
+    froms, tos = [], []
+    for a, n in sorted(zip(starts, sizes)):
+        if n < STANDING_RUN:
+            continue
+        if tos and a <= tos[-1]:
+            tos[-1] = max(tos[-1], a + n)
+        else:
+            froms.append(a)
+            tos.append(a + n)
+    return froms, tos
+
+
+def candidates(items: Items, h: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, list[int], list[int], list[int]]]:
     """(text, item, item positions, text positions, lengths of runs of equal words), for texts that agree with an item in enough words."""
-    h, begins = word_hashes(texts)
     if not len(h):
         return
     n_items, n_words = len(items.ids), len(items.hashes)
@@ -270,7 +289,7 @@ def leaked_words(starts, places, sizes, standing: set[int], bridge: int = 3) ->
 
 
 def _row_schema(kind: str) -> str:
-    return f"doc {kind}, item int, starts array<int>, places array<long>, sizes array<int>"
+    return f"copy long, doc {kind}, item int, starts array<int>, places array<long>, sizes array<int>, froms array<int>, tos array<int>"
 
 
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, item_bytes: int = 64 << 20, standing_share: float = STANDING_SHARE, standing_least: int = STANDING_LEAST) -> DataFrame:
@@ -279,8 +298,8 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     Result: distinct rows of ``key``, ``item_key``, and ``words`` and ``changes`` of the longest stretch found.
     Case, accents, punctuation, markup, escapes and line breaks do not matter; up to one word in ten may be
     changed, dropped or added; other text may stand between two pieces. Stretches of at least
-    ``STANDING_RUN`` words that at least the ``standing_share`` of all documents carry (and at least
-    ``standing_least``) do not count. Null and empty texts leak nothing; rows without key are left out;
+    ``STANDING_RUN`` words that at least the ``standing_share`` of all different texts carry (and at least
+    ``standing_least``) do not count; texts of the same words are one, under however many ids. Null and empty texts leak nothing; rows without key are left out;
     repeated documents give one row; empty tables give none. Other columns are not read. The items are
     gathered and sent to all tasks, up to ``item_bytes`` of text; more are taken in several passes over
     the documents, so that the size of a broadcast stays bounded.
@@ -290,20 +309,22 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     size = tests.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     passes = max(1, -(-int(size) // item_bytes))
     kind = documents.schema[key].dataType.simpleString()
-    high = max(standing_least, standing_share * documents.count())
-    found = None
+    found, high = None, None
     for p in range(passes):
         part = tests.where(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == p).orderBy("k", "t").collect()
-        one = _leaks_of(documents, [r["k"] for r in part], [r["t"] for r in part], key, text, kind, high, least_words)
+        index = Items([r["k"] for r in part], [r["t"] for r in part])
+        cand = cut(_candidates_of(documents, index, key, text, kind))
+        if high is None:  # every pass has all texts
+            high = max(standing_least, standing_share * cand.select("copy").distinct().count())
+        one = _leaks_of(cand.where("item >= 0"), index.ids, kind, high, least_words)
         found = one if found is None else found.unionByName(one)
     item_kind = items.schema[item_key].dataType.simpleString()
     return found.select(F.col("doc").alias(key), F.col("item_id").cast(item_kind).alias(item_key), "words", "changes").groupBy(key, item_key).agg(F.max("words").alias("words"), F.min("changes").alias("changes"))
 
 
-def _leaks_of(documents: DataFrame, ids: list, texts: list[str], key: str, text: str, kind: str, high: float, least_words: int) -> DataFrame:
-    spark = documents.sparkSession
-    index = Items(ids, texts)
-    shared = spark.sparkContext.broadcast(index)
+def _candidates_of(documents: DataFrame, index: Items, key: str, text: str, kind: str) -> DataFrame:
+    """Rows of candidates, and a row with item -1 for each other text that has words."""
+    shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
@@ -316,18 +337,27 @@ def _leaks_of(documents: DataFrame, ids: list, texts: list[str], key: str, text:
                     part.append(column[j] or "")
                     total += len(part[-1])
                     j += 1
-                rows = list(candidates(items, part))
+                h, begins = word_hashes(part)
+                copy = copies(h, begins)
+                rows = [(*r, *spans(r[2], r[4])) for r in candidates(items, h, begins)]
+                seen = {r[0] for r in rows}
+                rows += [(d, -1, [], [], [], [], []) for d, c in enumerate(copy) if c is not None and d not in seen]
                 if rows:
-                    d, it, s, p, z = zip(*rows)
+                    d, it, s, p, z, a, e = zip(*rows)
+                    ints = pa.list_(pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array(np.array(d) + i)), pa.array(it, pa.int32()), pa.array(s, pa.list_(pa.int32())), pa.array(p, pa.list_(pa.int64())), pa.array(z, pa.list_(pa.int32()))],
-                        names=["doc", "item", "starts", "places", "sizes"])
+                        [pa.array([copy[k] for k in d], pa.int64()), keys.take(pa.array(np.array(d) + i)), pa.array(it, pa.int32()), pa.array(s, ints), pa.array(p, pa.list_(pa.int64())), pa.array(z, ints), pa.array(a, ints), pa.array(e, ints)],
+                        names=["copy", "doc", "item", "starts", "places", "sizes", "froms", "tos"])
                 i = j
 
-    cand = cut(documents.select(key, F.col(text).cast("string").alias("__text")).where(f"`{key}` IS NOT NULL AND __text IS NOT NULL").mapInArrow(search, _row_schema(kind)))
-    # How many documents carry each word of an item within a long run: +1 where a run begins, -1 after it.
-    long = cand.select("doc", "item", F.explode(F.arrays_zip("starts", "sizes")).alias("r")).where(F.col("r.sizes") >= STANDING_RUN).select("doc", "item", "r.starts", "r.sizes").distinct()
-    steps = long.select("item", F.explode(F.array(F.struct(F.col("starts").alias("at"), F.lit(1).alias("step")), F.struct((F.col("starts") + F.col("sizes")).alias("at"), F.lit(-1).alias("step")))).alias("s"))
+    return documents.select(key, F.col(text).cast("string").alias("__text")).where(f"`{key}` IS NOT NULL AND __text IS NOT NULL").mapInArrow(search, _row_schema(kind))
+
+
+def _leaks_of(cand: DataFrame, ids: list, kind: str, high: float, least_words: int) -> DataFrame:
+    spark = cand.sparkSession
+    # How many different texts carry each word of an item within a long run: +1 where a run begins, -1 after it.
+    long = cand.select("copy", "item", F.explode(F.arrays_zip("froms", "tos")).alias("r")).select("copy", "item", "r.froms", "r.tos").distinct()
+    steps = long.select("item", F.explode(F.array(F.struct(F.col("froms").alias("at"), F.lit(1).alias("step")), F.struct(F.col("tos").alias("at"), F.lit(-1).alias("step")))).alias("s"))
     steps = steps.groupBy("item", F.col("s.at").alias("at")).agg(F.sum("s.step").alias("step"))
     w = Window.partitionBy("item").orderBy("at")
     standing = (

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.llm.leaks import leaked_words, leaks, plain, word_hashes
+from tessera.llm.leaks import leaked_words, leaks, plain, spans, word_hashes
 from tessera.llm.packing import pack_documents, places, plan
 from tessera.llm.splitting import PARAGRAPH, RangeMaximum, cut_points, split_documents, strengths
 from tessera.llm.tokens import PATTERN, tokenized
@@ -180,6 +180,20 @@ def test_leaks(spark):
     assert leaks(d.limit(0), b).count() == 0 and leaks(d, b.limit(0)).count() == 0
 
 
+def test_copies_do_not_make_standing_text(spark):
+    item, standing = prose(42, 60), prose(77, 40)
+    leak = lambda k: " ".join(prose(k, 30) + item[5:45] + prose(k + 1, 30))
+    rows = [(i, leak(1)) for i in range(60)] + [(60 + i, leak(1).upper()) for i in range(40)] + [(200, leak(300)), (201, leak(400))]
+    rows += [(300 + k, " ".join(prose(1000 + k, 30) + (standing if k < 20 else [])) ) for k in range(200)] + [(500, ""), (501, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(7, " ".join(item + standing))], "item_id long, text string")
+    want = {(i, 7) for i in [*range(100), 200, 201]}
+    assert {(r.doc_id, r.item_id) for r in leaks(d, b).collect()} == want
+    # 20 of the 202 different texts carry it; of the 302 rows they would be less than the share.
+    assert {(r.doc_id, r.item_id) for r in leaks(d, b, standing_share=0.09).collect()} == want
+    assert spans([3, 0, 40], [20, 15, 15]) == ([0, 40], [23, 55]) and spans([0], [5]) == ([], [])
+
+
 def test_presentation():
     same = ["Őszi cím, 12. szám", "ŐSZI CÍM 12 SZÁM", "őszi\ncím-\n12 szám", "\\u0151szi c&iacute;m <b>12</b> szám", "oszi cim 12 szam", "ő­szi cí-\nm 12 szám"]
     hashes = [word_hashes([t])[0].tolist() for t in same]
