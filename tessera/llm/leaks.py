@@ -238,6 +238,8 @@ def leaked_words(starts, places, sizes, standing: set[int], bridge: int = 3) ->
     the item; pieces have at least 8 words, and 15 if words are missing where they part. Changes are at
     most a tenth of the words, in stretches of 50 words or more an eighth; two pieces with changes have 40
     words or more, as sentences of one mould that stand near each other would else be taken for a stretch.
+    Of all stretches that this allows the one with most unchanged words is given, of equals the longest; a
+    chain of runs is only dropped where another is no worse for anything that may follow.
     """
     runs = []
     for i, d, n in sorted(zip(starts, places, sizes)):
@@ -252,42 +254,62 @@ def leaked_words(starts, places, sizes, standing: set[int], bridge: int = 3) ->
             runs.append((i + k, d + k, e - k))
             k = e
     best = (0, 0)
-    # A state: (first item word, item word after, place after, changes, pieces, first word of the piece, words it needs)
-    states: list[tuple[int, int, int, int, int, int, int]] = []
+    if not runs:
+        return best
+    last = max(i + n for i, _, n in runs)
+    # States by where their last run ends in the text, with its end in the item: (first item word, changes) of one
+    # piece, and (first item word, changes, item word from which the second piece is long enough) of two.
+    ones: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}
+    twos: dict[int, list[tuple[int, list[tuple[int, int, int]]]]] = {}
+    # For a second piece, (place, first item word, changes) of one piece by its end in the item: of two states the one
+    # that is no worse in all three opens every second piece that the other opens, and no later.
+    opens: dict[int, list[tuple[int, int, int]]] = {}
     for i, d, n in runs:
-        new = [(i, i + n, d + n, 0, 1, i, 0)]
-        for first, end, place, changes, pieces, begin, need in states:
-            over = max(end - i, place - d, 0)
-            if over >= n:
+        end, place = i + n, d + n
+        one, two = [(i, 0)], []
+        # Only states that end less than ``bridge`` before the run, or within it, can be continued by it.
+        for p in range(d - bridge, place):
+            for table, new in ((ones, one), (twos, two)):
+                for e, states in table.get(p, ()):
+                    over = max(e - i, p - d, 0)
+                    gap = i + over - e
+                    cost = max(gap, d + over - p)
+                    if over < n and cost <= bridge and not any(e + g in standing for g in range(gap)):
+                        new += [(s[0], s[1] + cost, *s[2:]) for s in states]
+        for e in range(i - bridge, end):
+            for p, first, changes in opens.get(e, ()):
+                over = max(e - i, p - d, 0)
+                gap = i + over - e
+                least = 15 if gap else 8
+                if over < n and gap <= bridge < max(gap, d + over - p) and e - first >= least and not any(e + g in standing for g in range(gap)):
+                    two.append((first, changes + gap, i + over + least))
+        # More changes than an eighth of all words that can follow never come right again.
+        one = _foremost([s for s in one if s[1] * 8 <= last - s[0]])
+        two = _foremost([(f, c, max(q, end)) for f, c, q in two if c * 8 <= last - f])
+        for first, changes, *q in one + two:
+            words = end - first
+            if q and (q[0] > end or (changes and words < 40)):
                 continue
-            gap_i, gap_d = i + over - end, d + over - place
-            if gap_i > bridge or any(end + g in standing for g in range(gap_i)):
-                continue
-            cost = max(gap_i, gap_d)
-            if cost <= bridge:
-                new.append((first, i + n, d + n, changes + cost, pieces, begin, need))
-            elif pieces == 1:
-                least = 15 if gap_i else 8
-                if end - begin >= least:
-                    new.append((first, i + n, d + n, changes + gap_i, 2, i + over, least))
-        keep: dict[tuple, tuple] = {}
-        for s in new:
-            words, changes = s[1] - s[0], s[3]
-            if changes > words / 8 + 3:
-                continue
-            key = (s[4], s[3])
-            if key not in keep or keep[key][1] - keep[key][0] < words:
-                keep[key] = s
-            if s[4] == 2 and changes and words < 40:
-                continue
-            if s[1] - s[5] >= s[6] and changes <= words / (10 if words < 50 else 8) and words - changes > best[0] - best[1]:
+            if changes <= words / (10 if words < 50 else 8) and (words - changes, words) > (best[0] - best[1], best[0]):
                 best = (words, changes)
-        states += keep.values()
-        if len(states) > 200:
-            states = sorted(states, key=lambda s: (s[3] - (s[1] - s[0])))[:100] + states[-100:]
+        ones.setdefault(place, []).append((end, one))
+        if two:
+            twos.setdefault(place, []).append((end, two))
+        opens[end] = _foremost(opens.get(end, []) + [(place, *s) for s in one])
     return best
 
 
+def _foremost(states: list[tuple]) -> list[tuple]:
+    """The states that no other is at least as low as in every entry."""
+    if len(states) < 2:
+        return states
+    kept: list[tuple] = []
+    for s in sorted(set(states)):  # one that is no higher than another in all entries comes before it
+        if not any(all(x <= y for x, y in zip(k, s)) for k in kept):
+            kept.append(s)
+    return kept
+
+
 def _row_schema(kind: str) -> str:
     return f"copy long, doc {kind}, item int, starts array<int>, places array<long>, sizes array<int>, froms array<int>, tos array<int>"
 

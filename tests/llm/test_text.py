@@ -208,3 +208,57 @@ def test_leaked_words():
     assert leaked_words([15, 0], [10, 200], [15, 15], set())[0] == 15
     assert leaked_words([0], [10], [30], set(range(10, 30))) == (10, 0)
     assert leaked_words([], [], [], set()) == (0, 0)
+
+
+def brute_words(runs, standing, bridge=3):
+    """Every chain of runs without standing words, none dropped."""
+    best = (0, 0)
+    runs = sorted(runs)
+    chains = [(i, i + n, d + n, 0, 1, i, 0, k) for k, (i, d, n) in enumerate(runs)]
+    while chains:
+        first, end, place, changes, pieces, begin, need, k = chains.pop()
+        words = end - first
+        if end - begin >= need and not (pieces == 2 and changes and words < 40) and changes <= words / (10 if words < 50 else 8):
+            best = max(best, (words, changes), key=lambda b: (b[0] - b[1], b[0]))
+        for m in range(k + 1, len(runs)):
+            i, d, n = runs[m]
+            over = max(end - i, place - d, 0)
+            gap = i + over - end
+            cost = max(gap, d + over - place)
+            least = 15 if gap else 8
+            if over >= n or gap > bridge or any(end + g in standing for g in range(gap)):
+                continue
+            if cost <= bridge:
+                chains.append((first, i + n, d + n, changes + cost, pieces, begin, need, m))
+            elif pieces == 1 and end - begin >= least:
+                chains.append((first, i + n, d + n, changes + gap, 2, i + over, least, m))
+    return best
+
+
+def random_runs(r, standing):
+    """Runs of a few diagonals; two runs of one diagonal never touch."""
+    runs = []
+    for diagonal in r.sample(range(-3, 60), r.randint(1, 4)):
+        i = r.randint(0, 20)
+        while i < 70 and len(runs) < 14:
+            n = r.randint(2, 25)
+            if not standing & set(range(i, i + n)):
+                runs.append((i, i + diagonal + 3, n))
+            i += n + r.choice((1, 1, 2, 3, 9))
+    return runs
+
+
+def test_leaked_words_against_brute_force():
+    for seed in range(1500):
+        r = random.Random(seed)
+        standing = set(r.sample(range(90), r.choice((0, 0, 3))))
+        runs = random_runs(r, standing)
+        assert leaked_words(*(list(x) for x in zip(*runs)), standing) == brute_words(runs, standing) if runs else True, (seed, runs, standing)
+
+
+def test_leaked_words_among_many_runs():
+    # A leak of 44 words in two pieces with a change, and a mould sentence of the item repeated 400 times between them.
+    mould = [(5 + k % 12, 1000 + 31 * k, 9) for k in range(400)]
+    leak = [(0, 10, 20), (21, 31, 9), (30, 90000, 14)]
+    assert leaked_words(*(list(x) for x in zip(*leak)), set()) == (44, 1)
+    assert leaked_words(*(list(x) for x in zip(*leak, *mould)), set()) == (44, 1)
