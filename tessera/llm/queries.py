@@ -9,7 +9,7 @@ from tessera.llm.addresses import address_pairs
 from tessera.llm.leaks import leaks
 from tessera.llm.packing import pack_documents
 from tessera.llm.splitting import split_documents
-from tessera.llm.survivors import UNKNOWN, survivors
+from tessera.llm.survivors import DESCRIPTION, UNKNOWN, survivors
 from tessera.session import table
 
 CAPACITY, LIMIT, OVERLAP = 2048, 512, 64
@@ -24,6 +24,11 @@ def p6_survivors(spark: SparkSession, sf: str) -> DataFrame:
     return survivors(table(spark, sf, "canonical_address"), table(spark, sf, "address_mapping"), table(spark, sf, "source_trust"))
 
 
+def p6_records(spark: SparkSession, sf: str) -> DataFrame:
+    """The surviving record of each group with all value columns of canonical_address."""
+    return survivors(table(spark, sf, "canonical_address"), table(spark, sf, "address_mapping"), table(spark, sf, "source_trust"), description=DESCRIPTION, quality="geocoding_quality")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return p6_survivors(spark, sf).where("whole_record_id IS NOT NULL").select("canonical_address_id", F.col("whole_record_id").alias("original_address_id"))
 
@@ -47,7 +52,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_survivors, p7_packing, p8_found, p9_found, p9_pieces)}
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_records, p6_survivors, p7_packing, p8_found, p9_found, p9_pieces)}
 
 _UNKNOWN = ", ".join(f"'{u}'" for u in UNKNOWN)
 _KNOWN = lambda c: f"CASE WHEN lower(trim({c})) NOT IN ({_UNKNOWN}) THEN trim({c}) END"
@@ -73,4 +78,17 @@ SELECT g AS canonical_address_id, n_records, accessibility_flag, building, stair
 FROM (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_flag", "building", "staircase", "pir_code", "point")))},
       CASE WHEN max(time) > -1e18::BIGINT THEN make_timestamp(max(time)) END AS latest FROM m GROUP BY g) s
 LEFT JOIN ({_P6_FOUND}) w ON w.canonical_address_id = s.g"""
-ORACLE = {"p6_found": _P6_FOUND, "p6_survivors": _P6_SURVIVORS}
+_LIKE_ONE = lambda c: f"first({c} ORDER BY {c} IS NOT NULL DESC, rank DESC, time DESC, id DESC, {c} DESC) AS {c}"
+_P6_RECORDS = f"""
+WITH pairs AS (SELECT DISTINCT canonical_address_id AS g, original_address_id AS id FROM address_mapping WHERE canonical_address_id IS NOT NULL AND original_address_id IS NOT NULL),
+rec AS (SELECT DISTINCT id, coalesce(t.trust_rank, -1000000) AS rank, coalesce(epoch_us(c.updated_at), -1e18::BIGINT) AS time,
+        {", ".join(f"{_KNOWN(c)} AS {c}" for c in ("accessibility_flag", "building", "staircase", "pir_code", *DESCRIPTION, "geocoding_quality"))},
+        CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN struct_pack(latitude := latitude, longitude := longitude) END AS point
+        FROM canonical_address c LEFT JOIN source_trust t USING (record_source) WHERE id IS NOT NULL),
+j AS (SELECT p.g, r.* FROM pairs p JOIN rec r USING (id)),
+s AS (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_flag", "building", "staircase", "pir_code", "point")))}, {", ".join(map(_LIKE_ONE, DESCRIPTION))},
+      first(geocoding_quality ORDER BY point IS NOT NULL DESC, (point IS NOT NULL OR geocoding_quality IS NOT NULL) DESC, rank DESC, time DESC, point DESC NULLS LAST, geocoding_quality DESC NULLS LAST) AS geocoding_quality,
+      CASE WHEN max(time) > -1e18::BIGINT THEN make_timestamp(max(time)) END AS latest FROM j GROUP BY g HAVING count(DISTINCT id) > 1)
+SELECT g AS canonical_address_id, n_records, accessibility_flag, building, staircase, pir_code, {", ".join(DESCRIPTION)}, geocoding_quality, point.latitude AS latitude, point.longitude AS longitude, latest, w.original_address_id AS whole_record_id
+FROM s LEFT JOIN ({_P6_FOUND}) w ON w.canonical_address_id = s.g"""
+ORACLE = {"p6_found": _P6_FOUND, "p6_records": _P6_RECORDS, "p6_survivors": _P6_SURVIVORS}

@@ -15,6 +15,8 @@ from tessera.session import strip
 # Texts that only say that the value is not known.
 UNKNOWN = ["", "-", "--", "–", "?", "??", "???", ".", "n/a", "na", "n.a.", "null", "none", "nan", "nincs", "nincs adat", "nincs megadva", "ismeretlen", "nem ismert", "unknown", "unk", "x"]
 ATTRIBUTES = ("accessibility_flag", "building", "staircase", "pir_code")
+# The other value columns of canonical_address; they do not count towards a whole record.
+DESCRIPTION = ("county_code", "settlement_name", "street_name", "house_number", "full_address", "record_source")
 
 
 def known(c: Column) -> Column:
@@ -23,7 +25,7 @@ def known(c: Column) -> Column:
     return F.when(~F.lower(s).isin(UNKNOWN), s)
 
 
-def survivors(records: DataFrame, mapping: DataFrame, trust: DataFrame, attributes: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
+def survivors(records: DataFrame, mapping: DataFrame, trust: DataFrame, attributes: tuple[str, ...] = ATTRIBUTES, description: tuple[str, ...] = (), quality: str | None = None) -> DataFrame:
     """One surviving record for each group that holds at least two different records.
 
     Result: ``canonical_address_id``, ``n_records``, one column for each attribute, ``latitude``,
@@ -34,17 +36,27 @@ def survivors(records: DataFrame, mapping: DataFrame, trust: DataFrame, attribut
     coordinate. Ties between values go to the greater value. Repeated records and mappings count once;
     mappings with a null id, or to records that are not there, are left out, so empty tables give no
     rows. Other columns, whatever their names, are not read.
+
+    The columns of ``description`` get survivors alike, but have no say in which record is whole; ties go to the
+    greater id, so that street, number and full text of records that are equal in trust and time come from one of
+    them. ``quality`` names the column that tells how good the coordinates are; it comes with the coordinates that
+    survive, and only where the group has none from the most trusted, latest record that tells it.
     """
     pairs = mapping.select(F.col("canonical_address_id").alias("g"), F.col("original_address_id").alias("id")).where("g IS NOT NULL AND id IS NOT NULL").distinct()
     ranks = trust.groupBy("record_source").agg(F.max("trust_rank").cast("int").alias("rank"))
     point = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & ~F.isnan("latitude") & ~F.isnan("longitude"), F.struct("latitude", "longitude"))
     values = {a: known(F.col(a)) for a in attributes} | {"point": point}
-    r = records.select("id", "record_source", F.coalesce(F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(-(2**62))).alias("time"), *(v.alias(f"v_{a}") for a, v in values.items())).where("id IS NOT NULL").distinct()
+    texts = {a: known(F.col(a)) for a in (*description, *([quality] if quality else []))}
+    r = records.select("id", "record_source", F.coalesce(F.unix_micros(F.col("updated_at").cast("timestamp")), F.lit(-(2**62))).alias("time"), *(v.alias(f"v_{a}") for a, v in (values | texts).items())).where("id IS NOT NULL").distinct()
     r = r.join(F.broadcast(ranks), "record_source", "left").withColumn("rank", F.coalesce("rank", F.lit(-(2**31))))  # one row for each source
     names = list(values)
     has = [F.col(f"v_{a}").isNotNull() for a in names]
     r = r.withColumn("mask", sum((F.when(h, F.lit(1 << i)).otherwise(F.lit(0)) for i, h in enumerate(has)), F.lit(0)))
     joined = pairs.join(r, "id")
+    more = [F.max(F.struct(F.col(f"v_{a}").isNotNull().alias("present"), "rank", "time", "id", F.col(f"v_{a}").alias("value"))).alias(f"b_{a}") for a in description]
+    if quality:
+        pointed = F.col("v_point").isNotNull()
+        more.append(F.max(F.struct(pointed.alias("pointed"), (pointed | F.col(f"v_{quality}").isNotNull()).alias("present"), "rank", "time", "v_point", F.col(f"v_{quality}").alias("value"))).alias(f"b_{quality}"))
     order = [F.bit_count("mask").alias("filled"), "rank", "time", "id"]
     grouped = joined.groupBy("g").agg(
         F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n_rows"),
@@ -52,11 +64,12 @@ def survivors(records: DataFrame, mapping: DataFrame, trust: DataFrame, attribut
         F.max(F.struct(*order, "mask")).alias("best"),
         F.min(F.struct((-F.bit_count("mask")).alias("filled"), (-F.col("rank").cast("long")).alias("rank"), (-F.col("time")).alias("time"), "id")).alias("other"),
         *(F.max(F.struct(F.col(f"v_{a}").isNotNull().alias("present"), "rank", "time", F.col(f"v_{a}").alias("value"))).alias(f"b_{a}") for a in names),
+        *more,
     ).where("low != high")
     whole = (F.col("best.mask") == F.col("any_mask")) & (F.col("best.rank") == F.col("top_rank")) & (F.col("best.time") == F.col("top_time")) & (F.col("best.id") == F.col("other.id"))
     return grouped.select(
         F.col("g").alias("canonical_address_id"), F.col("n_rows").alias("n_records"),
-        *(F.col(f"b_{a}.value").alias(a) for a in attributes),
+        *(F.col(f"b_{a}.value").alias(a) for a in (*attributes, *texts)),
         F.col("b_point.value.latitude").alias("latitude"), F.col("b_point.value.longitude").alias("longitude"),
         F.when(F.col("top_time") > -(2**62), F.timestamp_micros("top_time")).alias("latest"),
         F.when(whole, F.col("best.id")).alias("whole_record_id"),

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from tessera.llm.addresses import address_pairs, house_parts, one_error, penalty, read_address
-from tessera.llm.survivors import survivors
+from tessera.llm.survivors import DESCRIPTION, survivors
 
 D = lambda d: dt.datetime(2025, 7, d)
 RECORD = "id string, accessibility_flag string, building string, staircase string, pir_code string, latitude double, longitude double, record_source string, updated_at timestamp, g string, mask int"
@@ -36,6 +36,26 @@ def test_survivors(spark):
     assert run(spark, [], []) == {} and run(spark, records, []) == {}
 
 
+def test_survivors_of_all_columns(spark):
+    schema = RECORD + ", county_code string, settlement_name string, street_name string, house_number string, full_address string, geocoding_quality string"
+    five = (None, None, None, None)
+    records = [
+        # The most trusted has no street and no point; the two others are equal in trust and time.
+        ("a1", *five, None, None, "high", D(5), "01", "Kisfalu", "n/a", None, " ", "failed"),
+        ("a2", *five, 47.0, 19.0, "low", D(4), "01", "Kisfalva", "Zeta utca", "1", "Zeta utca 1.", "street"),
+        ("a3", *five, 46.0, 19.0, "low", D(4), "02", "Kisfalva", "Alfa utca", "2", "Alfa utca 2.", "exact"),
+        ("b1", *five, None, None, "high", D(5), None, None, None, None, None, None),
+        ("b2", *five, None, None, "low", D(5), None, None, "Fő út", None, None, "failed"),
+    ]
+    r = spark.createDataFrame([(*x[:9], "g", 1, *x[9:]) for x in records], schema)
+    m = spark.createDataFrame([(x[0], x[0][0].upper()) for x in records], "original_address_id string, canonical_address_id string")
+    t = spark.createDataFrame([("high", 2), ("low", 1)], "record_source string, trust_rank int")
+    got = {x.canonical_address_id: x for x in survivors(r, m, t, description=DESCRIPTION, quality="geocoding_quality").collect()}
+    one = lambda x: (*(x[c] for c in DESCRIPTION), x.geocoding_quality, x.latitude)
+    assert one(got["A"]) == ("01", "Kisfalu", "Alfa utca", "2", "Alfa utca 2.", "high", "street", 47.0)
+    assert one(got["B"]) == (None, None, "Fő út", None, None, "high", "failed", None)
+
+
 def test_edit_distance():
     assert [one_error(a, b, 2) for a, b in [("abc", "abc"), ("abc", "acb"), ("abc", "ab"), ("abc", "abxc"), ("abc", "xyz"), ("", "ab"), ("abcd", "badc")]] == [0, 1, 1, 1, 3, 2, 2]
 
