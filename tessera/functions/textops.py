@@ -167,6 +167,11 @@ def house_int(c: Column | str) -> Column:
     return F.regexp_extract(F.trim(text_of(c)), "^([0-9]+)", 1).try_cast("int")
 
 
+def folded(c: Column | str) -> Column:
+    """Letters and digits only, in lower case and without Hungarian accents."""
+    return F.regexp_replace(F.translate(F.lower(text_of(c)), "áéíóöőúüű", "aeiooouuu"), "[^a-z0-9]", "")
+
+
 def without_parentheses(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(text_of(c), r"\s*\([^)]*\)\s*", " "))
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.textops import byte_similarity
+from tessera.functions.textops import byte_similarity, folded, station_street, without_parentheses
+from tessera.operators.tables import first_by, last_by
+from tessera.session import strip
 
 # Rank of qualities where a better one replaces a worse one; others count 0.
 QUALITY_RANK = {"exact": 3, "street": 2, "settlement": 1, "failed": 0}
@@ -99,3 +101,58 @@ def best_fuzzy(left: DataFrame, right: DataFrame, block: str, left_text: str, ri
     pairs = a.select("__block", "__a").distinct().join(b, "__block").withColumn("similarity", byte_similarity(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= least)
     best = pairs.groupBy("__block", "__a").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "right_id")).alias("m"))
     return a.join(best, ["__block", "__a"]).select("left_id", F.col("m.right_id").alias("right_id"), (-F.col("m.s")).alias("similarity"))
+
+
+PLACE = ("quality", "source", "matched_id", "similarity", "latitude", "longitude")
+
+
+def fallback(rows: DataFrame, key: str, candidates: list[DataFrame]) -> DataFrame:
+    """The keys of ``rows`` with the place of the first of ``candidates`` that has one for them, tried in the order given.
+
+    Candidates hold ``key`` and the columns ``PLACE``; those without both coordinates, or that failed, are none. Of
+    several in one table the smallest ``matched_id`` is taken, then the smallest coordinates. A key without any is
+    given as ``failed``, without coordinates.
+    """
+    all_of = None
+    for rung, c in enumerate(candidates):
+        one = c.where("latitude IS NOT NULL AND longitude IS NOT NULL AND quality != 'failed'").select(F.lit(rung).alias("__rung"), key, *PLACE)
+        all_of = one if all_of is None else all_of.unionByName(one)
+    top = all_of.groupBy(key).agg(F.min(F.struct("__rung", F.coalesce("matched_id", F.lit("")).alias("__m"), "latitude", "longitude", *PLACE[:4])).alias("t"))
+    found = rows.select(key).distinct().join(top, key, "left")
+    return found.select(key, F.coalesce("t.quality", F.lit("failed")).alias("quality"), *(F.col(f"t.{c}").alias(c) for c in PLACE[1:]))
+
+
+def station_places(stations: DataFrame, settlements: DataFrame, counties: DataFrame, canonical: DataFrame, least: float = 0.6) -> DataFrame:
+    """Where each polling station is: its own coordinates, else those of a canonical address of its settlement, else the settlement's centre.
+
+    Canonical addresses are those of quality exact or street with coordinates, of the station's settlement in its
+    county. Tried in order: the whole address, then the street and number in it, equal but for case, accents and
+    signs; then the most similar full address, from ``least`` on; then the mean of the settlement's points. Of several
+    deliveries of a station, settlement or county the last counts. A station whose county is not known is put into the
+    settlement's county, or into the only county whose canonical addresses have the settlement's name.
+    """
+    ref = lambda c: F.nullif(F.lower(strip(c)), F.lit(""))
+    st = last_by(stations.select("id", "loaded_at", "polling_station_address", "latitude", "longitude", ref("settlement_id").alias("sid"), ref("county_id").alias("cid")).where("id IS NOT NULL"), ["id"], ["loaded_at"])
+    se = last_by(settlements.select(ref("id").alias("sid"), "loaded_at", folded("settlement_name").alias("name"), ref("county_id").alias("scid")), ["sid"], ["loaded_at"]).drop("loaded_at")
+    co = last_by(counties.select(ref("id").alias("cid"), "loaded_at", strip("county_code").alias("code")), ["cid"], ["loaded_at"]).drop("loaded_at")
+    usable = canonical.where("id IS NOT NULL AND geocoding_quality IN ('exact', 'street') AND latitude IS NOT NULL AND longitude IS NOT NULL AND NOT isnan(latitude) AND NOT isnan(longitude)")
+    place = usable.select(F.col("id").alias("matched_id"), strip("county_code").alias("code"), folded("settlement_name").alias("name"), "full_address", F.col("geocoding_quality").alias("quality"), "latitude", "longitude")
+    place = first_by(place, ["matched_id"], [F.asc("quality"), F.asc("latitude"), F.asc("longitude"), F.asc("full_address"), F.asc("code"), F.asc("name")])  # exact before street
+    only = place.groupBy("name").agg(F.min("code").alias("only"), F.count_distinct("code").alias("n")).where("n = 1").drop("n")
+    st = st.join(se, "sid", "left").join(co, "cid", "left").join(co.select(F.col("cid").alias("scid"), F.col("code").alias("scode")), "scid", "left").join(only, "name", "left")
+    area = F.concat(F.coalesce("code", "scode", "only"), F.lit("|"), "name")
+    st = st.select("id", "latitude", "longitude", area.alias("area"), without_parentheses("polling_station_address").alias("address"))
+    place = place.withColumn("area", F.concat("code", F.lit("|"), "name"))
+    own = st.where("latitude IS NOT NULL AND longitude IS NOT NULL AND NOT isnan(latitude) AND NOT isnan(longitude)")
+    todo = st.join(own.select("id"), "id", "left_anti").select("id", "area", "address")
+    spot = lambda df, source, similarity: df.select("id", "quality", F.lit(source).alias("source"), "matched_id", similarity.alias("similarity"), "latitude", "longitude")
+    keyed = lambda df, text: df.where(f"{text} != ''").withColumn("whole", F.nullif(folded(text), F.lit(""))).withColumn("parts", F.nullif(folded(station_street(text)), F.lit("")))
+    asked, known = keyed(todo, "address"), keyed(place, "full_address").drop("id")
+    equal = [spot(asked.select("id", "area", k).join(known, ["area", k]), f"canonical_{k}", F.lit(1.0)) for k in ("whole", "parts")]
+    near = best_fuzzy(asked, known, "area", "address", "full_address", "id", "matched_id", least)
+    near = near.select(F.col("left_id").alias("id"), F.col("right_id").alias("matched_id"), "similarity").join(place, "matched_id")
+    centre = place.groupBy("area").agg((F.sum(F.col("latitude").cast("decimal(18,10)")).cast("double") / F.count(F.lit(1))).alias("latitude"), (F.sum(F.col("longitude").cast("decimal(18,10)")).cast("double") / F.count(F.lit(1))).alias("longitude"))
+    centre = todo.join(centre, "area").withColumn("quality", F.lit("settlement")).withColumn("matched_id", F.lit(None).cast("string"))
+    none = F.lit(None).cast("double")
+    own = own.withColumn("quality", F.lit("exact")).withColumn("matched_id", F.lit(None).cast("string"))
+    return fallback(st, "id", [spot(own, "station", none), *equal, spot(near, "canonical_similar", F.round("similarity", 6)), spot(centre, "settlement_centroid", none)])

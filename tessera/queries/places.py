@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geo as G
 from tessera.functions.keys import md5_16, uuid3
 from tessera.functions.textops import export_score, house_int, plain_address, without_parentheses
-from tessera.operators.geocode import QUALITY_RANK, best_fuzzy, better_wins, cache_hits, cache_misses, interpolate, quality_of_osm, quality_of_result_type, quality_rank
+from tessera.operators.geocode import QUALITY_RANK, best_fuzzy, better_wins, cache_hits, cache_misses, interpolate, quality_of_osm, quality_of_result_type, quality_rank, station_places
 from tessera.operators.proximity import haversine_m, regions_of
 from tessera.operators.serve import canonical_export, canonical_with_lists, resolved_keys
 from tessera.operators.tables import deterministic_sample, differences, first_by, last_by, orphans_of
@@ -147,6 +147,33 @@ def match_ladder(spark, sf):
     return j.select("id", level.alias("level"))
 
 
+_FOLD = lambda c: f"regexp_replace(translate(lower(coalesce({c}, '')), 'áéíóöőúüű', 'aeiooouuu'), '[^a-z0-9]', '', 'g')"
+_REF = lambda c: f"nullif(lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')), '')"
+_STREET = r"'([a-záéíóöőúüű\s]+(?:utca|út|tér|köz|körút|sétány|park|sor))\s*(\d+[a-z\-/\.]*)'"
+_PARTS = lambda c: f"CASE WHEN regexp_extract(lower({c}), {_STREET}, 1) <> '' THEN {_FOLD(f'regexp_extract(lower({c}), {_STREET}, 0)')} ELSE '' END"
+@query(f"""
+WITH s0 AS (SELECT * FROM (SELECT id, polling_station_address AS address, latitude, longitude, {_REF('settlement_id')} AS sid, {_REF('county_id')} AS cid, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC NULLS LAST, polling_station_address DESC NULLS LAST, latitude DESC NULLS LAST, longitude DESC NULLS LAST, settlement_id DESC NULLS LAST, county_id DESC NULLS LAST) AS n FROM polling_station WHERE id IS NOT NULL) WHERE n = 1),
+se AS (SELECT * FROM (SELECT {_REF('id')} AS sid, {_FOLD('settlement_name')} AS name, {_REF('county_id')} AS scid, row_number() OVER (PARTITION BY {_REF('id')} ORDER BY loaded_at DESC NULLS LAST, {_FOLD('settlement_name')} DESC, {_REF('county_id')} DESC NULLS LAST) AS n FROM settlement) WHERE n = 1),
+co AS (SELECT * FROM (SELECT {_REF('id')} AS cid, trim(county_code) AS code, row_number() OVER (PARTITION BY {_REF('id')} ORDER BY loaded_at DESC NULLS LAST, county_code DESC NULLS LAST) AS n FROM county) WHERE n = 1),
+p AS (SELECT * FROM (SELECT id, trim(county_code) AS code, {_FOLD('settlement_name')} AS name, full_address, geocoding_quality AS quality, latitude, longitude, row_number() OVER (PARTITION BY id ORDER BY geocoding_quality, latitude, longitude, full_address NULLS FIRST) AS n FROM canonical_address WHERE id IS NOT NULL AND geocoding_quality IN ('exact', 'street') AND latitude IS NOT NULL AND longitude IS NOT NULL) WHERE n = 1),
+o AS (SELECT name, min(code) AS only FROM p GROUP BY 1 HAVING count(DISTINCT code) = 1),
+st AS (SELECT s0.id, s0.latitude, s0.longitude, coalesce(c1.code, c2.code, o.only) || '|' || se.name AS area, trim(regexp_replace(coalesce(address, ''), '\\s*\\([^)]*\\)\\s*', ' ', 'g')) AS address
+  FROM s0 LEFT JOIN se USING (sid) LEFT JOIN co c1 ON c1.cid = s0.cid LEFT JOIN co c2 ON c2.cid = se.scid LEFT JOIN o ON o.name = se.name),
+k AS (SELECT *, code || '|' || name AS area, {_FOLD('full_address')} AS whole, {_PARTS('full_address')} AS parts FROM p),
+a AS (SELECT *, {_FOLD('address')} AS whole, {_PARTS('address')} AS parts FROM st WHERE latitude IS NULL OR longitude IS NULL),
+sim AS (SELECT a.id, k.id AS m, k.quality, k.latitude, k.longitude, 1 - levenshtein(lower(a.address), lower(k.full_address)) / greatest(length(a.address), length(k.full_address)) AS similarity FROM a JOIN k USING (area) WHERE a.address <> '' AND k.full_address <> ''),
+c AS (SELECT 0 AS rung, id, 'exact' AS quality, 'station' AS source, NULL AS matched_id, NULL::DOUBLE AS similarity, latitude, longitude FROM st WHERE latitude IS NOT NULL AND longitude IS NOT NULL
+  UNION ALL SELECT 1, a.id, k.quality, 'canonical_whole', k.id, 1, k.latitude, k.longitude FROM a JOIN k ON a.area = k.area AND a.whole = k.whole WHERE a.whole <> ''
+  UNION ALL SELECT 2, a.id, k.quality, 'canonical_parts', k.id, 1, k.latitude, k.longitude FROM a JOIN k ON a.area = k.area AND a.parts = k.parts WHERE a.parts <> ''
+  UNION ALL SELECT 3, id, quality, 'canonical_similar', m, round(similarity, 6), latitude, longitude FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, m) AS n FROM sim WHERE similarity >= 0.6) WHERE n = 1
+  UNION ALL SELECT 4, a.id, 'settlement', 'settlement_centroid', NULL, NULL, g.latitude, g.longitude FROM a JOIN (SELECT area, sum(CAST(latitude AS DECIMAL(18,10)))::DOUBLE / count(*) AS latitude, sum(CAST(longitude AS DECIMAL(18,10)))::DOUBLE / count(*) AS longitude FROM k GROUP BY 1) g USING (area)),
+t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rung, matched_id, latitude, longitude) AS n FROM c) WHERE n = 1)
+SELECT st.id, coalesce(t.quality, 'failed') AS quality, source, matched_id, similarity, t.latitude AS latitude, t.longitude AS longitude FROM st LEFT JOIN t USING (id)""")
+def station_ladder(spark, sf):
+    """Where each station is, and by which rung of the ladder it was found."""
+    return station_places(*(table(spark, sf, n) for n in ("polling_station", "settlement", "county", "canonical_address")))
+
+
 @query("SELECT cache_key, quality FROM geocoding_cache WHERE quality = 'failed' OR quality IN ('settlement', 'street')")
 def retry_selection(spark, sf):
     return table(spark, sf, "geocoding_cache").where(F.col("quality").isin("failed", "settlement", "street")).select("cache_key", "quality")

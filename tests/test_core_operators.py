@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from tessera.operators.geocode import best_fuzzy, better_wins, interpolate
+from tessera.operators.geocode import best_fuzzy, better_wins, interpolate, station_places
 from tessera.operators.orphans import Reference, compress, expand, orphans
 from tessera.operators.proximity import cover, edges, even_odd, near_pairs, parse_polygon, regions_of
 from tessera.operators.rejects import STAGING_COLUMNS, parse_records, record_ends
@@ -238,3 +238,23 @@ def test_better_wins_and_fuzzy(spark):
     left = spark.createDataFrame([("z", "kossuth", 1), ("z", "qqqq", 2)], "b string, t string, i int")
     right = spark.createDataFrame([("z", "kosuth", 9), ("z", "kosuth", 8), ("y", "kossuth", 7)], "b string, u string, j int")
     assert [(r.left_id, r.right_id) for r in best_fuzzy(left, right, "b", "t", "u", "i", "j").collect()] == [(1, 8)]
+
+
+def test_station_places(spark):
+    where = [("s1", "Kisfalu", "k1", D(1)), ("s2", "Nagyfalu", " K1 ", D(1)), ("s3", "Üresfalu", None, D(1))]
+    se = spark.createDataFrame(where, "id string, settlement_name string, county_id string, loaded_at timestamp")
+    co = spark.createDataFrame([("k1", "01", D(1)), ("k2", "02", D(1))], "id string, county_code string, loaded_at timestamp")
+    address = [("c1", "01", "KISFALU", "Petőfi utca 3.", "exact", 1.0), ("c2", "01", "Kisfalu", "Kossuth Lajos utca 12.", "street", 2.0), ("c3", "01", "Nagyfalu", "Alma tér 4.", "exact", 3.0), ("c4", "02", "Kisfalu", "Alma tér 4.", "exact", 9.0), ("c5", "01", "Kisfalu", "Fő út 1.", "settlement", 9.0), ("c6", "01", "Kisfalu", "Fő út 1.", "exact", None), ("c7", "01", "Kisfalu", "Almajárás 8.", "exact", 1.5)]
+    ca = spark.createDataFrame([(*x, x[5]) for x in address], "id string, county_code string, settlement_name string, full_address string, geocoding_quality string, latitude double, longitude double")
+    stations = [
+        ("own", "Petőfi utca 3.", "s1", None, 5.0, D(1)), ("whole", "PETOFI UTCA 3 (Iskola)", "S1 ", None, None, D(1)), ("parts", "Művelődési Ház, Kossuth Lajos utca 12.", "s1", None, None, D(1)),
+        ("slip", "Kosuth L. utca 12", "s1", None, None, D(2)), ("slip", "old", "s1", None, 8.0, D(1)), ("elsewhere", "Alma tér 4.", "s1", "k1", None, D(1)), ("other", "Alma tér 4.", "s2", "gone", None, D(1)), ("centre", None, "s1", None, None, D(1)), ("failed", "Fő út 1.", "s3", "k1", None, D(1)), ("lost", "Fő út 1.", None, None, None, D(1)), ("bare", "Polgármesteri Hivatal", "s1", None, None, D(1)),
+    ]
+    st = spark.createDataFrame([(*x[:5], x[4], x[5]) for x in stations], "id string, polling_station_address string, settlement_id string, county_id string, latitude double, longitude double, loaded_at timestamp")
+    got = {r.id: (r.quality, r.source, r.matched_id, r.latitude) for r in station_places(st, se, co, ca).collect()}
+    centre = ("settlement", "settlement_centroid", None, 1.5)
+    assert got == {
+        "own": ("exact", "station", None, 5.0), "whole": ("exact", "canonical_whole", "c1", 1.0), "parts": ("street", "canonical_parts", "c2", 2.0), "slip": ("street", "canonical_similar", "c2", 2.0),
+        "elsewhere": centre, "other": ("exact", "canonical_whole", "c3", 3.0), "centre": centre, "bare": centre, "failed": ("failed", None, None, None), "lost": ("failed", None, None, None),
+    }
+    assert station_places(st.limit(0), se, co, ca).count() == 0 and {r.quality for r in station_places(st, se, co, ca.limit(0)).collect()} == {"exact", "failed"}
