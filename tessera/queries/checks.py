@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geo as G
 from tessera.functions.registry import register_functions
 from tessera.operators.constraints import Constraints, violations
-from tessera.plans.pipeline import run
+from tessera.plans.pipeline import run, whole_run
 from tessera.session import table
 
 QUERIES: dict = {}
@@ -118,3 +118,15 @@ def pipeline_entities(spark, sf):
     made = run(table(spark, sf, "staging_korzet")).tables
     one = lambda n: made[n].agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table_name"), "n")
     return one("county").unionByName(one("settlement")).unionByName(one("postal_code"))
+
+
+@query()
+def pipeline_tables(spark, sf):
+    """Rows of every table that the whole run makes, and a digest of all their columns, so that all of them are computed."""
+    given = {"staging": table(spark, sf, "staging_korzet"), "earlier": table(spark, sf, "canonical_address"), "cache": table(spark, sf, "geocoding_cache")}
+    out = None
+    for name, df in whole_run(**given).tables.items():
+        if name not in given and name != "links":
+            one = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*df.columns)).alias("digest")).select(F.lit(name).alias("table_name"), "n", "digest")
+            out = one if out is None else out.unionByName(one)
+    return out

@@ -8,7 +8,7 @@ from tessera.functions.registry import register_functions
 from tessera.operators.constraints import Constraints, violations
 from tessera.operators.rejects import STAGING_COLUMNS
 from tessera.operators.tables import last_by
-from tessera.plans.pipeline import run
+from tessera.plans.pipeline import run, whole_run
 from tessera.sources.readers import read_districts_json, read_run, read_staging_csv
 from tessera.sources.writers import create_table, insert_statements, manifest, write_by, write_csv, write_runs
 from tessera.streaming.incremental import deliveries, upsert_stream, windowed_counts
@@ -64,6 +64,22 @@ def test_pipeline(spark, csv):
     assert run(staging.limit(0)).tables["report"].first().duplicate_rate == 0.0
 
 
+def test_whole_run(spark):
+    columns = "county_code county_name settlement_code settlement_name oevk_code tevk_code polling_station_address polling_station_code postal_code street_name street_type house_number building staircase accessible".split()
+    row = lambda n, station, postal="1000": (n, "01", "Megye", "001", "Kisfalu", "01", None, "Iskola", station, postal, "Fő", "utca", str(n), None, None, "I")
+    staging = spark.createDataFrame([row(1, "1"), row(3, "1"), row(5, "2", "0"), row(7, None)], "row_id long, " + ", ".join(f"{c} string" for c in columns))
+    held = [("a", 1, 10.0, "exact"), ("b", 3, 50.0, "street"), ("c", 5, None, None), ("d", 7, None, "failed"), ("e", 9, 9.0, "exact")]
+    earlier = spark.createDataFrame([(i, "01", "KISFALU", f"Fő  utca {n}.", x, x, q) for i, n, x, q in held], "id string, county_code string, settlement_name string, full_address string, latitude double, longitude double, geocoding_quality string")
+    cache = spark.createDataFrame([("k1", "a", 99.0, 99.0, "street"), ("k2", "c", 14.0, 14.0, "exact"), ("k3", "c", None, None, "exact"), ("k4", "d", 1.0, 1.0, "failed"), ("k5", "gone", 1.0, 1.0, "exact")], "cache_key string, canonical_address_id string, latitude double, longitude double, quality string")
+    made = whole_run(staging, earlier, cache, count=True)
+    assert [m["stage"] for m in made.metrics] == ["entities", "resolution", "spaces", "relations", "geocoding", "export"]
+    rows = {k: n for m in made.metrics for k, n in m["rows"].items()}
+    assert {k: rows[k] for k in ("address_station", "address_postal_code", "postal_code_settlement", "settlement_district", "national_district")} == {"address_station": 3, "address_postal_code": 4, "postal_code_settlement": 1, "settlement_district": 1, "national_district": 1}
+    assert {k: rows[k] for k in ("geocoding_hit", "geocoding_miss", "located", "address_export", "original_export")} == {"geocoding_hit": 2, "geocoding_miss": 2, "located": 4, "address_export": 4, "original_export": 4}
+    got = {r.house: (r.latitude, r.quality, r.source, r.station_ids, r.n_originals) for r in made.tables["address_export"].collect()}
+    assert got == {"1": (10.0, "exact", "earlier", "1", 1), "3": (12.0, "interpolated", "interpolated (1-5)", "1", 1), "5": (14.0, "exact", "cache", "2", 1), "7": (None, "failed", None, None, 1)}
+
+
 def test_constraints(spark):
     t = {"a": spark.createDataFrame([("1", "x"), ("1", "y"), (None, None)], "id string, ref string"), "b": spark.createDataFrame([("x",)], "id string")}
     got = {r.constraint_name: r.n for r in violations(t, {"a": Constraints(("id",), (("id",),), (("ref", "b", "id"),))}).collect()}
