@@ -1,18 +1,22 @@
 """References to records that do not exist, judged at each row's own time.
 
 Keys are encoded as integers by a dictionary sorted by key, so that a range of codes is a range of
-keys. Per key range and month the referenced codes form one compressed bitmap; the target table gives
-two more: keys that were there at some time of the month and keys that were there all month.
+keys. Per key range and month the referenced codes form one compressed bitmap. The target table's spans
+become steps: how many spans of a code begin or end with a month. Each key range is swept once over its
+months; the steps so far give two bitmaps of the target, keys that were there at some time of the month
+and keys that were there all month:
 
 * reference AND-NOT sometime: no record in the whole month, an orphan for certain;
 * reference AND sometime AND-NOT always: only these codes need a look at exact times;
 * the rest is sound.
 
-The surviving bits are decoded to (code, month), and only rows with such a key are looked at again.
+The surviving bits are decoded to (code, month), and only rows with such a key are looked at again. The
+work depends on rows, spans and months that occur in them, not on how far apart the months are.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,28 +73,63 @@ def _compress(bitmaps: pd.Series) -> pd.Series:
     return bitmaps.map(compress)
 
 
-@F.pandas_udf(T.StructType([T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("gone", "doubtful")]))
-def _subtract(ref: pd.Series, some: pd.Series, full: pd.Series) -> pd.DataFrame:
-    gone, doubtful = [], []
-    for r, s, f in zip(ref, some, full):
-        r, s, f = expand(r), expand(s), expand(f)
-        gone.append(np.flatnonzero(np.unpackbits(r & ~s, bitorder="little")).astype(np.int32))
-        doubtful.append(np.flatnonzero(np.unpackbits(r & s & ~f, bitorder="little")).astype(np.int32))
-    return pd.DataFrame({"gone": gone, "doubtful": doubtful})
+SWEPT = "relation int, key_range long, month int, gone array<int>, doubtful array<int>"
+MOST = 1 << 20  # decoded bits that are given on at once
 
 
-def _bitmaps(coded: DataFrame, name: str) -> DataFrame:
+def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by relation, key range, month and ``what`` (0: steps, 1: references) to the bits that are left of the references."""
+    at, out, n = None, [], 0
+    for b in batches:
+        for relation, key_range, month, what, bits, positions, kinds, steps in zip(*(b[c] for c in ("relation", "key_range", "month", "what", "bits", "positions", "kinds", "steps"))):
+            if at != (relation, key_range):
+                at, held = (relation, key_range), np.zeros((2, 1 << RANGE_BITS), np.int64)
+            if what == 0:
+                held[kinds, positions] += steps  # one step for each kind and position
+                continue
+            ref, some, full = expand(bits), *(np.packbits(h > 0, bitorder="little") for h in held)
+            left = [np.flatnonzero(np.unpackbits(x, bitorder="little")).astype(np.int32) for x in (ref & ~some, ref & some & ~full)]
+            out.append((relation, key_range, month, *left))
+            n += len(left[0]) + len(left[1])
+            if n > MOST:
+                yield pd.DataFrame(out, columns=["relation", "key_range", "month", "gone", "doubtful"])
+                out, n = [], 0
+    yield pd.DataFrame(out, columns=["relation", "key_range", "month", "gone", "doubtful"])
+
+
+def _bitmaps(coded: DataFrame) -> DataFrame:
     """One compressed bitmap per relation, key range and month; map-side combined by the JVM."""
     position = (F.col("code") % (1 << RANGE_BITS)).alias("position")
+    none = F.lit(None)
     return (
         coded.select("relation", F.shiftright("code", RANGE_BITS).alias("key_range"), "month", position)
         .groupBy("relation", "key_range", "month")
         .agg(F.bitmap_construct_agg("position").alias("bits"))
-        .select("relation", "key_range", "month", _compress("bits").alias(name))
+        .select("relation", "key_range", "month", F.lit(1).alias("what"), _compress("bits").alias("bits"), *(none.cast(f"array<{k}>").alias(c) for c, k in (("positions", "int"), ("kinds", "int"), ("steps", "bigint"))))
     )
 
 
-def orphans(references: list[Reference]) -> DataFrame:
+def _steps(coded: DataFrame) -> DataFrame:
+    """Per relation, key range and month how many spans of each code begin (positive) or end there: kind 0 at some time of a month, kind 1 all month."""
+    first, open_end = month_of(F.col("since")), F.col("until").isNull()
+    begins = lambda c: c == F.trunc(c, "month").cast("timestamp")
+    whole = F.when(begins(F.col("since")), first).otherwise(first + 1)
+    last = month_of(F.col("until"))
+    touched = F.when(begins(F.col("until")), last).otherwise(last + 1)
+    step = lambda when, month, kind, n: F.when(when, F.struct(month.cast("int").alias("month"), F.lit(kind).alias("kind"), F.lit(n).alias("step")))
+    has_whole = open_end | (whole < last)
+    every = F.array(step(F.lit(True), first, 0, 1), step(~open_end, touched, 0, -1), step(has_whole, whole, 1, 1), step(has_whole & ~open_end, last, 1, -1))
+    one = coded.select("relation", "code", F.explode(every).alias("s")).where("s IS NOT NULL").groupBy("relation", "code", "s.month", "s.kind").agg(F.sum("s.step").alias("step")).where("step != 0")
+    listed = one.groupBy("relation", F.shiftright("code", RANGE_BITS).alias("key_range"), "month").agg(F.collect_list(F.struct((F.col("code") % (1 << RANGE_BITS)).cast("int").alias("position"), "kind", "step")).alias("s"))
+    return listed.select("relation", "key_range", "month", F.lit(0).alias("what"), F.lit(None).cast("binary").alias("bits"), F.col("s.position").alias("positions"), F.col("s.kind").alias("kinds"), F.col("s.step").alias("steps"))
+
+
+def month_of(c: Column) -> Column:
+    """Months since the year 0."""
+    return F.year(c) * 12 + F.month(c) - 1
+
+
+def orphans(references: list[Reference], hot_rows: int = 1_000_000) -> DataFrame:
     """Rows whose reference led to no record at the row's own time.
 
     Result: ``table_name``, ``load_month`` (yyyy-MM), ``id``; distinct rows. A target record is there
@@ -99,7 +138,9 @@ def orphans(references: list[Reference]) -> DataFrame:
     are null or blank refer to nothing and are left out; so are rows without time, as there is no
     moment to judge them at. Target rows without ``target_from`` were never there. Repeated rows are
     judged each at its own time. Empty tables: no rows refer, or every reference is an orphan. Other
-    columns of the tables are not read.
+    columns of the tables are not read. Referring tables are read twice, targets once. A key that more
+    than ``hot_rows`` rows, and a thousandth of all, refer to in one month is spread over several tasks;
+    there are at most a thousand such keys, whatever the data.
     """
     parts_r, parts_t, relations = [], [], {}
     for r in references:
@@ -115,7 +156,7 @@ def orphans(references: list[Reference]) -> DataFrame:
         parts_r.append(
             r.rows.select(F.lit(relation).alias("relation"), F.lit(r.table_name).alias("table_name"), F.col(r.id).cast("string").alias("id"), normal_key(F.col(r.key)).alias("key"), F.col(r.time).cast("timestamp").alias("time"))
             .where("key != '' AND time IS NOT NULL")
-            .withColumn("month", F.trunc("time", "month"))
+            .withColumn("month", month_of(F.col("time")))
         )
     rows, targets = parts_r[0], parts_t[0]
     for p in parts_r[1:]:
@@ -124,36 +165,33 @@ def orphans(references: list[Reference]) -> DataFrame:
         targets = targets.unionByName(p)
 
     # Dictionary: distinct keys in key order; the code is the range partition and the place in it.
-    referred = rows.select("relation", "key", "month").distinct()
-    keys = referred.select("relation", "key").unionByName(targets.select("relation", "key")).distinct()
+    referred = cut(rows.groupBy("relation", "key", "month").agg(F.count(F.lit(1)).alias("n")))
+    held = cut(targets.distinct())
+    keys = referred.select("relation", "key").unionByName(held.select("relation", "key")).distinct()
     # It is cut, because two evaluations could draw the range borders differently.
     dictionary = cut(keys.repartitionByRange("relation", "key").sortWithinPartitions("relation", "key").withColumn("code", F.monotonically_increasing_id()))
 
-    ref = _bitmaps(referred.join(dictionary, ["relation", "key"]).select("relation", "code", "month"), "ref")
-    span = rows.agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
-    spread = (
-        targets.join(F.broadcast(span), F.col("since") < F.add_months("last_month", 1))  # one row
-        .where("until IS NULL OR until > first_month")
-        .join(dictionary, ["relation", "key"])
-        .withColumn("month", F.explode(F.sequence(
-            F.trunc(F.greatest(F.col("since").cast("date"), "first_month"), "month"),
-            F.least(F.trunc(F.coalesce(F.col("until").cast("date"), "last_month"), "month"), "last_month"),
-            F.expr("INTERVAL 1 MONTH"))))
-    )
-    whole = (F.col("since") <= F.col("month").cast("timestamp")) & (F.col("until").isNull() | (F.col("until") >= F.add_months("month", 1).cast("timestamp")))
-    some = _bitmaps(spread.where("until IS NULL OR until > month").select("relation", "code", "month"), "some")
-    full = _bitmaps(spread.where(whole).select("relation", "code", "month"), "full")
-
-    at = ["relation", "key_range", "month"]
-    left = ref.join(some, at, "left").join(full, at, "left").withColumn("left", _subtract("ref", "some", "full"))
+    ref = _bitmaps(referred.join(dictionary, ["relation", "key"]).select("relation", "code", "month"))
+    steps = _steps(held.join(dictionary, ["relation", "key"]))
+    at = ["relation", "key_range", "month", "what"]
+    left = ref.unionByName(steps).repartition("relation", "key_range").sortWithinPartitions(*at).mapInPandas(sweep, SWEPT)
     code = F.shiftleft("key_range", RANGE_BITS) + F.col("position")
-    pick = lambda name, sure: left.select("relation", "month", "key_range", F.explode(f"left.{name}").alias("position"), F.lit(sure).alias("sure"))
-    decoded = pick("gone", True).unionByName(pick("doubtful", False)).select("relation", "month", code.alias("code"), "sure")
+    bits = F.concat(F.transform("gone", lambda p: F.struct(p.alias("position"), F.lit(True).alias("sure"))), F.transform("doubtful", lambda p: F.struct(p.alias("position"), F.lit(False).alias("sure"))))
+    decoded = left.select("relation", "month", "key_range", F.inline(bits)).select("relation", "month", code.alias("code"), "sure")
     suspects = decoded.join(dictionary, ["relation", "code"]).select("relation", "key", "month", "sure")
 
-    hit = rows.join(suspects, ["relation", "key", "month"])
+    # Rows of a hot key are dealt to several tasks, and what is known of the key to each of them.
+    hot = max(hot_rows, (referred.agg(F.sum("n")).first()[0] or 0) // 1000)
+    heavy = F.broadcast(referred.where(F.col("n") > hot).select("relation", "key", "month", F.ceil(F.col("n") / hot).cast("int").alias("parts")))  # a thousand rows at most
+    same = ["relation", "key", "month"]
+    parts = F.coalesce("parts", F.lit(1))
+    suspects = cut(suspects.join(heavy, same, "left").withColumn("parts", parts))
+    dealt = rows.join(heavy, same, "left").withColumn("part", F.pmod(F.xxhash64("id", "time"), parts)).drop("parts")
+    each = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))).drop("parts")
+    hit = dealt.join(each(suspects), [*same, "part"])
     sure = hit.where("sure").select("table_name", "time", "id")
-    t = targets.select(F.col("relation").alias("t_relation"), F.col("key").alias("t_key"), "since", "until")
-    held = (F.col("relation") == F.col("t_relation")) & (F.col("key") == F.col("t_key")) & (F.col("since") <= F.col("time")) & (F.col("until").isNull() | (F.col("until") > F.col("time")))
-    unsure = hit.where("NOT sure").join(t, held, "left_anti").select("table_name", "time", "id")
+    doubtful = each(suspects.where("NOT sure").groupBy("relation", "key").agg(F.max("parts").alias("parts")))
+    t = held.join(doubtful, ["relation", "key"]).select(F.col("relation").alias("t_relation"), F.col("key").alias("t_key"), F.col("part").alias("t_part"), "since", "until")
+    held_then = (F.col("relation") == F.col("t_relation")) & (F.col("key") == F.col("t_key")) & (F.col("part") == F.col("t_part")) & (F.col("since") <= F.col("time")) & (F.col("until").isNull() | (F.col("until") > F.col("time")))
+    unsure = hit.where("NOT sure").join(t, held_then, "left_anti").select("table_name", "time", "id")
     return sure.unionByName(unsure).select("table_name", F.date_format("time", "yyyy-MM").alias("load_month"), "id").distinct()
