@@ -2,9 +2,11 @@
 
 1. Records are read into parts: street name, street type, house number, letter or building, staircase.
    Distinct ways of writing are read once, whatever the number of records.
-2. The distinct street forms of a settlement are sorted in differing component orders (name forward, name
-   backward, last word first). In each order, forms in one window are compared: by an edit distance that
-   counts a swap of neighbours as one error, with abbreviated first words matched by their beginning.
+2. The distinct street forms of a settlement are sorted in differing component orders: name forward, name
+   backward, last word first, and house number before name. In each order, forms in one window are compared:
+   by an edit distance that counts a swap of neighbours as one error, with abbreviated first words matched by
+   their beginning. The order is global and cut into blocks of equal size whose windows overlap, so a large
+   settlement is spread over many tasks and no key has to agree for two forms to meet.
 3. A rare form follows the commoner form it is a variant of, if only one can be meant; several equally
    good ones are kept as options until the house number tells.
 4. Records of one street are the same place only if number, letter or building, and staircase agree
@@ -18,6 +20,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +32,7 @@ CACHED = 1 << 16  # texts whose reading each worker keeps
 WINDOW = 10  # forms that a form is compared with on either side, in each order
 ANCHORS = 6  # common forms that a rare form is compared with on either side, in each order
 ANCHOR_SUPPORT = 3
-BLOCK = 3  # letters of the sort key that neighbours share; each order begins elsewhere in the name
+BLOCK = 4096  # forms of the sorted order that one task compares at a time
 
 # Street types and their ways of writing, without accents and case.
 TYPES = {
@@ -273,35 +276,47 @@ def penalty(a: tuple, b: tuple) -> float:
     return cost + 2 * d
 
 
-def neighbours(forms: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -> DataFrame:
-    """Similar forms of one area, found in three orders: (``a``, ``b``, ``cost``), every pair in both directions.
+def neighbours(forms: DataFrame, numbered: DataFrame, window: int = WINDOW, anchors: int = ANCHORS, block: int = BLOCK) -> DataFrame:
+    """Similar forms of one area, found in four orders: (``a``, ``b``, ``cost``), every pair in both directions.
 
-    A window holds the next ``window`` forms and the ``anchors`` nearest common forms on either side; a form is
-    common if it is complete and seen with at least ``ANCHOR_SUPPORT`` numbers.
+    A window holds the next ``window`` forms and, but for the order by number, the ``anchors`` nearest common forms on
+    either side, however many rare ones crowd between; a form is common if it is complete and seen with at least
+    ``ANCHOR_SUPPORT`` numbers. ``numbered``: the distinct (``form_id``, ``number``) that occur, for the order by number.
     """
-    name = F.when(F.col("abbreviation") != "", F.col("rest")).otherwise(F.col("folded"))
-    last_first = F.when(F.col("abbreviation") != "", F.concat("rest", "abbreviation")).when(F.col("head") != "", F.concat(F.expr("substring(folded, length(head) + 1)"), "head")).otherwise(F.col("folded"))
+    short = F.col("abbreviation") != ""
+    name = F.when(short, F.col("rest")).otherwise(F.col("folded"))
+    last_first = F.when(short, F.concat("rest", "abbreviation")).when(F.col("head") != "", F.concat(F.expr("substring(folded, length(head) + 1)"), "head")).otherwise(F.col("folded"))
     orders = F.array(
         F.struct(F.lit(0).alias("pass"), F.col("folded").alias("sort_key")),
         F.struct(F.lit(1).alias("pass"), F.reverse(name).alias("sort_key")),
         F.struct(F.lit(2).alias("pass"), last_first.alias("sort_key")),
     )
-    form = F.struct(*FORM).alias("form")
-    anchor = (F.col("support") >= ANCHOR_SUPPORT) & (F.col("abbreviation") == "") & (F.col("kind") != "")
-    keyed = forms.select("area", "form_id", form, anchor.alias("anchor"), F.explode(orders).alias("o"))
-    keyed = keyed.select("area", "form_id", "form", "anchor", F.col("o.pass").alias("pass"), F.col("o.sort_key").alias("sort_key")).withColumn("block", F.substring("sort_key", 1, BLOCK))
-    w = Window.partitionBy("area", "pass", "block").orderBy("sort_key", "form_id")
-    placed = keyed.withColumn("near", F.collect_list(F.struct("form_id", "form")).over(w.rowsBetween(1, window))).withColumn("at", F.sum(F.col("anchor").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    placed = cut(placed)
-    next_forms = placed.select(F.col("form_id").alias("a"), F.col("form").alias("fa"), F.explode("near").alias("n")).select("a", "fa", F.col("n.form_id").alias("b"), F.col("n.form").alias("fb"))
-    # However many rare forms crowd a window, the nearest common ones are in it too.
-    seek = placed.where("NOT anchor").select("area", "pass", "block", F.col("form_id").alias("a"), F.col("form").alias("fa"), F.explode(F.sequence(F.col("at") - anchors + 1, F.col("at") + anchors)).alias("at"))
-    common = placed.where("anchor").select("area", "pass", "block", "at", F.col("form_id").alias("b"), F.col("form").alias("fb"))
-    pairs = next_forms.unionByName(seek.join(common, ["area", "pass", "block", "at"]).select("a", "fa", "b", "fb"))
-    # Cheap test in the JVM: the shorter of two names, or what is left of an abbreviated one, is close in letters.
-    bare = lambda f: F.when(f["abbreviation"] != "", f["rest"]).otherwise(f["folded"])
-    short = (F.col("fa.abbreviation") != "") | (F.col("fb.abbreviation") != "")
-    pairs = pairs.where(((F.col("fa.kind") == F.col("fb.kind")) | (F.col("fa.kind") == "") | (F.col("fb.kind") == "")) & (short | (F.levenshtein(bare(F.col("fa")), bare(F.col("fb")), 2) >= 0))).distinct()
+    anchor = (F.col("support") >= ANCHOR_SUPPORT) & ~short & (F.col("kind") != "")
+    light = ["form_id", F.when(F.col("kind") != "", F.xxhash64("kind")).otherwise(F.lit(0)).alias("kind"), short.alias("short")]
+    by_name = forms.select("area", *light, anchor.alias("anchor"), F.explode(orders).alias("o")).select(F.xxhash64("area", "o.pass").alias("list"), "form_id", "kind", "short", "anchor", "o.sort_key")
+    by_number = numbered.where("number != ''").join(forms, "form_id").select(F.xxhash64("area", F.lit(3), "number").alias("list"), *light, F.lit(False).alias("anchor"), F.col("folded").alias("sort_key"))
+    order = ["list", "sort_key", "form_id"]
+    ordered = cut(by_name.unionByName(by_number).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
+    # Places in the whole order, from those in each partition; one row for each partition is broadcast.
+    part = F.shiftright("__id", 33).alias("__part")
+    before = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("__part")) - F.col("n")).drop("n")
+    placed = ordered.withColumn("__part", part).join(F.broadcast(before), "__part").withColumn("n", F.col("before") + F.col("__id") % (1 << 33)).drop("__part", "before", "__id")
+    placed = placed.withColumn("block", F.expr(f"n DIV {block}"))
+    # Common forms are numbered too: by their place in the block, and the common ones of the blocks before it.
+    total = placed.groupBy("block").agg(F.count_if("anchor").alias("k")).withColumn("first_at", F.sum("k").over(Window.orderBy("block")) - F.col("k"))
+    own = placed.withColumn("guest", F.lit(0))
+    ahead = placed.where(f"n % {block} < {window} AND block > 0").withColumn("block", F.col("block") - 1).withColumn("guest", F.lit(1))
+    stay = placed.where("anchor").withColumn("at", F.row_number().over(Window.partitionBy("block").orderBy("n"))).join(total.select("block", "first_at"), "block")
+    stay = stay.withColumn("at", F.col("at") + F.col("first_at")).drop("first_at", "block")
+    asked = total.select("block", F.explode(F.concat(F.sequence(F.col("first_at") - anchors + 1, F.col("first_at")), F.sequence(F.col("first_at") + F.col("k") + 1, F.col("first_at") + F.col("k") + anchors))).alias("at"))
+    visit = stay.join(asked, "at").withColumn("guest", F.lit(2)).drop("at")
+    columns = ["block", "n", "list", "form_id", "kind", "short", "anchor", "sort_key", "guest"]
+    rows = own.select(*columns).unionByName(ahead.select(*columns)).unionByName(visit.select(*columns))
+
+    def meet(t: pd.DataFrame) -> pd.DataFrame:
+        return window_pairs(t, window, anchors)
+
+    pairs = rows.groupBy("block").applyInPandas(meet, "a long, b long").distinct()
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
@@ -309,12 +324,53 @@ def neighbours(forms: DataFrame, window: int = WINDOW, anchors: int = ANCHORS) -
             t["cost"] = [penalty(x, y) for x, y in zip(one, two)]
             yield t.loc[t["cost"] < 9, ["a", "b", "cost"]]
 
-    pairs = pairs.select("a", "b", *(F.col(f"f{f}.{p}").alias(f"{side}_{p}") for f, side in (("a", "x"), ("b", "y")) for p in FORM))
-    scored = cut(pairs.mapInPandas(score, "a long, b long, cost double"))
+    side = lambda x, key: forms.select(F.col("form_id").alias(key), F.col("area").alias(f"{x}_area"), *(F.col(p).alias(f"{x}_{p}") for p in FORM))
+    both = pairs.join(side("x", "a"), "a").join(side("y", "b"), "b").where("x_area = y_area")
+    scored = cut(both.select("a", "b", *(f"{x}_{p}" for x in "xy" for p in FORM)).mapInPandas(score, "a long, b long, cost double"))
     return scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
 
 
-def resolve_streets(forms: DataFrame) -> DataFrame:
+def letter_sets(texts: list[str]) -> np.ndarray:
+    """For each text a bit for each letter in it; different letters may share a bit."""
+    raw = np.frombuffer(" ".join([*texts, ""]).encode("utf-32-le", "replace"), np.uint32)
+    sizes = np.array([len(t) + 1 for t in texts])
+    return np.bitwise_or.reduceat(np.uint64(1) << (raw & np.uint32(63)).astype(np.uint64), np.cumsum(sizes) - sizes)
+
+
+def window_pairs(t: pd.DataFrame, window: int, anchors: int) -> pd.DataFrame:
+    """Forms of a block that meet in a window and may be similar by their letters: distinct (``a``, ``b``), a < b."""
+    t = t.sort_values("n", kind="stable").reset_index(drop=True)
+    t = t.loc[~t.duplicated("n")] if t["n"].duplicated().any() else t  # a guest for two reasons
+    n, lists, form, kind, short = (t[c].to_numpy() for c in ("n", "list", "form_id", "kind", "short"))
+    anchor, own = t["anchor"].to_numpy(), t["guest"].to_numpy() == 0
+    sets, size = letter_sets(t["sort_key"].tolist()), t["sort_key"].str.len().to_numpy()
+
+    def alike(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        m = (lists[i] == lists[j]) & ((kind[i] == kind[j]) | (kind[i] == 0) | (kind[j] == 0)) & (form[i] != form[j])
+        i, j = i[m], j[m]
+        x, y = sets[i] & ~sets[j], sets[j] & ~sets[i]
+        x, y = np.bitwise_count(x), np.bitwise_count(y)
+        near = np.where(short[i] | short[j], np.minimum(x, y) <= 2, (x + y <= 2) & (np.abs(size[i] - size[j]) <= 1))
+        return np.stack([i[near], j[near]], 1)
+
+    at = np.arange(len(t))
+    found = []
+    for k in range(1, min(window, len(t) - 1) + 1):
+        i = at[:-k]
+        i = i[own[i] & (n[i + k] - n[i] == k)]
+        found.append(alike(i, i + k))
+    common = np.flatnonzero(anchor)
+    rare = at[own & ~anchor]
+    place = np.searchsorted(n[common], n[rare])
+    for d in range(-anchors, anchors):
+        m = (place + d >= 0) & (place + d < len(common))
+        found.append(alike(rare[m], common[place[m] + d]))
+    pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+    a, b = form[pairs[:, 0]], form[pairs[:, 1]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+
+
+def resolve_streets(forms: DataFrame, numbered: DataFrame) -> DataFrame:
     """Roots of street forms: (``form_id``, ``root``); several roots if more than one is equally good.
 
     ``forms``: area, form_id, the form's parts and ``support`` (different numbers seen with it). A form
@@ -322,21 +378,23 @@ def resolve_streets(forms: DataFrame) -> DataFrame:
     a slip of the pen is followed only if the form is rare beside the other.
     """
     rank = forms.select(F.col("form_id"), F.col("support"), F.struct("support", ((F.col("kind") != "").cast("int") + (F.col("abbreviation") == "").cast("int")).alias("complete"), "form_id").alias("rank"))
-    near = neighbours(forms)
+    near = neighbours(forms, numbered)
     ra = rank.select(F.col("form_id").alias("a"), F.col("support").alias("sa"), F.col("rank").alias("ra"))
     rb = rank.select(F.col("form_id").alias("b"), F.col("support").alias("sb"), F.col("rank").alias("rb"))
     edges = near.join(ra, "a").join(rb, "b")
     slip = F.col("cost") >= 1.5
     up = edges.where((F.col("ra") < F.col("rb")) & (~slip | (F.col("sa") <= F.greatest(F.lit(2), F.col("sb") / 8))))
     best = cut(up.withColumn("least", F.min("cost").over(Window.partitionBy("a"))).where("cost <= least + 0.01").select("a", "b").distinct())
-    # Two more steps lead variants of variants to their roots.
-    for _ in range(2):
-        further = best.select(F.col("a").alias("b"), F.col("b").alias("c"))
-        best = cut(best.join(further, "b", "left").select("a", F.coalesce("c", "b").alias("b")).distinct())
+    # Variants of variants are led to their roots, each step twice as far, until none has a way to go.
+    while True:
+        further = best.join(best.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left")
+        if further.where("c IS NOT NULL").isEmpty():
+            break
+        best = cut(further.select("a", F.coalesce("c", "b").alias("b")).distinct())
     return forms.select("form_id").join(best.withColumnRenamed("a", "form_id"), "form_id", "left").select("form_id", F.coalesce("b", "form_id").alias("root"))
 
 
-def same_places(records: DataFrame, extra_forms: DataFrame | None = None) -> DataFrame:
+def same_places(records: DataFrame) -> DataFrame:
     """Place of each record: (``kind_of_record``, ``id``, ``place``), for records whose place another may share.
 
     ``records``: ``kind_of_record``, ``id``, ``area``, ``mode`` (how to read it), and the texts ``street``, ``street_type``,
@@ -365,7 +423,7 @@ def same_places(records: DataFrame, extra_forms: DataFrame | None = None) -> Dat
         F.count_distinct("number").alias("support"),
         *(F.min(c).alias(c) for c in ("area", "accented", "folded", "abbreviation", "rest", "kind")), F.max("head").alias("head"),
     )
-    roots = resolve_streets(cut(forms))
+    roots = resolve_streets(cut(forms), parsed.select("form_id", "number").distinct())
     options = roots.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("form_id")))
     joined = cut(parsed.select("kind_of_record", "id", "form_id", "number", "spot").join(options, "form_id"))
     sure = joined.where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
@@ -403,9 +461,11 @@ def address_records(staging: DataFrame, canonical: DataFrame, mapping: DataFrame
     """
     text = lambda c: blank_to_empty(F.col(c).cast("string"))
     none = F.lit("")
-    last = staging.agg(F.max(blank_to_empty("run_tag")).alias("last_tag"))
+    tags = [r[0] for r in staging.select("run_tag").distinct().collect() if r[0] is not None]  # one short text for each delivery
+    bare = {r["raw"]: r["tag"] for r in staging.sparkSession.createDataFrame([(x,) for x in tags], "raw string").select("raw", blank_to_empty("raw").alias("tag")).collect()}
+    last = [x for x in tags if bare[x] and bare[x] == max(bare.values())]
     gate = (
-        staging.join(F.broadcast(last), blank_to_empty("run_tag") == F.col("last_tag"))  # one row
+        staging.where(F.col("run_tag").isin(last))
         .select(F.lit("gate").alias("kind_of_record"), text("gate_code").alias("id"), area_of(F.col("county_code"), F.col("settlement_name")).alias("area"), F.lit("parts").alias("mode"),
                 text("street_name").alias("street"), text("street_type").alias("street_type"), text("house_number").alias("house"), text("building").alias("building"), text("staircase").alias("stairs"), none.alias("full"))
         .where("id != ''").distinct()
@@ -424,13 +484,20 @@ def address_records(staging: DataFrame, canonical: DataFrame, mapping: DataFrame
     return gate.unionByName(canon).unionByName(station)
 
 
+def address_classes(staging: DataFrame, canonical: DataFrame, mapping: DataFrame, stations: DataFrame) -> DataFrame:
+    """The place of every record that has one: distinct (``kind_of_record``, ``id``, ``place``).
+
+    Records of one kind with one place are the same place. Nulls and blanks are parts that are not given; records
+    without street name, gate code or id have no place; repeated rows count once; an id with several versions is at
+    each version's place; empty tables give no rows. Only the named columns are read, so others may have any name.
+    """
+    return same_places(address_records(staging, canonical, mapping, stations)).where("kind_of_record != 'mapped'")
+
+
 def address_pairs(staging: DataFrame, canonical: DataFrame, mapping: DataFrame, stations: DataFrame) -> DataFrame:
-    """Pairs of records of the same kind that denote the same place.
+    """The places of ``address_classes`` written out as pairs of records of the same kind.
 
-    Result: distinct (``pair_kind``, ``id_a``, ``id_b``), the smaller id (as text) first. Nulls and blanks are
-    parts that are not given; records without street name, gate code or id are in no pair; repeated rows
-    count once; an id with several versions is at each version's place; empty tables give no pairs. Only
-    the named columns are read, so others may have any name.
+    Result: distinct (``pair_kind``, ``id_a``, ``id_b``), the smaller id (as text) first. A place with very many records
+    has very many pairs; what goes on with places should take the classes.
     """
-    places = same_places(address_records(staging, canonical, mapping, stations)).where("kind_of_record != 'mapped'")
-    return pairs_of(places)
+    return pairs_of(address_classes(staging, canonical, mapping, stations))

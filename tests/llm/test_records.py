@@ -1,8 +1,9 @@
 """Survivors of groups, and addresses written differently."""
 
 import datetime as dt
+import random
 
-from tessera.llm.addresses import address_pairs, house_parts, one_error, penalty, read_address
+from tessera.llm.addresses import address_classes, address_pairs, house_parts, neighbours, one_error, penalty, read_address
 from tessera.llm.survivors import DESCRIPTION, survivors
 
 D = lambda d: dt.datetime(2025, 7, d)
@@ -100,3 +101,27 @@ def test_address_pairs(spark):
     got = {tuple(r) for r in address_pairs(*args).collect()}
     assert got == {("gate", "s1", "v1"), ("gate", "s2", "v2"), ("gate", "s3", "v3"), ("gate", "v4", "v5"), ("gate", "s5", "w1"), ("canonical", "c1", "c2"), ("station", "p1", "p2"), ("station", "p1", "p3"), ("station", "p2", "p3")}
     assert address_pairs(*(x.limit(0) for x in args)).count() == 0
+
+
+def test_slips_in_short_names_meet(spark):
+    # No letters have to agree for two forms to be compared: the first three and the last three differ here.
+    g = lambda code, street, house: (1, "2", "01", "Kisfalu", street, "utca", house, None, None, code, "x")
+    rows = [g(f"a{i}", "Rózsa", str(i)) for i in range(1, 9)] + [g("b1", "Rósza", "1")]
+    rows += [g(f"d{i}", "Dózsa", str(i)) for i in range(1, 9)] + [g("e1", "Dóssa", "3")]
+    rows += [g(f"x{i:02d}", f"{c}{d}{c.lower()}{d}lak", "7") for i, (c, d) in enumerate((c, d) for c in "BCFGH" for d in "aeiou")]
+    empty = "id string, county_code string, settlement_name string, street_name string, house_number string, building string, staircase string, full_address string"
+    others = spark.createDataFrame([], empty), spark.createDataFrame([], "original_address_id string"), spark.createDataFrame([], "id string, settlement_id string, polling_station_address string")
+    staging = spark.createDataFrame(rows, STAGING)
+    assert {tuple(r) for r in address_pairs(staging, *others).collect()} == {("gate", "a1", "b1"), ("gate", "d3", "e1")}
+    assert {tuple(r)[:2] for r in address_classes(staging, *others).collect()} == {("gate", r[9]) for r in rows}
+
+
+def test_windows_reach_over_blocks(spark):
+    r = random.Random(4)
+    names = sorted({"".join(r.choice("abcdefghij") for _ in range(7)) for _ in range(60)})
+    names += [n[:3] + "z" + n[4:] for n in names[:20]]
+    form = lambda i, n: (i, "x", n, n, "", "", "", "utca", 5 if i < 60 else 1)
+    forms = spark.createDataFrame([form(i, n) for i, n in enumerate(names)], "form_id long, area string, accented string, folded string, head string, abbreviation string, rest string, kind string, support int")
+    numbered = forms.selectExpr("form_id", "'1' AS number")
+    whole, cut_up = ({tuple(x) for x in neighbours(forms, numbered, block=size).collect()} for size in (4096, 7))
+    assert whole == cut_up and {(a, b) for a, b, _ in whole} >= {(i, 60 + i) for i in range(20)}
