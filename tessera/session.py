@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -46,21 +48,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; a folder of our own is set
-    only where that setting is missing, which is the case in local tests.
+    A folder of our own, new for each process, is used only where that setting is missing, which is the case in local tests.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        sc = spark.sparkContext
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        if not hasattr(sc, "_tessera_folder"):
+            sc._tessera_folder = tempfile.mkdtemp(prefix="tessera-checkpoints-")
+            atexit.register(shutil.rmtree, sc._tessera_folder, ignore_errors=True)
+        configured = sc._tessera_folder
+    return configured
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            configured = os.path.join(tempfile.gettempdir(), "tessera-checkpoints")
-        sc.setCheckpointDir(configured)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -10,7 +10,7 @@ from tessera.operators.geocode import best_fuzzy, better_wins, interpolate, stat
 from tessera.operators.orphans import Reference, compress, expand, orphans
 from tessera.operators.proximity import cover, edges, even_odd, near_pairs, parse_polygon, regions_of
 from tessera.operators.rejects import STAGING_COLUMNS, parse_records, record_ends
-from tessera.operators.snapshots import snapshot_changes
+from tessera.operators.snapshots import keep_snapshots, kept_changes, snapshot_changes
 from tessera.operators.tables import differences, keep_first, last_wins, with_sequence
 
 D = lambda d, h=0: dt.datetime(2025, 7, d, h)
@@ -35,10 +35,10 @@ def test_bitmaps_round_trip():
     assert not np.asarray(expand(None)).any()
 
 
-def refs(spark, child, parent):
+def refs(spark, child, parent, **kw):
     c = spark.createDataFrame(child, "id string, ref string, t timestamp, key string, code long")
     p = spark.createDataFrame(parent, "id string, loaded_at timestamp, deleted_at timestamp, month string")
-    return orphans([Reference("child", c, "id", "ref", "t", p, target_to="deleted_at")])
+    return orphans([Reference("child", c, "id", "ref", "t", p, target_to="deleted_at")], **kw)
 
 
 def test_orphans_at_their_own_time(spark):
@@ -66,6 +66,14 @@ def test_orphans_against_brute_force(spark):
     child = [(str(i), "k1" if r.random() < 0.3 else f"k{r.randrange(80)}", day(), "", 0) for i in range(600)]
     want = sorted({("child", t.strftime("%Y-%m"), i) for i, k, t, _, _ in child if not any(p == k and a <= t and (b is None or b > t) for p, a, b, _ in parent)})
     assert rows(refs(spark, child, parent)) == want
+    assert rows(refs(spark, child, parent, hot_rows=5)) == want  # hot keys dealt to several tasks
+
+
+def test_orphans_of_far_dates(spark):
+    # The work depends on the rows, not on the months between their dates.
+    parent = [(f"k{i}", D(1), None if i % 2 else dt.datetime(9990, 3, 1), "") for i in range(2000)]
+    child = [("1", "k1", dt.datetime(9990, 2, 2), "", 0), ("2", "k2", dt.datetime(9990, 2, 2), "", 0), ("3", "k2", dt.datetime(9990, 3, 2), "", 0), ("4", "k3", dt.datetime(1, 1, 2), "", 0)]
+    assert rows(refs(spark, child, parent)) == [("child", "0001-01", "4"), ("child", "9990-03", "3")]
 
 
 # Snapshots
@@ -106,6 +114,19 @@ def test_snapshot_changes_against_brute_force(spark):
     assert changes(spark, data, with_columns=False) == sorted(want)
 
 
+def test_a_new_snapshot_moves_only_itself(spark):
+    schema = "run string, key string, a string, at int"
+    first = spark.createDataFrame([("1", f"k{i:03d}", "a b", 1) for i in range(300)], schema)
+    second = spark.createDataFrame([("2", f"k{i:03d}", "a\x1fb" if i == 7 else "a c" if i == 8 else "a b", 1) for i in range(1, 302)], schema)
+    for exact in (True, False):
+        kept = keep_snapshots(first, "run", "key", ["a"], ("at",), exact, ranges=5)
+        files = dict(kept.files)
+        kept = keep_snapshots(second, "run", "key", ["a"], ("at",), exact, kept=kept)
+        assert len(kept.borders) == 4 and len(kept.files) == 10 and files.items() <= kept.files.items() and kept.snapshots() == ["1", "2"]
+        got = rows(kept_changes(spark, kept, "run", "key", [("1", "2")], False))
+        assert got == [("2", "k000", "removed"), ("2", "k007", "changed"), ("2", "k008", "changed"), ("2", "k300", "added"), ("2", "k301", "added")]
+
+
 # Proximity
 
 
