@@ -189,9 +189,8 @@ def orphans(references: list[Reference], hot_rows: int = 1_000_000) -> DataFrame
     dealt = rows.join(heavy, same, "left").withColumn("part", F.pmod(F.xxhash64("id", "time"), parts)).drop("parts")
     each = lambda df: df.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))).drop("parts")
     hit = dealt.join(each(suspects), [*same, "part"])
-    sure = hit.where("sure").select("table_name", "time", "id")
     doubtful = each(suspects.where("NOT sure").groupBy("relation", "key").agg(F.max("parts").alias("parts")))
     t = held.join(doubtful, ["relation", "key"]).select(F.col("relation").alias("t_relation"), F.col("key").alias("t_key"), F.col("part").alias("t_part"), "since", "until")
     held_then = (F.col("relation") == F.col("t_relation")) & (F.col("key") == F.col("t_key")) & (F.col("part") == F.col("t_part")) & (F.col("since") <= F.col("time")) & (F.col("until").isNull() | (F.col("until") > F.col("time")))
-    unsure = hit.where("NOT sure").join(t, held_then, "left_anti").select("table_name", "time", "id")
-    return sure.unionByName(unsure).select("table_name", F.date_format("time", "yyyy-MM").alias("load_month"), "id").distinct()
+    # A key that is gone for certain has no span then either.
+    return hit.join(t, held_then, "left_anti").select("table_name", F.date_format("time", "yyyy-MM").alias("load_month"), "id").distinct()
