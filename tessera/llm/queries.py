@@ -56,6 +56,7 @@ QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_records, p6_survivors,
 
 _UNKNOWN = ", ".join(f"'{u}'" for u in UNKNOWN)
 _KNOWN = lambda c: f"CASE WHEN lower(trim({c})) NOT IN ({_UNKNOWN}) THEN trim({c}) END"
+_FILLED = "(a0.accessibility_flag IS NOT NULL)::INT + (a0.building IS NOT NULL)::INT + (a0.staircase IS NOT NULL)::INT + (a0.pir_code IS NOT NULL)::INT + (a0.point IS NOT NULL)::INT"
 _P6 = f"""
 WITH pairs AS (SELECT DISTINCT canonical_address_id AS g, original_address_id AS id FROM address_mapping WHERE canonical_address_id IS NOT NULL AND original_address_id IS NOT NULL),
 rec AS (SELECT DISTINCT id, coalesce(t.trust_rank, -1000000) AS rank, coalesce(epoch_us(c.updated_at), -1e18::BIGINT) AS time,
@@ -64,7 +65,7 @@ rec AS (SELECT DISTINCT id, coalesce(t.trust_rank, -1000000) AS rank, coalesce(e
         FROM canonical_address c LEFT JOIN source_trust t USING (record_source) WHERE id IS NOT NULL),
 j AS (SELECT p.g, r.* FROM pairs p JOIN rec r USING (id)),
 big AS (SELECT g FROM j GROUP BY g HAVING count(DISTINCT id) > 1),
-m AS (SELECT j.* FROM j JOIN big USING (g))"""
+m AS (SELECT a0.*, {_FILLED} AS filled FROM j a0 JOIN big USING (g))"""
 _P6_FOUND = _P6 + """,
 behind AS (SELECT a.g, a.id FROM m a WHERE NOT EXISTS (
   SELECT 1 FROM m b WHERE b.g = a.g AND (b.rank > a.rank OR b.time > a.time
@@ -72,22 +73,21 @@ behind AS (SELECT a.g, a.id FROM m a WHERE NOT EXISTS (
     OR (a.staircase IS NULL AND b.staircase IS NOT NULL) OR (a.pir_code IS NULL AND b.pir_code IS NOT NULL) OR (a.point IS NULL AND b.point IS NOT NULL))))
 SELECT g AS canonical_address_id, min(id) AS original_address_id FROM behind GROUP BY g HAVING count(*) = 1"""
 
-_BEST = lambda c: f"first({c} ORDER BY {c} IS NOT NULL DESC, rank DESC, time DESC, {c} DESC) AS {c}"
+_BEST = lambda c: f"first({c} ORDER BY {c} IS NOT NULL DESC, rank DESC, time DESC, filled DESC, id DESC, {c} DESC) AS {c}"
 _P6_SURVIVORS = _P6 + f"""
 SELECT g AS canonical_address_id, n_records, accessibility_flag, building, staircase, pir_code, point.latitude AS latitude, point.longitude AS longitude, latest, w.original_address_id AS whole_record_id
 FROM (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_flag", "building", "staircase", "pir_code", "point")))},
       CASE WHEN max(time) > -1e18::BIGINT THEN make_timestamp(max(time)) END AS latest FROM m GROUP BY g) s
 LEFT JOIN ({_P6_FOUND}) w ON w.canonical_address_id = s.g"""
-_LIKE_ONE = lambda c: f"first({c} ORDER BY {c} IS NOT NULL DESC, rank DESC, time DESC, id DESC, {c} DESC) AS {c}"
 _P6_RECORDS = f"""
 WITH pairs AS (SELECT DISTINCT canonical_address_id AS g, original_address_id AS id FROM address_mapping WHERE canonical_address_id IS NOT NULL AND original_address_id IS NOT NULL),
 rec AS (SELECT DISTINCT id, coalesce(t.trust_rank, -1000000) AS rank, coalesce(epoch_us(c.updated_at), -1e18::BIGINT) AS time,
         {", ".join(f"{_KNOWN(c)} AS {c}" for c in ("accessibility_flag", "building", "staircase", "pir_code", *DESCRIPTION, "geocoding_quality"))},
         CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN struct_pack(latitude := latitude, longitude := longitude) END AS point
         FROM canonical_address c LEFT JOIN source_trust t USING (record_source) WHERE id IS NOT NULL),
-j AS (SELECT p.g, r.* FROM pairs p JOIN rec r USING (id)),
-s AS (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_flag", "building", "staircase", "pir_code", "point")))}, {", ".join(map(_LIKE_ONE, DESCRIPTION))},
-      first(geocoding_quality ORDER BY point IS NOT NULL DESC, (point IS NOT NULL OR geocoding_quality IS NOT NULL) DESC, rank DESC, time DESC, point DESC NULLS LAST, geocoding_quality DESC NULLS LAST) AS geocoding_quality,
+j AS (SELECT p.g, a0.*, {_FILLED} AS filled FROM pairs p JOIN rec a0 USING (id)),
+s AS (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_flag", "building", "staircase", "pir_code", "point")))}, {", ".join(map(_BEST, DESCRIPTION))},
+      first(geocoding_quality ORDER BY point IS NOT NULL DESC, (point IS NOT NULL OR geocoding_quality IS NOT NULL) DESC, rank DESC, time DESC, filled DESC, id DESC, geocoding_quality DESC NULLS LAST) AS geocoding_quality,
       CASE WHEN max(time) > -1e18::BIGINT THEN make_timestamp(max(time)) END AS latest FROM j GROUP BY g HAVING count(DISTINCT id) > 1)
 SELECT g AS canonical_address_id, n_records, accessibility_flag, building, staircase, pir_code, {", ".join(DESCRIPTION)}, geocoding_quality, point.latitude AS latitude, point.longitude AS longitude, latest, w.original_address_id AS whole_record_id
 FROM s LEFT JOIN ({_P6_FOUND}) w ON w.canonical_address_id = s.g"""
