@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ STANDING_RUN = 15  # words in a row that make a stretch of standing text
 STANDING_SHARE, STANDING_LEAST = 0.013, 4  # of different texts that carry it, and texts at least
 CHUNK_CHARS = 1_000_000
 SPAN = 1 << 32  # room for the difference of two word positions
+INDEX_BYTES = 64 << 20  # memory that the index of one pass may take in each Python worker
+WORD_BYTES = 72  # what the index holds for each word of an item, its filters included
 
 # Signs that character recognition takes for each other.
 ALIKE = ("o0", "l1i", "s5", "ec")
@@ -143,22 +146,26 @@ class Items:
             inside = np.searchsorted(self.begins, pos, side="right") == np.searchsorted(self.begins, pos + len(mask) - 1, side="right")
             s, pos = s[inside], pos[inside]
             order = np.argsort(s, kind="stable")
-            s, pos = s[order], pos[order]
-            filt = np.zeros(1 << 20, bool)
-            filt[(s & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+            s, pos = s[order], pos[order].astype(np.int32)
+            size = 1 << max(16, (4 * len(s)).bit_length())
+            filt = np.zeros(size, bool)
+            filt[(s & np.uint64(size - 1)).astype(np.int64)] = True
             self.tables.append((mask, s, pos, filt))
 
+    def nbytes(self) -> int:
+        return self.hashes.nbytes + self.begins.nbytes + sum(s.nbytes + pos.nbytes + filt.nbytes for _, s, pos, filt in self.tables)
+
     def hits(self, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, str]]:
         """Per mask (word positions in ``h``, word positions among the items) of equal seeds."""
         for mask, s, pos, filt in self.tables:
             d = seeds(h, mask)
             if not len(d) or not len(s):
                 continue
-            may = np.flatnonzero(filt[(d & np.uint64((1 << 20) - 1)).astype(np.int64)])
+            may = np.flatnonzero(filt[(d & np.uint64(len(filt) - 1)).astype(np.int64)])
             low, high = np.searchsorted(s, d[may]), np.searchsorted(s, d[may], side="right")
             n = high - low
             at = np.repeat(may, n)
-            yield at, pos[np.repeat(low, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)], mask
+            yield at, pos[np.repeat(low, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)].astype(np.int64), mask
 
 
 def copies(h: np.ndarray, begins: np.ndarray) -> list[int | None]:
@@ -193,11 +200,11 @@ def candidates(items: Items, h: np.ndarray, begins: np.ndarray) -> Iterator[tupl
     pairs = [(np.searchsorted(begins, at, side="right") - 1) * n_items + item_of[pos] for at, pos, _ in hits]
     pair, n = np.unique(np.concatenate(pairs), return_counts=True)
     some = pair[n >= LEAST_HITS]
-    table = np.zeros((len(begins) - 1) * n_items, bool)
-    table[some] = True
+    if not len(some):
+        return
     codes, diags = [], []
     for (at, pos, mask), mine in zip(hits, pairs):
-        m = table[mine]
+        m = some[np.minimum(np.searchsorted(some, mine), len(some) - 1)] == mine
         at, pos, mine = at[m], pos[m], mine[m]
         diags.append(_distinct(mine * SPAN + (at - pos + SPAN // 2)))
         own = mine // n_items * n_words + pos
@@ -314,7 +321,7 @@ def _row_schema(kind: str) -> str:
     return f"copy long, doc {kind}, item int, starts array<int>, places array<long>, sizes array<int>, froms array<int>, tos array<int>"
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, item_bytes: int = 64 << 20, standing_share: float = STANDING_SHARE, standing_least: int = STANDING_LEAST) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, index_bytes: int = INDEX_BYTES, standing_share: float = STANDING_SHARE, standing_least: int = STANDING_LEAST) -> DataFrame:
     """Documents that carry at least ``least_words`` words in a row of an item's own wording.
 
     Result: distinct rows of ``key``, ``item_key``, and ``words`` and ``changes`` of the longest stretch found.
@@ -323,19 +330,21 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     ``STANDING_RUN`` words that at least the ``standing_share`` of all different texts carry (and at least
     ``standing_least``) do not count; texts of the same words are one, under however many ids. Null and empty texts leak nothing; rows without key are left out;
     repeated documents give one row; empty tables give none. Other columns are not read. The items are
-    gathered and sent to all tasks, up to ``item_bytes`` of text; more are taken in several passes over
-    the documents, so that the size of a broadcast stays bounded.
+    gathered and sent to all tasks as an index of at most ``index_bytes``; what is more is taken in several passes
+    over the documents, so that memory on the driver and in the workers stays bounded, however many items there
+    are. A pass takes an item word for each ``WORD_BYTES``.
     """
-    spark = documents.sparkSession
     tests = items.select(F.col(item_key).alias("k"), F.col(item_text).cast("string").alias("t")).where("k IS NOT NULL AND t IS NOT NULL").distinct()
-    size = tests.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    passes = max(1, -(-int(size) // item_bytes))
+    size = tests.agg(F.sum(F.regexp_count("t", F.lit(r"[\p{L}\p{N}]+")))).first()[0] or 0  # words
+    passes = max(1, -(-int(size) * WORD_BYTES // index_bytes))
     kind = documents.schema[key].dataType.simpleString()
     found, high = None, None
     for p in range(passes):
         part = tests.where(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == p).orderBy("k", "t").collect()
         index = Items([r["k"] for r in part], [r["t"] for r in part])
-        cand = cut(_candidates_of(documents, index, key, text, kind))
+        shared = documents.sparkSession.sparkContext.broadcast(index)
+        cand = cut(_candidates_of(documents, shared, key, text, kind))
+        shared.destroy()  # the candidates are written down
         if high is None:  # every pass has all texts
             high = max(standing_least, standing_share * cand.select("copy").distinct().count())
         one = _leaks_of(cand.where("item >= 0"), index.ids, kind, high, least_words)
@@ -344,9 +353,8 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     return found.select(F.col("doc").alias(key), F.col("item_id").cast(item_kind).alias(item_key), "words", "changes").groupBy(key, item_key).agg(F.max("words").alias("words"), F.min("changes").alias("changes"))
 
 
-def _candidates_of(documents: DataFrame, index: Items, key: str, text: str, kind: str) -> DataFrame:
+def _candidates_of(documents: DataFrame, shared: Broadcast, key: str, text: str, kind: str) -> DataFrame:
     """Rows of candidates, and a row with item -1 for each other text that has words."""
-    shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value

@@ -7,8 +7,8 @@
    knapsack dynamic program finds the dearest filling.
 3. The solution is rounded down; what is left over is filled in by the same program over the lengths
    left, then by best fit.
-4. Pieces take their places by their rank among pieces of equal length. Ranks come from salted groups,
-   so a length that a third of all pieces share is spread over many tasks.
+4. Pieces take their places by their rank among pieces of equal length. Ranks come from salted groups of
+   about ``GROUP`` pieces, so a length that a third of all pieces share is spread over as many tasks as it needs.
 """
 
 from __future__ import annotations
@@ -24,9 +24,9 @@ from tessera.llm.tokens import tokenized
 from tessera.session import cut
 
 ITERATIONS = 3000  # at most; each is one filling found by dynamic programming
-STEP = 0.5
+STEP = 0.5  # part of a length's demand that one filling meets at most
 GRID = 256  # steps of capacity in the dynamic program
-SALTS = 64
+GROUP = 1 << 20  # pieces of one length that are ranked in one group
 
 
 def knapsack(value: np.ndarray, lengths: np.ndarray, capacity: int, stock: np.ndarray, grid: int) -> np.ndarray:
@@ -92,24 +92,27 @@ def knapsack(value: np.ndarray, lengths: np.ndarray, capacity: int, stock: np.nd
 
 
 def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, iterations: int = ITERATIONS) -> list[tuple[np.ndarray, float]]:
-    """Fractional covering by configurations: (counts, how often), by multiplicative weights."""
-    size_price = lengths / capacity
-    weight = size_price.copy()
+    """Fractional covering by configurations: (counts, how often), by multiplicative weights.
+
+    No demand is met more than once, so what the fillings hold over the lower bound is only the room they leave.
+    """
+    weight = lengths / capacity
     grid = max(1, capacity // GRID)
     used: dict[bytes, list] = {}
-    covered = np.zeros(len(lengths))
+    left = np.ones(len(lengths))  # share of each length's demand that is not met yet
     for _ in range(iterations):
-        short = covered < 1
+        short = left > 0
         if not short.any():
             break
-        # A length whose demand is met has no price; others keep a little for their size.
-        price = np.where(short, weight + size_price * 1e-3, 0)
-        a = knapsack(price, lengths, capacity, demand, grid)
+        a = knapsack(np.where(short, weight, 0), lengths, capacity, np.where(short, demand, 0), grid)
         share = a / demand
+        held = a > 0
         top = share.max()
-        amount = STEP / top  # the length that this filling serves best gets this part of its demand
+        # The length that this filling serves best gets this part of its demand, unless another's is met before.
+        amount = min(STEP / top, (left[held] / share[held]).min())
         used.setdefault(a.tobytes(), [a, 0.0])[1] += amount
-        covered += amount * share
+        left -= amount * share
+        left[left < 1e-9] = 0
         weight *= np.exp(-STEP * share / top)
     return [(a, x) for a, x in used.values()]
 
@@ -202,7 +205,7 @@ def document_pieces(df: DataFrame, key: str, text: str, capacity: int) -> DataFr
     return df.select(key, F.col(text).cast("string").alias("__text")).mapInArrow(run, schema)
 
 
-def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048, iterations: int = ITERATIONS) -> DataFrame:
+def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = 2048, iterations: int = ITERATIONS, group: int = GROUP) -> DataFrame:
     """Places of all documents in sequences of at most ``capacity`` tokens.
 
     Result, one row for each piece: ``key``, ``piece_no``, ``token_start``, ``token_end``, ``char_start``,
@@ -210,34 +213,37 @@ def pack_documents(df: DataFrame, key: str = "doc_id", text: str = "text", capac
     it alone is longer than the capacity; its pieces come out whole, each once. A document without tokens
     (empty or null text) has one empty piece at offset 0 of some sequence. Repeated rows are packed each;
     null keys are kept; an empty table gives no rows. Other columns are not read. The driver holds the
-    histogram by length and salt, whose size the capacity and the number of salts bound.
+    histogram by length, and one number for each ``group`` pieces of one length; the capacity bounds both and the plan but for that.
     """
-    pieces = cut(document_pieces(df, key, text, capacity).withColumn("size", F.col("token_end") - F.col("token_start")).withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), F.lit(SALTS)).cast("int")))
-    counted = {(r["size"], r["salt"]): r["n"] for r in pieces.groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = sorted({s for s, _ in counted if s > 0})
-    base: dict[tuple[int, int], int] = {}
-    totals = []
-    for s in sizes:
-        n = 0
-        for salt in range(SALTS):
-            base[s, salt] = n
-            n += counted.get((s, salt), 0)
-        totals.append(n)
-    where, bins = places(plan(np.array(sizes, np.int64), np.array(totals, np.int64), capacity, iterations))
-    shared = df.sparkSession.sparkContext.broadcast((base, where, max(bins, 1)))
-    ranked = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("size", "salt").orderBy(key, "piece_no")) - 1)
+    pieces = cut(document_pieces(df, key, text, capacity).withColumn("size", (F.col("token_end") - F.col("token_start")).cast("int")))
+    totals = {r["size"]: r["n"] for r in pieces.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    salts = {s: -(-n // group) for s, n in totals.items()}
+    sizes = sorted(s for s in totals if s > 0)
+    many = {s: k for s, k in salts.items() if k > 1}  # lengths that more than one group ranks
+    parts = F.coalesce(F.create_map(*(F.lit(x) for e in many.items() for x in e))[F.col("size")], F.lit(1)) if many else F.lit(1)
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64(key, "piece_no"), parts).cast("int"))
+    counted = {(r["size"], r["salt"]): r["n"] for r in salted.where(F.col("size").isin(list(many))).groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n")).collect()} if many else {}
+    # Ranks before each group, length after length.
+    begins = dict(zip(sizes, np.cumsum([0, *(salts[s] for s in sizes)]).tolist()))
+    base = np.zeros(sum(salts[s] for s in sizes), np.int64)
+    for s in many.keys() & begins.keys():
+        n = [counted.get((s, k), 0) for k in range(salts[s])]
+        base[begins[s] : begins[s] + salts[s]] = np.cumsum(n) - n
+    where, bins = places(plan(np.array(sizes, np.int64), np.array([totals[s] for s in sizes], np.int64), capacity, iterations))
+    shared = df.sparkSession.sparkContext.broadcast((begins, base, where, max(bins, 1)))
+    ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("size", "salt").orderBy(key, "piece_no")) - 1)
     kept = [key, "piece_no", "token_start", "token_end", "char_start", "char_end"]
     kind = df.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, piece_no int, token_start long, token_end long, char_start long, char_end long, sequence_id long, sequence_offset long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, where, bins = shared.value
+        begins, base, where, bins = shared.value
         for b in batches:
             size, salt, rank = (b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("size", "salt", "rank"))
             seq, offset = rank % bins, np.zeros(len(rank), np.int64)  # empty pieces, spread over the sequences
             for s in np.unique(size[size > 0]).tolist():
                 m = np.flatnonzero(size == s)
-                r = rank[m] + np.array([base[s, x] for x in range(SALTS)], np.int64)[salt[m]]
+                r = rank[m] + base[begins[s] + salt[m]]
                 table = where[s]
                 seg = table[np.searchsorted(table[:, 0], r, side="right") - 1]
                 q = r - seg[:, 0]

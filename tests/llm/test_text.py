@@ -7,8 +7,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tessera.llm.leaks import leaked_words, leaks, plain, spans, word_hashes
-from tessera.llm.packing import pack_documents, places, plan
+from tessera.llm.leaks import WORD_BYTES, Items, leaked_words, leaks, plain, spans, word_hashes
+from tessera.llm.packing import pack_documents, places, plan, solve
 from tessera.llm.splitting import PARAGRAPH, RangeMaximum, cut_points, split_documents, strengths
 from tessera.llm.tokens import PATTERN, tokenized
 
@@ -109,8 +109,21 @@ def test_plan_holds_everything_once(hist):
     assert need <= bins <= max(need + 1, int(1.25 * need) + 2) or any(s > 32 for s in hist)
 
 
-def test_pack_documents(spark):
-    got = pack_documents(docs(spark), capacity=256).collect()
+def test_program_comes_near_the_bound():
+    r = random.Random(8)
+    sizes = sorted(r.sample(range(20, 2049), 600))
+    for times in (1, 50):
+        demand = np.array([times * max(1, int(20 / (1 + k / 40))) for k in range(600)], np.int64)
+        lengths = np.array(sizes, np.int64)
+        solved = solve(lengths, demand, 2048)
+        met = sum(a * x for a, x in solved)
+        assert np.allclose(met, demand)
+        assert sum(x for _, x in solved) <= 1.01 * (lengths * demand).sum() / 2048
+
+
+@pytest.mark.parametrize("group", [1 << 20, 3])
+def test_pack_documents(spark, group):
+    got = pack_documents(docs(spark), capacity=256, group=group).collect()
     texts = dict(DOCS)
     used, held = {}, {}
     for r in got:
@@ -176,10 +189,30 @@ def test_leaks(spark):
     b = spark.createDataFrame([(7, " ".join(item), "x"), (8, None, "x"), (9, "", "x"), (7, " ".join(item), "x")], "item_id long, text string, doc_id string")
     got = {(r.doc_id, r.item_id) for r in leaks(d, b, standing_least=20).collect()}
     assert got == want
-    assert {(r.doc_id, r.item_id) for r in leaks(d, b, item_bytes=200, standing_least=20).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in leaks(d, b, index_bytes=72 * 120, standing_least=20).collect()} == want
     assert leaks(d.limit(0), b).count() == 0 and leaks(d, b.limit(0)).count() == 0
 
 
+def test_index_stays_within_its_bytes():
+    texts = [" ".join(prose(k, 80)) for k in range(3000)]
+    words = sum(len(x.split()) for x in texts)
+    index = Items(list(range(3000)), texts)
+    assert len(index.hashes) == words and index.nbytes() <= WORD_BYTES * words
+
+
+def test_leaks_of_many_items(spark):
+    # 50,000 items take several passes; what the driver and the workers hold does not grow with them.
+    from pyspark.sql import functions as F
+
+    letters = [F.chr(F.lit(97) + F.pmod(F.xxhash64("item_id", F.col("k"), F.lit(i)), F.lit(26)).cast("int")) for i in range(6)]
+    words = spark.range(50_000).withColumnRenamed("id", "item_id").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(60))))
+    items = words.groupBy("item_id").agg(F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("k", F.concat(*letters).alias("w")))), lambda x: x["w"])).alias("text"))
+    shown = items.where("item_id % 5000 = 77").select((F.col("item_id") + 1).alias("doc_id"), F.concat(F.lit("before "), F.substring_index("text", " ", 40), F.lit(" after")).alias("text"))
+    docs_ = shown.unionByName(items.where("item_id % 5000 = 78").select(F.lit(0).cast("long").alias("doc_id"), F.substring_index("text", " ", 20).alias("text")))
+    got = {(r.doc_id, r.item_id) for r in leaks(docs_, items, standing_least=100).collect()}
+    assert got == {(5000 * k + 78, 5000 * k + 77) for k in range(10)}
+
+
 def test_copies_do_not_make_standing_text(spark):
     item, standing = prose(42, 60), prose(77, 40)
     leak = lambda k: " ".join(prose(k, 30) + item[5:45] + prose(k + 1, 30))
