@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -66,11 +67,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows as a table in the shared folder, and go on from that.
+
+    Columns are packed and read back only as far as they are needed, and the optimizer knows the table's size. Every
+    call writes a folder of its own; the folders go with the shared folder.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # White space of any kind, and two invisible signs that come with copied text.
