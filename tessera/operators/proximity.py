@@ -1,9 +1,10 @@
 """Points near other points, and regions that contain them.
 
 Regions are covered adaptively: a cell that no border crosses and that lies inside is interior and
-accepts every point in it by an equi-join alone; a cell that a border crosses is split until the
-finest level, and points in what remains get an exact even-odd test against the borders that matter
-in that cell. Nearness uses the same idea with the disc around a point: the grid is fine enough for
+accepts every point in it by an equi-join alone; a cell that a border crosses is split until it is small
+beside the region, and points in what remains get an exact even-odd test. For that a boundary cell holds
+the border lines near it; of all lines further east it holds only at which latitudes the parity of their
+number changes. Nearness uses the same idea with the disc around a point: the grid is fine enough for
 points of one cell always to be near each other, so they are accepted at once; only points in the
 cells that the disc's edge may reach are measured.
 """
@@ -18,8 +19,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import cut
+
 EARTH_M = 6_371_000.0  # fixed value: the sphere on which distances are taken
-LEVELS = (5, 7, 9, 11)  # cells of 360 / 2**level degrees; only cells with a border in them go on to the next
+FINE = 12  # cells of the finest level that a region is wide, at least
+STEP, FINEST = 2, 22  # levels from one size of cell (360 / 2**level degrees) to the next, and the last one
+BROADCAST_BYTES = 32 << 20  # cells are sent to all tasks up to this size, and joined by a shuffle beyond it
+SLACK = 1e-9
 
 
 def usable(lat: Column, lon: Column) -> Column:
@@ -57,39 +63,61 @@ def even_odd(e: np.ndarray, lat: np.ndarray, lon: np.ndarray) -> np.ndarray:
     return (spans & east).sum(axis=1) % 2 == 1
 
 
-def _touches(e: np.ndarray, south: float, west: float, size: float) -> np.ndarray:
-    """Which border lines may meet the cell (bounding box, then the side of the line on which its corners lie)."""
-    slack = 1e-9
-    n, east = south + size + slack, west + size + slack
-    south, west = south - slack, west - slack
-    y1, x1, y2, x2 = e.T
+def _touched(e: np.ndarray, south: np.ndarray, west: np.ndarray, size: float) -> np.ndarray:
+    """Which border lines (columns) may meet which cells (rows): by the bounding box, then by the side of the line on which the corners lie."""
+    y1, x1, y2, x2 = (c[None, :] for c in e.T)
+    n, east = (south + size + SLACK)[:, None], (west + size + SLACK)[:, None]
+    south, west = (south - SLACK)[:, None], (west - SLACK)[:, None]
     box = (np.minimum(y1, y2) <= n) & (np.maximum(y1, y2) >= south) & (np.minimum(x1, x2) <= east) & (np.maximum(x1, x2) >= west)
     side = [(x2 - x1) * (cy - y1) - (y2 - y1) * (cx - x1) for cy, cx in ((south, west), (south, east), (n, west), (n, east))]
-    apart = np.all([s > slack for s in side], axis=0) | np.all([s < -slack for s in side], axis=0)
-    return box & ~apart
+    return box & ~(np.minimum.reduce(side) > SLACK) & ~(np.maximum.reduce(side) < -SLACK)
+
 
+def levels_of(polygon: np.ndarray) -> list[int]:
+    """Levels of the cells that cover a polygon, by its size: the finest is small beside it, the coarsest about as large."""
+    height, width = np.ptp(polygon, axis=0)
+    extent = max(min(height, width), max(height, width) / 8, 360 / 2**FINEST)
+    fine = min(FINEST, -STEP * (-math.ceil(math.log2(360 / extent * FINE)) // STEP))
+    return [lv for lv in range(fine - 3 * STEP, fine + 1, STEP) if lv >= 0] or [0]
 
-def cover(polygon: np.ndarray, levels: tuple[int, ...] = LEVELS) -> Iterator[tuple[int, int, int, np.ndarray | None]]:
-    """Cells (level, row, column, border lines that matter); no lines mean an interior cell."""
+
+def cover(polygon: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray | None, bool, np.ndarray | None]]:
+    """Cells (level, row, column, lines near it, parity further east, latitudes where that changes); no lines mean an interior cell."""
     e = edges(polygon)
+    levels = levels_of(polygon)
     size = 360 / 2 ** levels[0]
-    (lat0, lon0), (lat1, lon1) = polygon.min(0), polygon.max(0)
-    todo = [(0, r, c) for r in range(math.floor((lat0 + 90) / size), math.floor((lat1 + 90) / size) + 1) for c in range(math.floor((lon0 + 180) / size), math.floor((lon1 + 180) / size) + 1)]
-    while todo:
-        k, r, c = todo.pop()
-        size = 360 / 2 ** levels[k]
-        south, west = r * size - 90, c * size - 180
-        if not _touches(e, south, west, size).any():
-            if even_odd(e, np.array([south + size / 2]), np.array([west + size / 2]))[0]:
-                yield levels[k], r, c, None
-        elif k + 1 < len(levels):
-            f = 2 ** (levels[k + 1] - levels[k])
-            todo += [(k + 1, r * f + i, c * f + j) for i in range(f) for j in range(f)]
-        else:
-            # Lines wholly to the west, north or south of the cell never count for its points.
-            y_low, y_high = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
-            matter = (y_high >= south - 1e-9) & (y_low <= south + size + 1e-9) & (np.maximum(e[:, 1], e[:, 3]) >= west - 1e-9)
-            yield levels[k], r, c, e[matter]
+    (lat0, lon0), (lat1, lon1) = np.floor((polygon.min(0) + (90, 180)) / size).astype(int), np.floor((polygon.max(0) + (90, 180)) / size).astype(int)
+    rows, cols = (x.ravel() for x in np.meshgrid(np.arange(lat0, lat1 + 1), np.arange(lon0, lon1 + 1), indexing="ij"))
+    y_low, y_high = np.minimum(e[:, 0], e[:, 2]), np.maximum(e[:, 0], e[:, 2])
+    x_low, x_high = np.minimum(e[:, 1], e[:, 3]), np.maximum(e[:, 1], e[:, 3])
+    for k, level in enumerate(levels):
+        size = 360 / 2**level
+        split_r, split_c = [], []
+        for i in range(0, len(rows), max(1, (1 << 21) // len(e))):
+            r, c = rows[i : i + max(1, (1 << 21) // len(e))], cols[i : i + max(1, (1 << 21) // len(e))]
+            south, west = r * size - 90, c * size - 180
+            crossed = _touched(e, south, west, size).any(1)
+            inside = ~crossed
+            inside[inside] = even_odd(e, south[inside] + size / 2, west[inside] + size / 2)
+            yield from ((level, a, b, None, False, None) for a, b in zip(r[inside].tolist(), c[inside].tolist()))
+            if k + 1 < len(levels):
+                split_r.append(r[crossed])
+                split_c.append(c[crossed])
+                continue
+            for a, b, s, w in zip(r[crossed].tolist(), c[crossed].tolist(), south[crossed], west[crossed]):
+                n, east = s + size + SLACK, w + size + SLACK
+                s, w = s - SLACK, w - SLACK
+                near = (y_high >= s) & (y_low <= n) & (x_high >= w) & (x_low <= east)
+                # A line wholly to the east counts for latitudes from its lower end up to below its upper end.
+                beyond = x_low > east
+                ends = np.concatenate([y_low[beyond], y_high[beyond]])
+                change, times = np.unique(ends[(ends >= s) & (ends <= n)], return_counts=True)
+                yield level, a, b, e[near], bool((ends < s).sum() % 2), change[times % 2 == 1]
+        if k + 1 < len(levels):
+            f = 2 ** (levels[k + 1] - level)
+            r, c = np.concatenate(split_r), np.concatenate(split_c)
+            sub_r, sub_c = (x.ravel() for x in np.meshgrid(np.arange(f), np.arange(f), indexing="ij"))
+            rows, cols = (r[:, None] * f + sub_r).ravel(), (c[:, None] * f + sub_c).ravel()
 
 
 def _cell(level: Column | int, row: Column, column: Column) -> Column:
@@ -97,36 +125,43 @@ def _cell(level: Column | int, row: Column, column: Column) -> Column:
     return F.shiftleft(level.cast("long"), 48) + F.shiftleft(row.cast("long"), 24) + column.cast("long")
 
 
-def regions_of(points: DataFrame, regions: DataFrame, key: str, lat: str, lon: str, region: str, polygon: str, levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """Regions that hold each point: distinct rows (``point_key``, ``region_id``).
-
-    Points that are not usable and regions without a polygon are left out; keys may be null-free text
-    or numbers and are given as text; a point in several overlapping regions gives a row for each;
-    repeated points or regions give one row; empty tables give none. Only the named columns are read.
-    The cover is joined by cell; Spark broadcasts it if it is small and shuffles it otherwise.
-    """
+def region_cells(regions: DataFrame, region: str, polygon: str) -> DataFrame:
+    """Cells that cover the regions: ``cell``, ``region_id``, ``lines``, ``odd``, ``changes``; interior cells have no lines."""
 
     def covers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
             for rid, text in zip(b["region_id"], b["polygon"]):
                 p = parse_polygon(text)
-                if p is not None:
-                    out += [(((lv << 48) + (r << 24) + c), rid, None if e is None else e.tolist()) for lv, r, c, e in cover(p, levels)]
-            yield pd.DataFrame(out, columns=["cell", "region_id", "lines"])
+                out = [] if p is None else [((lv << 48) + (r << 24) + c, rid, None if e is None else e.tolist(), odd, None if ch is None else ch.tolist()) for lv, r, c, e, odd, ch in cover(p)]
+                yield pd.DataFrame(out, columns=["cell", "region_id", "lines", "odd", "changes"])
 
     shapes = regions.select(F.col(region).cast("string").alias("region_id"), F.col(polygon).cast("string").alias("polygon")).where("region_id IS NOT NULL AND polygon IS NOT NULL").distinct()
-    cells = shapes.mapInPandas(covers, "cell long, region_id string, lines array<array<double>>")
+    return shapes.mapInPandas(covers, "cell long, region_id string, lines array<array<double>>, odd boolean, changes array<double>")
+
+
+def regions_of(points: DataFrame, regions: DataFrame, key: str, lat: str, lon: str, region: str, polygon: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Regions that hold each point: distinct rows (``point_key``, ``region_id``).
+
+    Points that are not usable and regions without a polygon are left out; keys may be null-free text
+    or numbers and are given as text; a point in several overlapping regions gives a row for each;
+    repeated points or regions give one row; empty tables give none. Only the named columns are read.
+    The cover is written down and measured; it is sent to all tasks if it is small, and joined by a shuffle otherwise.
+    """
+    cells = cut(region_cells(regions, region, polygon))
+    measured = cells.groupBy(F.shiftright("cell", 48).alias("level")).agg((F.count(F.lit(1)) * 64 + F.sum(F.coalesce(F.size("lines"), F.lit(0)) * 64 + F.coalesce(F.size("changes"), F.lit(0)) * 8)).alias("bytes")).collect()  # one row for each level
+    levels = sorted(r["level"] for r in measured)
     place = _places(points, key, lat, lon)
     at = [_cell(lv, F.floor((F.col("lat") + 90) * (2**lv / 360)), F.floor((F.col("lon") + 180) * (2**lv / 360))) for lv in levels]
-    met = place.withColumn("cell", F.explode(F.array(*at))).join(cells, "cell")
+    small = sum(r["bytes"] or 0 for r in measured) <= broadcast_bytes
+    met = place.withColumn("cell", F.explode(F.array(*at) if at else F.array().cast("array<long>"))).join(F.broadcast(cells) if small else cells, "cell")
     y, x = F.col("lat"), F.col("lon")
 
     def crosses(e: Column) -> Column:
         y1, x1, y2, x2 = e[0], e[1], e[2], e[3]
         return ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / F.when(y2 == y1, F.lit(1.0)).otherwise(y2 - y1) + x1)
 
-    odd = F.size(F.filter("lines", crosses)) % 2 == 1
+    east = F.size(F.filter("changes", lambda c: c <= y)) + F.col("odd").cast("int")
+    odd = (F.size(F.filter("lines", crosses)) + east) % 2 == 1
     return met.where(F.col("lines").isNull() | odd).select("point_key", "region_id").distinct()
 
 
@@ -141,15 +176,14 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return F.lit(2 * EARTH_M) * F.asin(F.least(F.sqrt(a), F.lit(1.0)))
 
 
-def near_pairs(points: DataFrame, key: str, lat: str, lon: str, metres: float) -> DataFrame:
-    """Pairs of different keys at most ``metres`` apart: distinct rows (``left_key``, ``right_key``), the smaller first.
+def near_places(points: DataFrame, key: str, lat: str, lon: str, metres: float) -> tuple[DataFrame, DataFrame]:
+    """Nearness without pairs of keys: the keys of each place (``point_key``, ``lat``, ``lon``), and links of different places.
 
-    Points that are not usable or have no key are left out; keys delivered twice count once; keys that
-    share a point are near each other; the date line and the poles need no care by the caller; an empty
-    table gives no pairs. Equal coordinates are joined as one place first and spread to their keys at
-    the end, so a place with many keys costs no measuring.
+    A place is a point that one or more keys share; links (``lat``, ``lon``, ``lat2``, ``lon2``) are places at most
+    ``metres`` apart, each pair once. Points that are not usable or have no key are left out; keys delivered twice
+    count once; the date line and the poles need no care by the caller; empty tables give neither.
     """
-    keys = _places(points, key, lat, lon).distinct()
+    keys = cut(_places(points, key, lat, lon).distinct())
     places = keys.select("lat", "lon").distinct()
     # Cell sides of metres / 1.5, so that the diagonal is below metres.
     side = metres / 1.5
@@ -186,8 +220,16 @@ def near_pairs(points: DataFrame, key: str, lat: str, lon: str, metres: float) -
     ordered = (F.col("lat") < F.col("lat2")) | ((F.col("lat") == F.col("lat2")) & (F.col("lon") < F.col("lon2")))
     polar = F.abs("lat") > 89
     inner = own.join(homes, "cell").where(ordered & (~polar | (haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) <= metres)))
-    links = measured.select("lat", "lon", "lat2", "lon2").unionByName(inner.select("lat", "lon", "lat2", "lon2"))
+    return keys, measured.select("lat", "lon", "lat2", "lon2").unionByName(inner.select("lat", "lon", "lat2", "lon2"))
+
+
+def near_pairs(points: DataFrame, key: str, lat: str, lon: str, metres: float) -> DataFrame:
+    """Pairs of different keys at most ``metres`` apart: distinct rows (``left_key``, ``right_key``), the smaller first.
 
+    The places and links of ``near_places`` written out; keys that share a point are near each other. A place with very
+    many keys has very many pairs; what goes on with nearness should take places and links.
+    """
+    keys, links = near_places(points, key, lat, lon, metres)
     a = keys.select(F.col("point_key").alias("a"), "lat", "lon")
     b = keys.select(F.col("point_key").alias("b"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
     apart = links.join(a, ["lat", "lon"]).join(b, ["lat2", "lon2"]).where("a != b").select(F.least("a", "b").alias("left_key"), F.greatest("a", "b").alias("right_key"))

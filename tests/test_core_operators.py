@@ -134,14 +134,27 @@ def test_cover_agrees_with_even_odd():
     import numpy as np
 
     r = random.Random(3)
-    for _ in range(5):
+    for n in range(6):
         star = np.array([(47 + math.cos(k) * (0.1 + 0.4 * r.random()), 19 + math.sin(k) * (0.1 + 0.4 * r.random())) for k in np.linspace(0, 6.2, 25)])
-        cells = {(lv, a, b): e for lv, a, b, e in cover(star)}
-        for _ in range(400):
-            y, x = 47 + r.uniform(-0.6, 0.6), 19 + r.uniform(-0.6, 0.6)
-            met = [e for (lv, a, b), e in cells.items() if (math.floor((y + 90) / (360 / 2**lv)), math.floor((x + 180) / (360 / 2**lv))) == (a, b)]
-            got = any(e is None or even_odd(e, np.array([y]), np.array([x]))[0] for e in met)
-            assert got == even_odd(edges(star), np.array([y]), np.array([x]))[0]
+        if n == 5:
+            star = np.array([(47 + math.cos(k) * (0.4 + 0.1 * r.random()), 19 + math.sin(k) * (0.4 + 0.1 * r.random())) for k in np.linspace(0, 6.2, 30)])
+        elif n:
+            star = np.round(star, 2)  # many points on cell borders and equal latitudes
+        cells = {(lv, a, b): x for lv, a, b, *x in cover(star)}
+        levels = {lv for lv, _, _ in cells}
+        inner = tested = 0
+        ys, xs = [47 + r.uniform(-0.6, 0.6) for _ in range(600)], [19 + r.uniform(-0.6, 0.6) for _ in range(600)]
+        ys, xs = ys + star[:, 0].tolist() + [round(y, 2) for y in ys], xs + star[:, 1].tolist() + [round(x, 2) for x in xs]
+        for y, x, want in zip(ys, xs, even_odd(edges(star), np.array(ys), np.array(xs))):
+            met = [c for lv in levels if (c := cells.get((lv, math.floor((y + 90) * (2**lv / 360)), math.floor((x + 180) * (2**lv / 360)))))]
+            assert len(met) <= 1
+            got = False
+            for lines, odd, changes in met:
+                got = lines is None or bool(even_odd(lines, np.array([y]), np.array([x]))[0] ^ odd ^ ((changes <= y).sum() % 2 == 1))
+                inner, tested = inner + (lines is None), tested + (lines is not None)
+            assert got == want, (y, x)
+    assert inner > 0.8 * (inner + tested)
+    assert max(len(x[0]) for x in cells.values() if x[0] is not None) < 10
 
 
 def test_polygons_as_they_come():
@@ -153,7 +166,9 @@ def test_regions(spark):
     pts = spark.createDataFrame([("a", 1.0, 1.0, "q"), ("b", 5.0, 1.0, "q"), ("c", None, 1.0, "q"), ("d", 0.0, 0.0, "q"), ("a", 1.0, 1.0, "q"), (None, 1.0, 1.0, "q")], "k string, lat double, lon double, region_id string")
     reg = spark.createDataFrame([("r1", "0 0,0 2,2 2,2 0"), ("r2", "0.5 0.5,0.5 3,3 3,3 0.5,0.5 0.5"), ("r3", "0 0,1 1"), ("r4", None), ("r1", "0 0,0 2,2 2,2 0")], "id string, poly string")
     assert rows(regions_of(pts, reg, "k", "lat", "lon", "id", "poly")) == [("a", "r1"), ("a", "r2")]
+    assert rows(regions_of(pts, reg, "k", "lat", "lon", "id", "poly", broadcast_bytes=0)) == [("a", "r1"), ("a", "r2")]
     assert rows(regions_of(pts.limit(0), reg, "k", "lat", "lon", "id", "poly")) == []
+    assert rows(regions_of(pts, reg.limit(0), "k", "lat", "lon", "id", "poly")) == []
 
 
 def test_near_pairs_against_brute_force(spark):
