@@ -17,12 +17,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import blank_to_empty, shared_folder
+from tessera.session import blank_to_empty, open_path, shared_folder
 
 ROWS = 1 << 16  # rows that are held of each file at a time
 SAMPLED = 1 << 17  # keys that the borders of the ranges are drawn from, at most
@@ -41,10 +40,6 @@ class Kept:
         return sorted({s for s, _ in self.files})
 
 
-def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
-
-
 def content_digest(values: list[Column]) -> Column:
     """128 bits of all values; each is told from the next by its length."""
     return F.unhex(F.md5(F.concat_ws("", *(x for v in values for x in (F.length(v).cast("string"), F.lit(":"), v)))))
@@ -96,7 +91,7 @@ def keep_snapshots(df: DataFrame, snapshot: str, key: str, columns: list[str], o
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One file for each snapshot of the range; rows come sorted by snapshot, key and order."""
-        target, folder = _opened(kept.folder)
+        target, folder = open_path(kept.folder)
         target.create_dir(folder, recursive=True)
         schema = pa.schema([("k", pa.string()), *((c, pa.string() if exact_columns else pa.binary()) for c in held)])
         at, writer, carry, done = None, None, None, []
@@ -157,7 +152,7 @@ class Pointer:
     def __init__(self, path: str | None):
         self.rest = iter(())
         if path is not None:
-            source, name = _opened(path)
+            source, name = open_path(path)
             self.rest = pq.ParquetFile(name, filesystem=source).iter_batches(ROWS)
         self.rows: pa.Table | None = None
         self.fill()

@@ -10,6 +10,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,11 @@ def shared_folder(spark: SparkSession) -> str:
     return configured
 
 
+def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """File system and name within it of a path or URI, for tasks that read or write files themselves."""
+    return fs.FileSystem.from_uri("/" + path[5:].lstrip("/") if path.startswith("file:") else path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows as a table in the shared folder, and go on from that.
 

@@ -9,7 +9,7 @@ import pytest
 from tessera.operators.geocode import best_fuzzy, better_wins, interpolate, station_places
 from tessera.operators.orphans import Reference, compress, expand, orphans
 from tessera.operators.proximity import cover, edges, even_odd, near_pairs, parse_polygon, regions_of
-from tessera.operators.rejects import STAGING_COLUMNS, parse_records, record_ends
+from tessera.operators.rejects import STAGING_COLUMNS, parse_records, read_records, record_ends
 from tessera.operators.snapshots import keep_snapshots, kept_changes, snapshot_changes
 from tessera.operators.tables import differences, keep_first, last_wins, with_sequence
 
@@ -230,6 +230,24 @@ def test_record_ends():
     assert record_ends(data).tolist() == [7, 13]
 
 
+def test_files_are_cut_into_records(spark, tmp_path):
+    r = random.Random(6)
+    wanted, paths = [], []
+    for f in range(4):
+        fields = lambda: ";".join(f'"{"".join(r.choice("ab;\n") for _ in range(r.randrange(6)))}"' if r.random() < 0.4 else "é" * r.randrange(4) for _ in range(3))
+        lines = [fields() + ";" for _ in range(30)] + [""] + ['"' + "x" * 300 + '\n";']
+        text = "\n".join(lines) + ("\n" if f % 2 else "")
+        (tmp_path / f"f{f}.csv").write_bytes(b"\xef\xbb\xbf" * (f == 2) + text.encode())
+        paths.append(str(tmp_path / f"f{f}.csv"))
+        wanted += [(f"f{f}.csv", i + 1, x) for i, x in enumerate(lines) if x]
+    (tmp_path / "none.csv").write_bytes(b"")
+    for size in (17, 100, 1 << 20):
+        assert rows(read_records(spark, [*paths, str(tmp_path / "none.csv")], size)) == sorted(wanted)
+    assert read_records(spark, []).count() == 0
+    got = parse_records(read_records(spark, paths).withColumnRenamed("line_no", "record_id"), with_fields=False)
+    assert {x.reason for x in got.collect()} == {"column_count"}
+
+
 # Relational blocks
 
 
