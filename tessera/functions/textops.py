@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +67,12 @@ def zero_only_to_empty(c: Column | str) -> Column:
     return F.when(t.rlike("^0+$"), "").otherwise(t)
 
 
+def clean_zero_field(c: Column | str) -> Column:
+    """Empty text for nothing, the text ``NULL`` and text of zeros only, blanks around them aside."""
+    t = text_of(c)
+    return F.when((t == "") | (t == "NULL") | F.trim(t).rlike("^0+$"), "").otherwise(t)
+
+
 def strip_leading_zeros_regex(c: Column | str) -> Column:
     """Leading zeros off where another digit from 1 to 9 follows, otherwise unchanged."""
     t = text_of(c)
@@ -133,9 +139,14 @@ def plain_address(*parts: Column) -> Column:
     return F.trim(F.concat_ws(" ", *parts))
 
 
-def collapsed_address(name: Column, *parts: Column) -> Column:
-    """Trimmed parts joined by single blanks; null if the name is."""
-    return F.when(name.isNotNull(), F.trim(F.regexp_replace(F.concat_ws(" ", name, *parts), r"\s+", " ")))
+def collapsed_address(name: Column, kind: Column, house: Column, *units: Column) -> Column:
+    """Trimmed parts joined by single blanks; null if the name or the house number is."""
+    return F.when(name.isNotNull() & house.isNotNull(), F.trim(F.regexp_replace(F.concat_ws(" ", name, kind, house, *units), r"\s+", " ")))
+
+
+def joined_address(*parts: Column) -> Column:
+    """The parts that are neither null nor empty, joined by blanks."""
+    return F.concat_ws(" ", *(F.nullif(p, F.lit("")) for p in parts))
 
 
 def structure_score(house: Column | str, building: Column | str, stairs: Column | str) -> Column:
@@ -162,6 +173,11 @@ def snake_case(c: Column | str) -> Column:
     return F.lower(F.regexp_replace(t, "([A-Z]+)([A-Z][a-z])", "$1_$2"))
 
 
+def snake_case_text(name: str) -> str:
+    """``snake_case`` for a name at hand."""
+    return re.sub("([A-Z]+)([A-Z][a-z])", r"\1_\2", re.sub("([a-z0-9])([A-Z])", r"\1_\2", name)).lower()
+
+
 def house_int(c: Column | str) -> Column:
     """Leading number of a house number, or null."""
     return F.regexp_extract(F.trim(text_of(c)), "^([0-9]+)", 1).try_cast("int")
@@ -176,6 +192,7 @@ def without_parentheses(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(text_of(c), r"\s*\([^)]*\)\s*", " "))
 
 
+# Fixed value: how a street with a number is written in a station's address.
 STATION_STREET = r"([a-záéíóöőúüű\s]+(?:utca|út|tér|köz|körút|sétány|park|sor))\s*(\d+[a-z\-/\.]*)"
 
 
@@ -186,6 +203,21 @@ def station_street(c: Column | str) -> Column:
     return F.when(street != "", F.concat(street, F.lit(" "), number))
 
 
+# Institutions that stations are in; taken out of an address before its street is looked for.
+INSTITUTIONS = (
+    "általános iskola", "gimnázium", "szakközépiskola", "művelődési ház", "közösségi ház", "kultúrház",
+    "polgármesteri hivatal", "önkormányzat", "óvoda", "iskola", "könyvtár", "sportcsarnok",
+)
+
+
+def station_components(c: Column | str) -> Column:
+    """Street and number of a station's address without names of institutions; else the address without commas and double blanks, or null if that is the same."""
+    bare = F.lower(F.regexp_replace(text_of(c), "(?iu)" + "|".join(INSTITUTIONS), ""))
+    street = F.trim(F.regexp_extract(bare, STATION_STREET, 1))
+    cleaned = F.trim(F.regexp_replace(F.regexp_replace(bare, "[,;]", " "), r"\s+", " "))
+    return F.when(F.regexp_extract(bare, STATION_STREET, 0) != "", F.concat(street, F.lit(" "), F.trim(F.regexp_extract(bare, STATION_STREET, 2)))).when(cleaned != bare, cleaned)
+
+
 def byte_similarity(a: Column, b: Column) -> Column:
     """1 - Levenshtein distance over the longer length, letters counted as UTF-8 bytes in the distance and as characters in the length."""
     raw = lambda c: F.decode(F.encode(F.lower(c), "UTF-8"), "ISO-8859-1")
@@ -206,10 +238,3 @@ def duration_text(seconds: Column) -> Column:
 def file_name(c: Column | str) -> Column:
     """Text with both kinds of slashes replaced."""
     return F.translate(text_of(c), "/\\", "__")
-
-
-# Functions by the name under which SQL text can call them.
-SQL_FUNCTIONS: dict[str, tuple[Callable[..., Column], int]] = {
-    "trim_zeros": (trim_zeros, 1), "trim_zeros_export": (trim_zeros_export, 1), "clean_house_number": (clean_house_number, 1),
-    "clean_unit": (clean_unit, 1), "roman": (roman, 1), "house_int": (house_int, 1), "structure_score": (structure_score, 3),
-}

@@ -205,11 +205,11 @@ def full_address_format(spark, sf):
     return X.with_full_address(d, *parts)
 
 
-@query("SELECT DISTINCT street_name, street_type, house_number, trim(concat_ws(' ', street_name, street_type, house_number, coalesce(building, ''), coalesce(staircase, ''))) AS plain, CASE WHEN street_name IS NOT NULL THEN trim(regexp_replace(concat_ws(' ', street_name, street_type, house_number, building, staircase), '\\s+', ' ', 'g')) END AS collapsed FROM staging_korzet")
+@query("SELECT DISTINCT street_name, street_type, house_number, trim(concat_ws(' ', street_name, street_type, house_number, coalesce(building, ''), coalesce(staircase, ''))) AS plain, CASE WHEN street_name IS NOT NULL AND house_number IS NOT NULL THEN trim(regexp_replace(concat_ws(' ', street_name, street_type, house_number, building, staircase), '\\s+', ' ', 'g')) END AS collapsed, concat_ws(' ', nullif(street_name, ''), nullif(street_type, ''), nullif(house_number, ''), nullif(building, ''), nullif(staircase, '')) AS joined FROM staging_korzet")
 def full_address_variants(spark, sf):
     b, s = F.coalesce("building", F.lit("")), F.coalesce("staircase", F.lit(""))
     c = [F.col(x) for x in ("street_type", "house_number", "building", "staircase")]
-    return staging(spark, sf).select("street_name", "street_type", "house_number", X.plain_address(F.col("street_name"), F.col("street_type"), F.col("house_number"), b, s).alias("plain"), X.collapsed_address(F.col("street_name"), *c).alias("collapsed")).distinct()
+    return staging(spark, sf).select("street_name", "street_type", "house_number", X.plain_address(F.col("street_name"), F.col("street_type"), F.col("house_number"), b, s).alias("plain"), X.collapsed_address(F.col("street_name"), *c).alias("collapsed"), X.joined_address(F.col("street_name"), *c).alias("joined")).distinct()
 
 
 @query(f"SELECT house_number, building, staircase, CAST({_SCORE} AS INTEGER) AS score, CAST(CASE WHEN house_number NOT LIKE '%/%' AND building NOT IN ('', '0') THEN 100 WHEN house_number NOT LIKE '%/%' AND staircase NOT IN ('', '0') THEN 90 ELSE 50 END AS INTEGER) AS for_export FROM (SELECT DISTINCT {t('house_number')} AS house_number, {t('building')} AS building, {t('staircase')} AS staircase FROM staging_korzet)")

@@ -207,7 +207,7 @@ _DET = "(SELECT id, max(struct_pack(a := full_address, b := house_number, c := b
 j AS (SELECT DISTINCT m.canonical_address_id, m.original_address_id AS id, d.full_address, CASE WHEN d.id IS NULL THEN NULL WHEN h NOT LIKE '%/%' AND b NOT IN ('', '0') THEN 100 WHEN h NOT LIKE '%/%' AND s NOT IN ('', '0') THEN 90 ELSE 50 END AS score FROM (SELECT DISTINCT canonical_address_id, original_address_id FROM address_mapping) m LEFT JOIN d ON d.id = m.original_address_id),
 g AS (SELECT canonical_address_id, count(*) AS n_originals, first(id ORDER BY score DESC NULLS LAST, id) FILTER (score IS NOT NULL) AS best_id, first(full_address ORDER BY score DESC NULLS LAST, id) FILTER (score IS NOT NULL) AS full_address FROM j GROUP BY 1)
 SELECT g.canonical_address_id, n_originals, best_id, full_address, coalesce(u.u, '00000000-0000-0000-0000-000000000000') AS export_id FROM g LEFT JOIN (SELECT DISTINCT id, {_uuid_sql(3)} AS u FROM canonical_address) u ON u.id = g.best_id""")
-def canonical_export_v3(spark, sf):
+def canonical_export_best(spark, sf):
     return canonical_export(table(spark, sf, "address_mapping"), table(spark, sf, "canonical_address"))
 
 
