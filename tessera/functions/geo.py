@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.keys import text_of
@@ -49,6 +49,13 @@ def shoelace(c: Column | str) -> Column:
     return F.when(F.size(p) >= 3, F.abs(F.aggregate(cross, F.lit(0.0), lambda acc, v: acc + v)) / 2)
 
 
+def touching(regions: DataFrame, key: str, polygon: str, least: int = 2) -> DataFrame:
+    """Pairs of regions (``a`` < ``b``) that share at least ``least`` corners, as written, and how many (``corners``)."""
+    p = regions.select(F.col(key).cast("string").alias("id"), F.explode(corners(polygon)).alias("p")).select("id", F.concat("p.lat", F.lit(" "), "p.lon").alias("corner")).distinct()
+    pairs = p.withColumnRenamed("id", "a").join(p.withColumnRenamed("id", "b"), "corner").where("a < b")
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("corners")).where(F.col("corners") >= least)
+
+
 def geojson_point(lat: Column, lon: Column) -> Column:
     return F.when(lat.isNotNull() & lon.isNotNull(), F.to_json(F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))))
 
@@ -59,4 +66,4 @@ def in_bounds(lat: Column, lon: Column, bounds: tuple[float, float, float, float
     return F.coalesce(lat.between(s, n) & lon.between(w, e), F.lit(False))
 
 
-__all__ = ["point_wkt", "polygon_wkt", "corners", "swapped", "shoelace", "geojson_point", "in_bounds", "haversine_m", "BOUNDS"]
+__all__ = ["point_wkt", "polygon_wkt", "corners", "swapped", "shoelace", "touching", "geojson_point", "in_bounds", "haversine_m", "BOUNDS"]

@@ -27,6 +27,17 @@ def cache_key(*columns: Column | str) -> Column:
     return F.md5(F.concat_ws("|", *map(text_of, columns)))
 
 
+def strict_md5_16(*columns: Column | str) -> Column:
+    """Like ``md5_16``, but null if any of the columns is."""
+    return F.substring(strict_cache_key(*columns), 1, 16)
+
+
+def strict_cache_key(*columns: Column | str) -> Column:
+    """Like ``cache_key``, but null if any of the columns is."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns]
+    return F.md5(F.concat(texts[0], *(F.concat(F.lit("|"), t) for t in texts[1:])))
+
+
 def _uuid(digest: Column, version: str) -> Column:
     """Hex digest with version and variant digits, in the usual groups."""
     variant = F.element_at(F.array(*(F.lit(c) for c in "89ab89ab89ab89ab")), F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") + 1)

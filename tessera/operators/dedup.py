@@ -32,3 +32,17 @@ def dedup_report(keyed: DataFrame) -> DataFrame:
     r = keyed.agg(F.count(F.lit(1)).alias("total_addresses"), F.count_distinct("canonical_address_id").alias("canonical_addresses"))
     dup = F.col("total_addresses") - F.col("canonical_addresses")
     return r.withColumn("duplicates", dup).withColumn("duplicate_rate", F.when(F.col("total_addresses") > 0, F.round(dup / F.col("total_addresses"), 6)).otherwise(F.lit(0.0)))
+
+
+def report_row(report: DataFrame, run_id: str, milliseconds: int, error: str | None = None) -> DataFrame:
+    """The report with its id, run, time and status: ``completed``, ``failed`` with an error, ``partial`` without canonical addresses for rows there are."""
+    status = F.when(F.lit(error is not None), "failed").when((F.col("total_addresses") > 0) & (F.col("canonical_addresses") == 0), "partial").otherwise("completed")
+    return report.select(
+        md5_16(F.lit(run_id)).alias("id"), F.lit(run_id).alias("run_id"), "total_addresses", F.col("duplicates").alias("duplicates_found"), F.col("canonical_addresses").alias("canonical_addresses_created"),
+        F.lit(milliseconds).cast("long").alias("processing_time_ms"), status.alias("status"), F.lit(error).cast("string").alias("error_message"), F.current_timestamp().cast("timestamp_ntz").alias("created_at"),
+    )
+
+
+def as_json(df: DataFrame) -> DataFrame:
+    """Every row as JSON text without its nulls, times in ISO form: column ``json``."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("json"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.textops import byte_similarity, folded, station_street, without_parentheses
 from tessera.operators.tables import first_by, last_by
-from tessera.session import strip
+from tessera.session import cut, strip
 
 # Rank of qualities where a better one replaces a worse one; others count 0.
 QUALITY_RANK = {"exact": 3, "street": 2, "settlement": 1, "failed": 0}
@@ -39,6 +39,37 @@ def quality_of_result_type(result_type: Column, house: Column, street: Column, c
     )
 
 
+def quality_by_keyword(kind: Column) -> Column:
+    """Quality by keywords of an answer's kind: a house, a street or road, a place; anything else has failed."""
+    k = F.lower(F.coalesce(kind, F.lit("")))
+    return (
+        F.when(k.rlike("house|building"), "exact").when(k.rlike("street|road"), "street")
+        .when(k.rlike("city|town|village|place"), "settlement").otherwise("failed")
+    )
+
+
+def answer_place(answer: Column) -> Column:
+    """Place of a lookup service's answer in JSON: coordinates, kind and quality of its first item; nulls if there is none."""
+    one = "struct<resultType:string,position:struct<lat:double,lng:double>,address:struct<houseNumber:string,street:string,city:string>>"
+    item = F.get(F.from_json(answer, f"struct<items:array<{one}>>")["items"], 0)
+    at, a = item["position"], item["address"]
+    quality = F.when(item.isNotNull(), quality_of_result_type(item["resultType"], a["houseNumber"], a["street"], a["city"]))
+    return F.struct(at["lat"].alias("latitude"), at["lng"].alias("longitude"), item["resultType"].alias("kind"), quality.alias("quality"))
+
+
+def wants_retry(quality: Column, minimum: Column) -> Column:
+    """Whether an address should be looked up again: failed ones always, others if they are worse than the configured minimum."""
+    m = F.coalesce(minimum, F.lit(""))
+    return (
+        (quality == "failed") | ((quality == "settlement") & m.isin("settlement", "street", "exact")) | ((quality == "street") & m.isin("street", "exact"))
+    )
+
+
+def crowded_points(points: DataFrame, key: str, lat: str, lon: str, more_than: int = 10) -> DataFrame:
+    """Points that more than so many keys share: the coordinates and ``n``."""
+    return points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).groupBy(lat, lon).agg(F.count_distinct(key).alias("n")).where(F.col("n") > more_than)
+
+
 def cache_hits(addresses: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """Addresses with the coordinates that a cache holds for their key; failed look-ups are no hits. One cache row for each key."""
     hit = cache.where("quality != 'failed'").select(key, "latitude", "longitude", "quality", F.lit("cache").alias("source"))
@@ -91,16 +122,45 @@ def interpolate(df: DataFrame, group: list[str], number: str, lat: str, lon: str
     return t.where("lo IS NOT NULL OR hi IS NOT NULL").select(row_id, axis("lat").alias("new_latitude"), axis("lon").alias("new_longitude"), source.alias("new_source"))
 
 
+TIERS = (0.85, 0.7)  # similarities at which the search for the best stops, if it has found one
+# Letters from rare to common, for the order of tokens; it has a say in the number of candidates only.
+COMMON = "qxwyjfpuhcvbdgzmisoknrlate"
+
+
+def _rare_tokens(text: Column, least: float) -> Column:
+    """The rarest letters of a text, told apart by how often they came before; two texts as similar as ``least`` share one of them.
+
+    Texts at a distance d share all but d letters of the longer one; so of the letters in one order the first
+    n - least * n + 1 of each cannot all be missing in the other.
+    """
+    letters = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
+    tokens = F.transform(letters, lambda c, i: F.struct((-(i - F.array_position(letters, c))).alias("again"), F.instr(F.lit(COMMON), c).alias("common"), c.alias("letter")))
+    return F.transform(F.slice(F.array_sort(tokens), 1, (F.size(letters) - F.ceil(F.size(letters) * least - 1e-9) + 1).cast("int")), lambda t: F.concat(t["letter"], t["again"].cast("string")))
+
+
 def best_fuzzy(left: DataFrame, right: DataFrame, block: str, left_text: str, right_text: str, left_id: str, right_id: str, least: float = 0.6) -> DataFrame:
     """For each left row the most similar right row of its block, from ``least`` on; of equals the smallest id.
 
-    The texts of a block are compared once each: equal texts are collapsed to their smallest id first.
+    The texts of a block are compared once each: equal texts are collapsed to their smallest id first. Texts are not
+    held against all of their block: they meet if they share a rare letter and are about as long as each other,
+    which no two similar texts miss. Texts that have a very similar partner are done before looser similarities are looked for.
     """
+    raw = lambda c: F.decode(F.encode(F.lower(c), "UTF-8"), "ISO-8859-1")
     a = left.select(F.col(block).alias("__block"), F.col(left_id).alias("left_id"), F.col(left_text).alias("__a"))
-    b = right.groupBy(F.col(block).alias("__block"), F.col(right_text).alias("__b")).agg(F.min(right_id).alias("right_id"))
-    pairs = a.select("__block", "__a").distinct().join(b, "__block").withColumn("similarity", byte_similarity(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= least)
-    best = pairs.groupBy("__block", "__a").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "right_id")).alias("m"))
-    return a.join(best, ["__block", "__a"]).select("left_id", F.col("m.right_id").alias("right_id"), (-F.col("m.s")).alias("similarity"))
+    b = right.groupBy(F.col(block).alias("__block"), F.col(right_text).alias("__b")).agg(F.min(right_id).alias("right_id")).where("__b IS NOT NULL")
+    todo, found = a.where("__a IS NOT NULL").select("__block", "__a").distinct(), None
+    for tier in [t for t in TIERS if t > least] + [least]:
+        one = todo.withColumn("token", F.explode(_rare_tokens(raw(F.col("__a")), tier)))
+        two = b.withColumn("token", F.explode(_rare_tokens(raw(F.col("__b")), tier)))
+        longest = F.greatest(F.length(raw(F.col("__a"))), F.length(raw(F.col("__b"))))
+        close = F.least(F.length(raw(F.col("__a"))), F.length(raw(F.col("__b")))) >= longest * tier - 1e-9
+        pairs = one.join(two, ["__block", "token"]).where(close).drop("token").distinct().withColumn("similarity", byte_similarity(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= tier)
+        best = pairs.groupBy("__block", "__a").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "right_id")).alias("m"))
+        found = best if found is None else found.unionByName(best)
+        if tier != least:
+            found = cut(found)
+            todo = todo.join(found, ["__block", "__a"], "left_anti")
+    return a.join(found, ["__block", "__a"]).select("left_id", F.col("m.right_id").alias("right_id"), (-F.col("m.s")).alias("similarity"))
 
 
 PLACE = ("quality", "source", "matched_id", "similarity", "latitude", "longitude")

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import cut
@@ -235,3 +235,48 @@ def near_pairs(points: DataFrame, key: str, lat: str, lon: str, metres: float) -
     apart = links.join(a, ["lat", "lon"]).join(b, ["lat2", "lon2"]).where("a != b").select(F.least("a", "b").alias("left_key"), F.greatest("a", "b").alias("right_key"))
     same = a.join(b.withColumnsRenamed({"lat2": "lat", "lon2": "lon"}), ["lat", "lon"]).where("a < b").select(F.col("a").alias("left_key"), F.col("b").alias("right_key"))
     return apart.unionByName(same).distinct()
+
+
+NEAREST_LEVELS = (3, 6, 9, 12, 15)  # cells of 360 / 2**level degrees that the search for the nearest goes down
+
+
+def nearest(left: DataFrame, left_key: str, right: DataFrame, right_key: str, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """The nearest right point for each left key: ``left_key``, ``right_key``, ``metres``; of equally near ones the smallest key.
+
+    Cells of right points are searched from coarse to fine: of the cells known to hold a point only those go on that may
+    hold one no farther than the nearest is known to be. So a left point meets a few cells on each level and the
+    points of a few cells in the end, however the points are spread; only the coarsest level, of at most 32 cells, is sent
+    to all tasks. Points that are not usable are left out; a left key with several points takes the nearest of any of
+    them; without right points there are no rows. Keys are given as text.
+    """
+    a = _places(left, left_key, lat, lon).distinct()
+    b = cut(_places(right, right_key, lat, lon).groupBy("lat", "lon").agg(F.min("point_key").alias("right_key")))
+    row = lambda lv, y: F.least(F.floor((y + 90) * (2**lv / 360)), F.lit(2**lv // 2 - 1))
+    col = lambda lv, x: F.least(F.floor((x + 180) * (2**lv / 360)), F.lit(2**lv - 1))
+    y, x = F.col("lat"), F.col("lon")
+
+    def bounds(df: DataFrame, lv: int) -> DataFrame:
+        """How near and how far a point of the cell may be at most; cells that cannot hold the nearest are left out."""
+        size = 360 / 2**lv
+        south, west = F.col("row") * size - 90, F.col("col") * size - 180
+        up = F.greatest(F.lit(0.0), south - y, y - (south + size))
+        over = F.abs(x - west - size / 2)
+        aside = F.greatest(F.lit(0.0), F.least(over, 360 - over) - size / 2)
+        across = F.when(aside < 90, F.asin(F.sin(F.radians(aside)) * F.cos(F.radians(y)))).otherwise(F.radians(90 - F.abs(y)))
+        low = F.lit(EARTH_M) * F.greatest(F.radians(up), across) * (1 - 1e-9) - 1e-3
+        high = haversine_m(y, x, south + size / 2, west + size / 2) + EARTH_M * math.radians(size) + 1e-3
+        w = Window.partitionBy("point_key", "lat", "lon")
+        return df.withColumn("low", low).withColumn("most", F.min(high).over(w)).where("low <= most").select("point_key", "lat", "lon", "row", "col")
+
+    top = NEAREST_LEVELS[0]
+    cells = b.select(row(top, y).alias("row"), col(top, x).alias("col")).distinct()
+    some = bounds(a.join(F.broadcast(cells)), top)  # 2**top * 2**top / 2 cells at most
+    for before, lv in zip(NEAREST_LEVELS, NEAREST_LEVELS[1:]):
+        step = lv - before
+        fine = b.select(row(lv, y).alias("r"), col(lv, x).alias("c")).distinct().withColumn("row", F.shiftright("r", step)).withColumn("col", F.shiftright("c", step))
+        some = bounds(some.join(fine, ["row", "col"]).drop("row", "col").withColumnsRenamed({"r": "row", "c": "col"}), lv)
+    last = NEAREST_LEVELS[-1]
+    held = b.select("right_key", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), row(last, y).alias("row"), col(last, x).alias("col"))
+    met = some.join(held, ["row", "col"]).select("point_key", "right_key", haversine_m(y, x, F.col("lat2"), F.col("lon2")).alias("metres"))
+    best = met.groupBy("point_key").agg(F.min(F.struct("metres", "right_key")).alias("b"))
+    return best.select(F.col("point_key").alias("left_key"), "b.right_key", "b.metres")

@@ -34,12 +34,22 @@ def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def merge_columns(existing: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Existing rows with ``columns`` replaced by the new row's values where it has any; ``new`` holds one row for each key."""
-    n = new.select(*keys, *(F.col(c).alias(f"__{c}") for c in columns))
-    merged = existing.join(n, keys, "left")
-    for c in columns:
-        merged = merged.withColumn(c, F.coalesce(f"__{c}", c))
-    return merged.select(*existing.columns)
+    """Existing rows with ``columns`` replaced by the new row's values where it has any, and the new rows whose key none has.
+
+    ``keys`` need not be the table's own key; ``new`` holds one row for each of them. Columns of an inserted row that
+    ``new`` does not have are null.
+    """
+    n = new.select(*(F.col(c).alias(f"__{c}") for c in new.columns), F.lit(True).alias("__new"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"__{k}"))
+    j = existing.withColumn("__old", F.lit(True)).join(n, on, "full")
+    held = F.col("__old").isNotNull()
+    out = []
+    for c in existing.columns:
+        given = F.col(f"__{c}") if c in new.columns else F.lit(None)
+        out.append((F.coalesce(given, F.col(c)) if c in columns else F.when(held, F.col(c)).otherwise(given)).alias(c))
+    return j.select(*out)
 
 
 def with_sequence(df: DataFrame, order: list[str], name: str = "sequence", start: int = 1) -> DataFrame:
@@ -63,10 +73,65 @@ def distinct_list(c: Column, separator: str = ",") -> Column:
 
 
 def deterministic_sample(df: DataFrame, key: str, percent: float) -> DataFrame:
-    """The ``percent`` of rows with the smallest digests of their key: the same rows in every run, at least one."""
-    digest = df.withColumn("__digest", F.md5(F.col(key).cast("string")))
-    n = max(1, int(df.count() * percent / 100))
-    return digest.orderBy("__digest", key).limit(n).drop("__digest")
+    """The ``percent`` of rows with the smallest digests of their key: the same rows in every run, at least one.
+
+    The digests' first four digits are counted, which tells the range that the border lies in; only the rows of that
+    range, about one in 65,536, are put in order.
+    """
+    digest = df.withColumn("__digest", F.md5(F.col(key).cast("string"))).withColumn("__range", F.coalesce(F.conv(F.substring("__digest", 1, 4), 16, 10).cast("int"), F.lit(-1)))
+    counts = sorted((r["__range"], r["n"]) for r in digest.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect())  # 65,537 rows at most
+    left = max(1, int(sum(n for _, n in counts) * percent / 100))
+    for border, n in counts:
+        if n >= left:
+            part = digest.where(F.col("__range") == border).orderBy("__digest", key).limit(left)
+            return digest.where(F.col("__range") < border).unionByName(part).drop("__digest", "__range")
+        left -= n
+    return df
+
+
+def parents(df: DataFrame, child: str, parent: str) -> DataFrame:
+    """Children with more than one parent, and how many (``n_parents``)."""
+    return df.groupBy(child).agg(F.count_distinct(parent).alias("n_parents")).where("n_parents > 1")
+
+
+def add_column(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column, if it has none of that name yet."""
+    return df if name in df.columns else df.withColumn(name, value)
+
+
+def running_count(df: DataFrame, keys: list[str], order: list[str], name: str = "nth") -> DataFrame:
+    """Rows with their place among those of equal keys, from 1; ``order`` should be a total order within them."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def count_distinct_with_null(c: Column) -> Column:
+    """Different values, null being one of them."""
+    return F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))
+
+
+def columns_of(tables: dict[str, DataFrame]) -> list[tuple[str, int, str, str]]:
+    """What a catalogue tells of tables: (table, place of the column, its name, its type)."""
+    return [(t, i, f.name, f.dataType.simpleString()) for t, df in tables.items() for i, f in enumerate(df.schema, 1)]
+
+
+def check_input(df: DataFrame, required: list[str]) -> dict[str, int]:
+    """Null counts of the required columns, which are only a warning; an empty table or a missing column raises ``ValueError``."""
+    if missing := [c for c in required if c not in df.columns]:
+        raise ValueError(f"missing columns: {missing}")
+    got = df.agg(F.count(F.lit(1)).alias("__n"), *(F.count_if(F.col(c).isNull()).alias(c) for c in required)).first()
+    if not got["__n"]:
+        raise ValueError("no rows")
+    return {c: got[c] for c in required}
+
+
+def verify_counts(expected: dict[str, DataFrame], got: dict[str, DataFrame], tolerance: dict[str, int], default: int = 1) -> DataFrame:
+    """Row counts of tables of two stores: ``table_name``, ``n_expected``, ``n_got``, ``passed`` (they differ by no more than allowed)."""
+    out = None
+    for name, df in expected.items():
+        one = df.agg(F.count(F.lit(1)).alias("n_expected")).join(F.broadcast(got[name].agg(F.count(F.lit(1)).alias("n_got"))))  # one row
+        one = one.select(F.lit(name).alias("table_name"), "n_expected", "n_got", (F.abs(F.col("n_expected") - F.col("n_got")) <= tolerance.get(name, default)).alias("passed"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def orphans_of(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.functions.keys import md5_16, uuid3
@@ -28,11 +28,22 @@ class Run:
     tables: dict[str, DataFrame]
     metrics: list[dict] = field(default_factory=list)
 
-    def stage(self, name: str, make: Stage, count: bool = False) -> Run:
-        """Add the tables that a stage makes; with ``count`` their rows are counted, which computes them."""
+    def stage(self, name: str, make: Stage, count: bool = False, write: Callable[[str, DataFrame], DataFrame] | None = None) -> Run:
+        """Add the tables that a stage makes.
+
+        With ``count`` their rows are counted, which computes them. With ``write`` each is written by that function,
+        which gives back what is to be read from then on; its rows are counted as they pass, so nothing is computed twice.
+        """
         began = time.time()
         made = make(self.tables)
-        rows = {k: df.count() for k, df in made.items()} if count else {}
+        rows = {}
+        for k, df in made.items():
+            if write:
+                seen = Observation(f"{name}.{k}")
+                made[k] = write(k, df.observe(seen, F.count(F.lit(1)).alias("rows")))
+                rows[k] = seen.get["rows"]
+            elif count:
+                rows[k] = df.count()
         self.tables |= made
         self.metrics.append({"stage": name, "seconds": time.time() - began, "rows": rows})
         return self
@@ -51,9 +62,9 @@ def entities(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def resolution(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Canonical addresses, the mapping to them, and the report."""
-    keyed = with_canonical_id(t["staging"])
-    links = t.get("links", keyed)
-    return {"canonical": survivors_by_score(keyed), "mapping": links.select("row_id", "canonical_address_id"), "report": dedup_report(links)}
+    keyed = t.get("links")
+    keyed = with_canonical_id(t["staging"]) if keyed is None else keyed
+    return {"canonical": survivors_by_score(keyed), "mapping": keyed.select("row_id", "canonical_address_id"), "report": dedup_report(keyed)}
 
 
 def spaces(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -128,7 +139,8 @@ def whole_run(staging: DataFrame, earlier: DataFrame, cache: DataFrame, count: b
     The canonical ids of the rows and the canonical addresses, which most other tables are made of, are written down
     once; all else is lazy, unless ``count``.
     """
-    links = cut(with_canonical_id(staging).select("row_id", "canonical_address_id", "polling_station_code", "postal_code"))
+    kept = ["row_id", "canonical_address_id", "polling_station_code", "postal_code", "county_code", "settlement_name", "street_name", "house", "bldg", "stairs", "full_address", "accessible"]
+    links = cut(with_canonical_id(staging).select(*kept))
     made = Run({"staging": staging, "earlier": earlier, "cache": cache, "links": links}).stage("entities", entities, count)
     made.stage("resolution", lambda t: {k: cut(df) if k == "canonical" else df for k, df in resolution(t).items()}, count).stage("spaces", spaces, count)
     return made.stage("relations", relations, count).stage("geocoding", geocoding, count).stage("export", export, count)

@@ -9,7 +9,7 @@ from tessera.functions import textops as X
 from tessera.functions.keys import cache_key, md5_16, pseudo_uuid3, uuid3, uuid5
 from tessera.operators.dedup import dedup_report, survivors_by_score, with_canonical_id
 from tessera.operators.public_spaces import public_spaces
-from tessera.operators.tables import distinct_list, first_by, keep_first, last_wins, merge_columns, messages, with_sequence
+from tessera.operators.tables import distinct_list, first_by, keep_first, last_wins, merge_columns, messages, parents, with_sequence
 from tessera.plans.pipeline import entities
 from tessera.session import table
 
@@ -168,7 +168,7 @@ def upsert_last_wins(spark, sf):
     return last_wins(old, new, ["original_address_id"], ["created_at", "id"]).select(*old.columns)
 
 
-@query("SELECT c.id, coalesce(g.latitude, c.latitude) AS latitude, coalesce(g.longitude, c.longitude) AS longitude FROM (SELECT id, max(latitude) AS latitude, max(longitude) AS longitude FROM canonical_address GROUP BY 1) c LEFT JOIN (SELECT canonical_address_id AS id, max(latitude) AS latitude, max(longitude) AS longitude FROM geocoding_cache WHERE quality <> 'failed' GROUP BY 1) g USING (id)")
+@query("SELECT coalesce(c.id, g.id) AS id, coalesce(g.latitude, c.latitude) AS latitude, coalesce(g.longitude, c.longitude) AS longitude FROM (SELECT id, max(latitude) AS latitude, max(longitude) AS longitude FROM canonical_address GROUP BY 1) c FULL JOIN (SELECT canonical_address_id AS id, max(latitude) AS latitude, max(longitude) AS longitude FROM geocoding_cache WHERE quality <> 'failed' GROUP BY 1) g ON c.id = g.id")
 def upsert_partial_columns(spark, sf):
     point = [F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude")]
     new = table(spark, sf, "geocoding_cache").where("quality != 'failed'").groupBy(F.col("canonical_address_id").alias("id")).agg(*point)
@@ -319,9 +319,12 @@ def house_number_int(spark, sf):
     return staging(spark, sf).select("house_number", X.house_int("house_number").alias("number")).distinct()
 
 
-@query("SELECT DISTINCT p_name, regexp_replace(regexp_replace(p_name, '/', '_', 'g'), '\\\\', '_', 'g') AS file, '''' || replace(p_name, '''', '''''') || '''' AS literal, lower(regexp_replace(regexp_replace(p_name, '([a-z0-9])([A-Z])', '\\1_\\2', 'g'), '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g')) AS snake, upper(regexp_replace(trim(p_name), '\\s+', ' ', 'g')) AS normal FROM part")
+_LABEL = "concat_ws('/', settlement_name, street_name || chr(39) || 's\\House', house_number, 'pirCode', 'HTMLPage')"
+@query(f"SELECT DISTINCT x, regexp_replace(regexp_replace(x, '/', '_', 'g'), '\\\\', '_', 'g') AS file, chr(39) || replace(x, chr(39), chr(39) || chr(39)) || chr(39) AS literal, lower(regexp_replace(regexp_replace(x, '([a-z0-9])([A-Z])', '\\1_\\2', 'g'), '([A-Z]+)([A-Z][a-z])', '\\1_\\2', 'g')) AS snake, upper(regexp_replace(trim(x), '\\s+', ' ', 'g')) AS normal FROM (SELECT {_LABEL} AS x FROM staging_korzet)")
 def text_helpers(spark, sf):
-    return table(spark, sf, "part").select("p_name", X.file_name("p_name").alias("file"), X.sql_literal("p_name").alias("literal"), X.snake_case("p_name").alias("snake"), X.normal_text("p_name").alias("normal")).distinct()
+    """On texts with capitals, both slashes, quotes and blanks."""
+    x = F.concat_ws("/", F.col("settlement_name"), F.concat("street_name", F.lit("'s\\House")), F.col("house_number"), F.lit("pirCode"), F.lit("HTMLPage")).alias("x")
+    return staging(spark, sf).select(x).distinct().select("x", X.file_name("x").alias("file"), X.sql_literal("x").alias("literal"), X.snake_case("x").alias("snake"), X.normal_text("x").alias("normal"))
 
 
 def _rule(c: str, pattern: str) -> Column:
@@ -355,10 +358,16 @@ def list_aggregation(spark, sf):
     return staging(spark, sf).groupBy(F.trim("county_code").alias("county_code"), F.trim("settlement_code").alias("settlement_code")).agg(distinct_list(tevk).alias("tevk_list"), F.count_distinct(F.trim("oevk_code")).alias("n_oevk"))
 
 
-@query("SELECT trim(county_code) AS county_code, trim(settlement_code) AS settlement_code, trim(tevk_code) AS tevk_code, count(DISTINCT trim(oevk_code)) AS n_parents FROM staging_korzet WHERE trim(tevk_code) <> '' GROUP BY 1, 2, 3 HAVING count(DISTINCT trim(oevk_code)) > 1")
+_PARENTS = lambda kind, child, parent: f"SELECT '{kind}' AS kind, {child} AS child, count(DISTINCT {parent}) AS n_parents FROM staging_korzet WHERE {child} <> '' GROUP BY 2 HAVING count(DISTINCT {parent}) > 1"
+_DISTRICT = "trim(county_code) || '|' || trim(settlement_code) || '|' || nullif(trim(tevk_code), '')"
+_TOWN = "trim(county_code) || '|' || trim(settlement_code)"
+@query(" UNION ALL ".join([_PARENTS("district", _DISTRICT, "trim(oevk_code)"), _PARENTS("postal_code", "trim(postal_code)", _TOWN), _PARENTS("settlement", _TOWN, "nullif(trim(tevk_code), '')")]))
 def multi_parent(spark, sf):
-    s = staging(spark, sf).where("trim(tevk_code) != ''").groupBy(*(F.trim(c).alias(c) for c in ("county_code", "settlement_code", "tevk_code")))
-    return s.agg(F.count_distinct(F.trim("oevk_code")).alias("n_parents")).where("n_parents > 1")
+    """Districts, postal codes and settlements that belong to several of what they should, or may, belong to one of."""
+    town = F.concat(F.trim("county_code"), F.lit("|"), F.trim("settlement_code"))
+    tevk = F.nullif(F.trim("tevk_code"), F.lit(""))
+    one = lambda kind, child, parent: parents(staging(spark, sf).select(child.alias("child"), parent.alias("parent")).where("child != ''"), "child", "parent").select(F.lit(kind).alias("kind"), "child", "n_parents")
+    return one("district", F.concat(town, F.lit("|"), tevk), F.trim("oevk_code")).unionByName(one("postal_code", F.trim("postal_code"), town)).unionByName(one("settlement", town, tevk))
 
 
 @query("SELECT gate_code, row_id, street_name FROM (SELECT trim(gate_code) AS gate_code, row_id, street_name, row_number() OVER (PARTITION BY trim(gate_code) ORDER BY run_tag DESC, loaded_at DESC, row_id) AS n FROM staging_korzet WHERE trim(gate_code) <> '') WHERE n = 1")

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from tessera.functions import geo as G
 from tessera.functions.registry import register_functions
 from tessera.operators.constraints import Constraints, violations
+from tessera.operators.dedup import as_json, dedup_report, report_row, with_canonical_id
+from tessera.operators.export import split_part
+from tessera.operators.tables import count_distinct_with_null, running_count
 from tessera.plans.pipeline import run, whole_run
+from tessera.queries.addresses import _KEYED as _KEYED_ROWS
 from tessera.session import table
 
 QUERIES: dict = {}
@@ -60,6 +64,63 @@ def sql_functions(spark, sf):
         canonical=table(spark, sf, "canonical_address"))
 
 
+_H = lambda *parts: f"substr(md5({" || '|' || ".join(parts)}), 1, 16)"
+_PARTS = ("county_code", "settlement_code", "oevk_code", "tevk_code", "postal_code", "polling_station_address", "street_name", "street_type", "house_number", "building", "staircase")
+@query(f"""SELECT DISTINCT {', '.join(_PARTS)}, {_H('county_code')} AS county_id, {_H('county_code', 'settlement_code')} AS settlement_id, {_H('county_code', 'oevk_code')} AS oevk_id, {_H('county_code', 'settlement_code', "coalesce(tevk_code, '-')")} AS tevk_id,
+  {_H('postal_code')} AS postal_code_id, {_H(_H('postal_code'), _H('county_code', 'settlement_code'))} AS link_id, {_H('county_code', 'settlement_code', 'oevk_code', "coalesce(tevk_code, '')", 'polling_station_address')} AS station_id,
+  {_H('county_code', 'settlement_code', 'street_name', 'street_type', 'house_number', "coalesce(building, '')", "coalesce(staircase, '')", 'postal_code')} AS address_id, replace(street_name, chr(39), chr(39) || chr(39)) AS escaped FROM staging_korzet""")
+def sql_hash_ids(spark, sf):
+    """Ids by the functions that SQL text can call; a null part gives no id, but for those that may be left out."""
+    register_functions(spark)
+    return spark.sql(
+        f"""SELECT DISTINCT {', '.join(_PARTS)}, hash_county_id(county_code) AS county_id, hash_settlement_id(county_code, settlement_code) AS settlement_id, hash_oevk_id(county_code, oevk_code) AS oevk_id, hash_tevk_id(county_code, settlement_code, tevk_code) AS tevk_id,
+        hash_postal_code_id(postal_code) AS postal_code_id, hash_postal_code_settlement_id(hash_postal_code_id(postal_code), hash_settlement_id(county_code, settlement_code)) AS link_id, hash_polling_station_id(county_code, settlement_code, oevk_code, tevk_code, polling_station_address) AS station_id,
+        hash_address_id(county_code, settlement_code, street_name, street_type, house_number, building, staircase, postal_code) AS address_id, sql_escape(street_name) AS escaped FROM {{s}}""",
+        s=table(spark, sf, "staging_korzet"))
+
+
+@query("SELECT row_id, count(*) OVER (PARTITION BY trim(gate_code) ORDER BY run_tag, row_id) AS nth FROM staging_korzet")
+def running_counts(spark, sf):
+    s = table(spark, sf, "staging_korzet").select("row_id", "run_tag", F.trim("gate_code").alias("gate_code"))
+    return running_count(s, ["gate_code"], ["run_tag", "row_id"]).select("row_id", F.col("nth").cast("long").alias("nth"))
+
+
+@query("SELECT county_code, count(DISTINCT tevk_code) + max(CASE WHEN tevk_code IS NULL THEN 1 ELSE 0 END) AS n_tevk, count(DISTINCT street_type) + max(CASE WHEN street_type IS NULL THEN 1 ELSE 0 END) AS n_types FROM staging_korzet GROUP BY 1")
+def unique_with_null(spark, sf):
+    s = table(spark, sf, "staging_korzet")
+    return s.groupBy("county_code").agg(count_distinct_with_null(F.col("tevk_code")).alias("n_tevk"), count_distinct_with_null(F.col("street_type")).alias("n_types"))
+
+
+@query("SELECT DISTINCT polling_station_address, split_part(polling_station_address, ' ', 1) AS first, split_part(polling_station_address, ' ', -1) AS last, split_part(polling_station_address, ',', 2) AS second FROM polling_station")
+def split_parts(spark, sf):
+    a = F.col("polling_station_address")
+    return table(spark, sf, "polling_station").select("polling_station_address", split_part(a, " ", 1).alias("first"), split_part(a, " ", -1).alias("last"), split_part(a, ",", 2).alias("second")).distinct()
+
+
+@query("SELECT * FROM canonical_address c WHERE EXISTS (SELECT 1 FROM address_mapping m JOIN address_polling_stations s ON s.canonical_address_id = m.canonical_address_id WHERE m.original_address_id = c.id)")
+def semi_join_over_join(spark, sf):
+    """Records whose group has a station: a semi join against a join."""
+    m = table(spark, sf, "address_mapping").select(F.col("original_address_id").alias("id"), "canonical_address_id")
+    held = m.join(table(spark, sf, "address_polling_stations").select("canonical_address_id"), "canonical_address_id", "left_semi").select("id")
+    return table(spark, sf, "canonical_address").join(held, "id", "left_semi")
+
+
+@query("SELECT ps.n AS sequences, c.chunk, count(*) AS n FROM (SELECT (count(*) + 999) // 1000 AS n FROM staging_korzet) ps, (SELECT (row_id % 1000003) // 100 AS chunk FROM staging_korzet) c GROUP BY 1, 2")
+def chunk_counts(spark, sf):
+    """Number of chunks of a thousand that the rows fill, rounded up, and the rows of each chunk of ids."""
+    s = table(spark, sf, "staging_korzet")
+    total = s.agg(F.ceil(F.count(F.lit(1)) / 1000).alias("sequences"))
+    return s.groupBy(F.expr("(row_id % 1000003) DIV 100").alias("chunk")).agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(total))  # one row
+
+
+@query("SELECT count(*) AS total_addresses, count(*) - count(DISTINCT c) AS duplicates_found, count(DISTINCT c) AS canonical_addresses_created, CASE WHEN count(*) > 0 AND count(DISTINCT c) = 0 THEN 'partial' ELSE 'completed' END AS status, substr(md5('run'), 1, 16) AS id FROM (SELECT canonical_address_id AS c FROM (" + _KEYED_ROWS + "))")
+def dedup_report_row(spark, sf):
+    """The report of an entity resolution with its status, as it is given out in JSON, without times."""
+    r = as_json(report_row(dedup_report(with_canonical_id(table(spark, sf, "staging_korzet"))), "run", 0))
+    j = F.from_json("json", "id string, total_addresses long, duplicates_found long, canonical_addresses_created long, status string")
+    return r.select(j.alias("j")).select("j.total_addresses", "j.duplicates_found", "j.canonical_addresses_created", "j.status", "j.id")
+
+
 @query("SELECT row_id, street_name FROM staging_korzet WHERE run_tag = '20251001' AND street_name ILIKE '%erdő%'")
 def run_filter_ilike(spark, sf):
     """A run picked by a bound parameter, and a search by part of a name."""

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import geo as G
-from tessera.functions.keys import md5_16, uuid3
+from tessera.functions.keys import md5_16, strict_cache_key, uuid3
 from tessera.functions.textops import export_score, house_int, plain_address, without_parentheses
-from tessera.operators.geocode import QUALITY_RANK, best_fuzzy, better_wins, cache_hits, cache_misses, interpolate, quality_of_osm, quality_of_result_type, quality_rank, station_places
-from tessera.operators.proximity import haversine_m, regions_of
+from tessera.operators.geocode import QUALITY_RANK, answer_place, best_fuzzy, better_wins, cache_hits, cache_misses, crowded_points, interpolate, quality_by_keyword, quality_of_osm, quality_of_result_type, quality_rank, station_places, wants_retry
+from tessera.operators.proximity import haversine_m, nearest, regions_of
+from tessera.operators.rejects import STAGING_COLUMNS
 from tessera.operators.serve import canonical_export, canonical_with_lists, resolved_keys
-from tessera.operators.tables import deterministic_sample, differences, first_by, last_by, orphans_of
+from tessera.operators.tables import deterministic_sample, differences, first_by, last_by, orphans_of, verify_counts
 from tessera.queries.addresses import _uuid_sql, id16, staging, t
 from tessera.session import table
 
@@ -130,23 +131,6 @@ def settlement_centroid(spark, sf):
     return c.groupBy("county_code", "settlement_name").agg(F.round(F.avg("latitude"), 8).alias("latitude"), F.round(F.avg("longitude"), 8).alias("longitude"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""
-WITH st AS (SELECT id, max(polling_station_address) AS address, max(latitude) AS latitude, max(longitude) AS longitude, max(lower(trim(settlement_id))) AS settlement_id FROM polling_station GROUP BY id),
-places AS (SELECT trim(street_name) || ' ' || trim(street_type) AS street, count(*) AS n FROM staging_korzet WHERE trim(street_type) <> '' GROUP BY 1),
-se AS (SELECT lower(trim(id)) AS settlement_id, max(settlement_name) AS settlement_name FROM settlement GROUP BY 1),
-l AS (SELECT st.id, CASE WHEN st.latitude IS NOT NULL THEN 'exact' WHEN p.street IS NOT NULL THEN 'street' WHEN se.settlement_name IS NOT NULL THEN 'settlement' ELSE 'failed' END AS level
-  FROM st LEFT JOIN places p ON p.street = regexp_replace(trim(regexp_replace(coalesce(st.address, ''), '\\s*\\([^)]*\\)\\s*', ' ', 'g')), '\\s+[0-9]+\\.?$', '') LEFT JOIN se ON se.settlement_id = st.settlement_id)
-SELECT id, level FROM l""")
-def match_ladder(spark, sf):
-    st = table(spark, sf, "polling_station").groupBy("id").agg(F.max("polling_station_address").alias("address"), F.max("latitude").alias("latitude"), F.max(F.lower(F.trim("settlement_id"))).alias("settlement_id"))
-    places = staging(spark, sf).where("trim(street_type) != ''").select(F.concat(F.trim("street_name"), F.lit(" "), F.trim("street_type")).alias("street")).where("street IS NOT NULL").distinct()
-    se = table(spark, sf, "settlement").groupBy(F.lower(F.trim("id")).alias("settlement_id")).agg(F.max("settlement_name").alias("settlement_name"))
-    st = st.withColumn("street", F.regexp_replace(without_parentheses("address"), r"\s+[0-9]+\.?$", ""))
-    j = st.join(places.withColumn("known", F.lit(True)), "street", "left").join(se, "settlement_id", "left")
-    level = F.when(F.col("latitude").isNotNull(), "exact").when(F.col("known"), "street").when(F.col("settlement_name").isNotNull(), "settlement").otherwise("failed")
-    return j.select("id", level.alias("level"))
-
-
 _FOLD = lambda c: f"regexp_replace(translate(lower(coalesce({c}, '')), 'áéíóöőúüű', 'aeiooouuu'), '[^a-z0-9]', '', 'g')"
 _REF = lambda c: f"nullif(lower(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')), '')"
 _STREET = r"'([a-záéíóöőúüű\s]+(?:utca|út|tér|köz|körút|sétány|park|sor))\s*(\d+[a-z\-/\.]*)'"
@@ -174,9 +158,12 @@ def station_ladder(spark, sf):
     return station_places(*(table(spark, sf, n) for n in ("polling_station", "settlement", "county", "canonical_address")))
 
 
-@query("SELECT cache_key, quality FROM geocoding_cache WHERE quality = 'failed' OR quality IN ('settlement', 'street')")
+_MINIMA = ("failed", "settlement", "street", "exact")
+@query(f"SELECT m.minimum, cache_key, quality FROM geocoding_cache, (VALUES {', '.join(f"('{m}')" for m in _MINIMA)}) m(minimum) WHERE quality = 'failed' OR (quality = 'settlement' AND m.minimum IN ('settlement', 'street', 'exact')) OR (quality = 'street' AND m.minimum IN ('street', 'exact'))")
 def retry_selection(spark, sf):
-    return table(spark, sf, "geocoding_cache").where(F.col("quality").isin("failed", "settlement", "street")).select("cache_key", "quality")
+    """What is looked up again for each of the minimum qualities that may be configured."""
+    g = table(spark, sf, "geocoding_cache").select("cache_key", "quality", F.explode(F.array(*map(F.lit, _MINIMA))).alias("minimum"))
+    return g.where(wants_retry(F.col("quality"), F.col("minimum"))).select("minimum", "cache_key", "quality")
 
 
 _REKEY = f"SELECT md5(coalesce(a.settlement_name, '') || '|' || coalesce(a.street_name, '') || '|' || coalesce(a.house_number, '')) AS new_key, g.cache_key, g.quality, {_RANK_OF('g.quality')} AS rank FROM geocoding_cache g JOIN {_ADDR} a USING (canonical_address_id)"
@@ -254,16 +241,28 @@ def md5_sample(spark, sf):
     return deterministic_sample(table(spark, sf, "canonical_address").select("id").distinct(), "id", 5)
 
 
-_ONE = lambda tag: f"(SELECT trim(gate_code) AS gate_code, max(trim(polling_station_code)) AS polling_station_code, max(trim(postal_code)) AS postal_code FROM staging_korzet WHERE run_tag = '{tag}' AND trim(gate_code) <> '' GROUP BY 1)"
+_VERIFIED = [c for c in STAGING_COLUMNS if c != "gate_code"]
+_TAGS = "(SELECT {}(trim(run_tag)) FROM staging_korzet WHERE trim(run_tag) <> '')"
+_ONE = lambda which: f"(SELECT trim(gate_code) AS gate_code, {', '.join(f'max(trim({c})) AS {c}' for c in _VERIFIED)} FROM staging_korzet WHERE trim(run_tag) = {_TAGS.format(which)} AND trim(gate_code) <> '' GROUP BY 1)"
 @query(f"""SELECT coalesce(a.gate_code, b.gate_code) AS gate_code, CASE WHEN b.gate_code IS NULL THEN 'only_left' WHEN a.gate_code IS NULL THEN 'only_right' ELSE 'changed' END AS status,
-  CASE WHEN a.gate_code IS NOT NULL AND b.gate_code IS NOT NULL THEN concat_ws(',', CASE WHEN a.polling_station_code IS DISTINCT FROM b.polling_station_code THEN 'polling_station_code' END, CASE WHEN a.postal_code IS DISTINCT FROM b.postal_code THEN 'postal_code' END) END AS changed
-  FROM {_ONE('20250702')} a FULL JOIN {_ONE('20251001')} b ON a.gate_code = b.gate_code WHERE a.gate_code IS NULL OR b.gate_code IS NULL OR a.polling_station_code IS DISTINCT FROM b.polling_station_code OR a.postal_code IS DISTINCT FROM b.postal_code""")
+  CASE WHEN a.gate_code IS NOT NULL AND b.gate_code IS NOT NULL THEN concat_ws(',', {', '.join(f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c}' END" for c in _VERIFIED)}) END AS changed
+  FROM {_ONE('min')} a FULL JOIN {_ONE('max')} b ON a.gate_code = b.gate_code WHERE a.gate_code IS NULL OR b.gate_code IS NULL OR {' OR '.join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _VERIFIED)}""")
 def verify_diff(spark, sf):
-    def one(tag: str) -> DataFrame:
-        s = staging(spark, sf).where((F.col("run_tag") == tag) & (F.trim("gate_code") != ""))
-        return s.groupBy(F.trim("gate_code").alias("gate_code")).agg(F.max(F.trim("polling_station_code")).alias("polling_station_code"), F.max(F.trim("postal_code")).alias("postal_code"))
+    """The first and the last run, field by field."""
+    s = staging(spark, sf).withColumn("tag", F.trim("run_tag")).where("tag != '' AND trim(gate_code) != ''")
+    first, last = staging(spark, sf).agg(F.min(F.nullif(F.trim("run_tag"), F.lit(""))), F.max(F.nullif(F.trim("run_tag"), F.lit("")))).first()
+    one = lambda tag: s.where(F.col("tag") == tag).groupBy(F.trim("gate_code").alias("gate_code")).agg(*(F.max(F.trim(c)).alias(c) for c in _VERIFIED))
+    return differences(one(first), one(last), ["gate_code"], _VERIFIED)
 
-    return differences(one("20250702"), one("20251001"), ["gate_code"], ["polling_station_code", "postal_code"])
+
+_DISTINCT = lambda which, c: f"(SELECT count(DISTINCT trim({c})) FROM staging_korzet WHERE trim(run_tag) = {_TAGS.format(which)} AND trim({c}) <> '')"
+@query(" UNION ALL ".join(f"SELECT '{c}' AS table_name, {_DISTINCT('min', c)} AS n_expected, {_DISTINCT('max', c)} AS n_got, abs({_DISTINCT('min', c)} - {_DISTINCT('max', c)}) <= {0 if c == 'gate_code' else 1} AS passed" for c in ("county_code", "settlement_name", "postal_code", "gate_code")))
+def verify_row_counts(spark, sf):
+    """Tables of the first and the last run by their number of rows: addresses exactly, others with one row's grace."""
+    s = staging(spark, sf).withColumn("tag", F.trim("run_tag"))
+    first, last = s.agg(F.min(F.nullif("tag", F.lit(""))), F.max(F.nullif("tag", F.lit("")))).first()
+    made = lambda tag: {c: s.where((F.col("tag") == tag) & (F.trim(c) != "")).select(F.trim(c)).distinct() for c in ("county_code", "settlement_name", "postal_code", "gate_code")}
+    return verify_counts(made(first), made(last), {"gate_code": 0})
 
 
 _PAIR = """len(string_split_regex(trim(e), '\\s+')) = 2 AND try_cast(string_split_regex(trim(e), '\\s+')[1] AS DOUBLE) BETWEEN -90 AND 90 AND try_cast(string_split_regex(trim(e), '\\s+')[2] AS DOUBLE) BETWEEN -180 AND 180"""
@@ -288,13 +287,11 @@ _HAV = "2 * 6371000 * asin(least(1, sqrt(pow(sin(radians(b.y - a.y) / 2), 2) + c
 _CENTERS = "(SELECT DISTINCT id, try_cast(string_split_regex(trim(center), '\\s+')[1] AS DOUBLE) AS y, try_cast(string_split_regex(trim(center), '\\s+')[2] AS DOUBLE) AS x FROM national_individual_electoral_district WHERE len(string_split_regex(trim(center), '\\s+')) = 2)"
 @query(f"SELECT station, district, round(m, 3) AS metres FROM (SELECT a.id AS station, b.id AS district, {_HAV} AS m, row_number() OVER (PARTITION BY a.id ORDER BY {_HAV}, b.id) AS n FROM (SELECT id, max(latitude) AS y, max(longitude) AS x FROM polling_station WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1) a, {_CENTERS} b WHERE b.y IS NOT NULL) WHERE n = 1")
 def haversine_nearest(spark, sf):
-    """Nearest district centre of each station. Districts are a fixed table of about a hundred rows, so they are held against all stations."""
-    st = table(spark, sf, "polling_station").where("latitude IS NOT NULL AND longitude IS NOT NULL").groupBy("id").agg(F.max("latitude").alias("y"), F.max("longitude").alias("x"))
+    """Nearest district centre of each station."""
+    st = table(spark, sf, "polling_station").where("latitude IS NOT NULL AND longitude IS NOT NULL").groupBy("id").agg(F.max("latitude").alias("latitude"), F.max("longitude").alias("longitude"))
     p = F.split(F.trim("center"), r"\s+")
-    d = table(spark, sf, "national_individual_electoral_district").where(F.size(p) == 2).select("id", F.get(p, 0).try_cast("double").alias("y"), F.get(p, 1).try_cast("double").alias("x")).where("y IS NOT NULL").distinct()
-    centres = d.agg(F.collect_list(F.struct("id", "y", "x")).alias("centres"))
-    near = F.array_min(F.transform("centres", lambda c: F.struct(haversine_m(F.col("y"), F.col("x"), c["y"], c["x"]).alias("m"), c["id"].alias("id"))))
-    return st.join(F.broadcast(centres)).select(F.col("id").alias("station"), near["id"].alias("district"), F.round(near["m"], 3).alias("metres"))  # one row
+    d = table(spark, sf, "national_individual_electoral_district").where(F.size(p) == 2).select("id", F.get(p, 0).try_cast("double").alias("latitude"), F.get(p, 1).try_cast("double").alias("longitude"))
+    return nearest(st, "id", d, "id").select(F.col("left_key").alias("station"), F.col("right_key").alias("district"), F.round("metres", 3).alias("metres"))
 
 
 @query(f"SELECT DISTINCT station, district FROM (SELECT a.id AS station, b.id AS district FROM (SELECT id, latitude AS y, longitude AS x FROM polling_station WHERE latitude IS NOT NULL AND longitude IS NOT NULL) a JOIN {_CENTERS} b ON {_HAV} <= 10000)")
@@ -325,9 +322,13 @@ def bbox_flag(spark, sf):
     return table(spark, sf, "geocoding_cache").select("cache_key", "latitude", G.in_bounds(F.col("latitude"), F.col("longitude")).alias("in_country"))
 
 
-@query("SELECT latitude, longitude, count(DISTINCT cache_key) AS n FROM geocoding_cache WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT cache_key) > 3")
+_CROWD = lambda digits: f"SELECT {digits} AS digits, round(latitude, {digits}) AS latitude, round(longitude, {digits}) AS longitude, count(DISTINCT cache_key) AS n FROM geocoding_cache WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY 1, 2, 3 HAVING count(DISTINCT cache_key) > 10"
+@query(" UNION ALL ".join(map(_CROWD, (6, 1))))
 def density_clusters(spark, sf):
-    return table(spark, sf, "geocoding_cache").where("latitude IS NOT NULL AND longitude IS NOT NULL").groupBy("latitude", "longitude").agg(F.count_distinct("cache_key").alias("n")).where("n > 3")
+    """Crowded points, and crowded places of about ten kilometres."""
+    g = table(spark, sf, "geocoding_cache").where("latitude IS NOT NULL AND longitude IS NOT NULL")
+    at = lambda digits: crowded_points(g.select("cache_key", F.round("latitude", digits).alias("latitude"), F.round("longitude", digits).alias("longitude")), "cache_key", "latitude", "longitude")
+    return at(6).select(F.lit(6).alias("digits"), "*").unionByName(at(1).select(F.lit(1).alias("digits"), "*"))
 
 
 @query("SELECT coalesce(source, 'none') AS source, count(*) AS n, round(avg(CASE WHEN quality = 'failed' THEN 0.0 ELSE 1.0 END), 6) AS success_rate, avg(CASE WHEN quality = 'failed' THEN 0.0 ELSE 1.0 END) < 0.95 AS warning FROM geocoding_cache GROUP BY 1")
@@ -352,3 +353,44 @@ def freshness(spark, sf):
 def conditional_counters(spark, sf):
     e = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "click").alias("clicks"), F.round(F.sum("value"), 4).alias("total"))
     return e.where("n > 1")
+
+
+# Answers of a lookup service, made of cache rows: without an item where the look-up failed.
+_ANSWER = "CASE WHEN latitude IS NULL OR longitude IS NULL THEN '{\"items\": []}' ELSE '{\"items\": [{\"resultType\": \"' || CASE osm_type WHEN 'node' THEN 'houseNumber' WHEN 'way' THEN 'street' WHEN 'relation' THEN 'locality' ELSE 'other' END || '\", \"position\": {\"lat\": ' || latitude || ', \"lng\": ' || longitude || '}, \"address\": {\"city\": \"' || coalesce(source, '') || '\"}}]}' END"
+@query(f"""SELECT DISTINCT cache_key, CAST(json_extract(j, '$.items[0].position.lat') AS DOUBLE) AS latitude, CAST(json_extract(j, '$.items[0].position.lng') AS DOUBLE) AS longitude, json_extract_string(j, '$.items[0].resultType') AS kind,
+  CASE WHEN json_extract(j, '$.items[0]') IS NULL THEN NULL WHEN json_extract_string(j, '$.items[0].resultType') = 'houseNumber' THEN 'exact' WHEN json_extract_string(j, '$.items[0].resultType') = 'street' THEN 'street' WHEN json_extract_string(j, '$.items[0].resultType') = 'locality' THEN 'settlement' WHEN json_extract_string(j, '$.items[0].address.city') IS NOT NULL THEN 'settlement' ELSE 'street' END AS quality
+  FROM (SELECT cache_key, {_ANSWER} AS j FROM geocoding_cache)""")
+def answer_navigation(spark, sf):
+    kind = F.when(F.col("osm_type") == "node", "houseNumber").when(F.col("osm_type") == "way", "street").when(F.col("osm_type") == "relation", "locality").otherwise("other")
+    item = F.struct(kind.alias("resultType"), F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lng")).alias("position"), F.struct(F.coalesce("source", F.lit("")).alias("city")).alias("address"))
+    none = F.lit('{"items": []}')
+    j = F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), none).otherwise(F.to_json(F.struct(F.array(item).alias("items"))))
+    return table(spark, sf, "geocoding_cache").select("cache_key", answer_place(j).alias("p")).select("cache_key", "p.*").distinct()
+
+
+@query("SELECT DISTINCT osm_type, CASE WHEN regexp_matches(lower(coalesce(k, '')), 'house|building') THEN 'exact' WHEN regexp_matches(lower(coalesce(k, '')), 'street|road') THEN 'street' WHEN regexp_matches(lower(coalesce(k, '')), 'city|town|village|place') THEN 'settlement' ELSE 'failed' END AS class FROM (SELECT osm_type, CASE osm_type WHEN 'node' THEN 'House' WHEN 'way' THEN 'main road' WHEN 'relation' THEN 'village' END AS k FROM geocoding_cache)")
+def quality_by_keywords(spark, sf):
+    kind = F.when(F.col("osm_type") == "node", "House").when(F.col("osm_type") == "way", "main road").when(F.col("osm_type") == "relation", "village")
+    return table(spark, sf, "geocoding_cache").select("osm_type", quality_by_keyword(kind).alias("class")).distinct()
+
+
+_CK = "md5(settlement_name || '|' || street_name || '|' || house_number)"
+_KEYED_CACHE = f"(SELECT * FROM (SELECT {_CK} AS k, g.latitude, g.longitude, g.quality, row_number() OVER (PARTITION BY {_CK} ORDER BY {_RANK_OF('g.quality')} DESC, g.cache_key, g.created_at) AS n FROM geocoding_cache g JOIN {_ADDR} a USING (canonical_address_id) WHERE {_CK} IS NOT NULL) WHERE n = 1)"
+@query(f"SELECT a.canonical_address_id, c.latitude, c.longitude, c.quality, CASE WHEN c.quality <> 'failed' THEN 'cache' END AS source FROM {_ADDR} a LEFT JOIN {_KEYED_CACHE} c ON {_CK} = c.k AND c.quality <> 'failed'")
+def cache_join_by_hash(spark, sf):
+    """Addresses and the cache joined by the hash of settlement, street and house number; a null in any of them is no key."""
+    parts = ("settlement_name", "street_name", "house_number")
+    a = addresses(spark, sf).withColumn("k", strict_cache_key(*parts))
+    g = table(spark, sf, "geocoding_cache").select("canonical_address_id", "cache_key", "latitude", "longitude", "quality", "created_at").join(a.select("canonical_address_id", "k"), "canonical_address_id").where("k IS NOT NULL")
+    c = first_by(g, ["k"], [quality_rank(F.col("quality")).desc(), F.asc("cache_key"), F.asc("created_at")]).select("k", "latitude", "longitude", "quality")
+    ids = a.select("canonical_address_id", "k")
+    hits, misses = cache_hits(ids, c, "k"), cache_misses(ids.where("k IS NOT NULL"), c, "k").select("canonical_address_id")
+    none = ids.where("k IS NULL").select("canonical_address_id").unionByName(misses)
+    return hits.select("canonical_address_id", "latitude", "longitude", "quality", "source").unionByName(none, allowMissingColumns=True)
+
+
+_CORNERS = f"(SELECT DISTINCT id, string_split_regex(trim(e), '\\s+')[1] || ' ' || string_split_regex(trim(e), '\\s+')[2] AS corner FROM (SELECT id, unnest(string_split(coalesce(polygon, ''), ',')) AS e FROM national_individual_electoral_district) WHERE {_PAIR})"
+@query(f"SELECT a.id AS a, b.id AS b, count(*) AS corners FROM {_CORNERS} a JOIN {_CORNERS} b ON a.corner = b.corner AND a.id < b.id GROUP BY 1, 2 HAVING count(*) > 1")
+def district_neighbours(spark, sf):
+    """Districts that share a stretch of border: at least two corners, as written."""
+    return G.touching(table(spark, sf, "national_individual_electoral_district"), "id", "polygon")

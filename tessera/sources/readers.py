@@ -42,6 +42,17 @@ def read_districts_json(spark: SparkSession, path: str, run_tag: str) -> DataFra
     return rows.select(F.coalesce("maz", F.lit("")).alias("maz"), F.coalesce("evk", F.lit("")).alias("evk"), "centrum", "poligon", F.lit(run_tag).alias("run_tag"))
 
 
+def read_plain_csv(spark: SparkSession, path: str, sep: str = ";", null: str = "") -> DataFrame:
+    """A CSV file with header, all columns text; fields that equal ``null``, quoted or not, are null."""
+    rows = spark.read.option("sep", sep).option("header", True).option("inferSchema", False).option("nullValue", null).option("emptyValue", null).option("escape", '"').csv(path)
+    return rows.select(*(F.nullif(F.col(f"`{c}`"), F.lit(null)).alias(c) for c in rows.columns))
+
+
+def rows_as_json(df: DataFrame, keep_nulls: bool = True) -> DataFrame:
+    """Every row as one JSON object: column ``row``."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": str(not keep_nulls).lower()}).alias("row"))
+
+
 def read_run(spark: SparkSession, path: str, run_tag: str) -> DataFrame:
     """One run of a staging table that is written by run."""
     return spark.read.parquet(path).where(F.col("run_tag") == run_tag)

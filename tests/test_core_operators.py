@@ -1,17 +1,22 @@
 """Core operators on small tables: empty, null, repeated, tied and clashing input."""
 
 import datetime as dt
+import hashlib
 import math
 import random
 
 import pytest
 
-from tessera.operators.geocode import best_fuzzy, better_wins, interpolate, station_places
+from pyspark.sql import functions as F
+
+from tessera.functions.textops import duration_text
+from tessera.operators.export import chosen_settlements, closed_subset
+from tessera.operators.geocode import answer_place, best_fuzzy, better_wins, interpolate, quality_by_keyword, station_places, wants_retry
 from tessera.operators.orphans import Reference, compress, expand, orphans
-from tessera.operators.proximity import cover, edges, even_odd, near_pairs, parse_polygon, regions_of
+from tessera.operators.proximity import cover, edges, even_odd, near_pairs, nearest, parse_polygon, regions_of
 from tessera.operators.rejects import STAGING_COLUMNS, parse_records, read_records, record_ends
 from tessera.operators.snapshots import keep_snapshots, kept_changes, snapshot_changes
-from tessera.operators.tables import differences, keep_first, last_wins, with_sequence
+from tessera.operators.tables import add_column, check_input, columns_of, count_distinct_with_null, deterministic_sample, differences, keep_first, last_wins, merge_columns, parents, running_count, verify_counts, with_sequence
 
 D = lambda d, h=0: dt.datetime(2025, 7, d, h)
 
@@ -254,13 +259,42 @@ def test_files_are_cut_into_records(spark, tmp_path):
 def test_upserts(spark):
     old = spark.createDataFrame([("a", 1, 1), ("b", 1, 1)], "k string, v int, o int")
     new = spark.createDataFrame([("b", 2, 2), ("c", 3, 2), ("c", 4, 3), ("a", 9, 0)], "k string, v int, o int")
-    from pyspark.sql import functions as F
-
     assert rows(keep_first(old, new, ["k"], [F.col("o")])) == [("a", 1, 1), ("b", 1, 1), ("c", 3, 2)]
     assert rows(last_wins(old, new, ["k"], ["o"]).select("k", "v", "o")) == [("a", 9, 0), ("b", 2, 2), ("c", 4, 3)]
     assert rows(keep_first(old.limit(0), new.limit(0), ["k"], [F.col("o")])) == []
 
 
+def test_partial_update_by_another_key(spark):
+    old = spark.createDataFrame([(1, "a", "x", "I"), (2, "b", "y", None)], "id int, k string, v string, flag string")
+    new = spark.createDataFrame([("a", None, "N"), ("c", "z", "I")], "k string, v string, flag string")
+    assert sorted(map(str, rows_any(merge_columns(old, new, ["k"], ["v", "flag"])))) == sorted(map(str, [(1, "a", "x", "N"), (2, "b", "y", None), (None, "c", "z", "I")]))
+    assert rows(merge_columns(old.limit(0), new.limit(0), ["k"], ["v"])) == []
+
+
+def test_small_blocks(spark):
+    df = spark.createDataFrame([("a", None), ("a", "x"), ("b", None)], "k string, v string")
+    assert add_column(df, "v", F.lit("new")) is df and add_column(df, "w", F.lit(1)).columns == ["k", "v", "w"]
+    assert rows(df.groupBy("k").agg(count_distinct_with_null(F.col("v")))) == [("a", 2), ("b", 1)]
+    assert rows(running_count(df.where("v IS NULL"), ["k"], ["v"]).select("k", "nth")) == [("a", 1), ("b", 1)]
+    assert columns_of({"t": df}) == [("t", 1, "k", "string"), ("t", 2, "v", "string")]
+    assert check_input(df, ["k", "v"]) == {"k": 0, "v": 2}
+    for bad in (lambda: check_input(df, ["gone"]), lambda: check_input(df.limit(0), ["k"])):
+        with pytest.raises(ValueError):
+            bad()
+    got = verify_counts({"a": df, "b": df}, {"a": df.limit(2), "b": df.limit(2)}, {"b": 0})
+    assert rows(got) == [("a", 3, 2, True), ("b", 3, 2, False)]
+    assert rows(parents(spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("b", 1)], "k string, p int"), "k", "p")) == [("a", 2)]
+    d = spark.createDataFrame([(d,) for d in (5.0, 59.96, 90.0, 7200.0)], "s double")
+    assert [r[0] for r in d.select(duration_text(F.col("s"))).collect()] == ["5.0s", "60.0s", "1.5m", "2.0h"]
+
+
+def test_sample_is_exact(spark):
+    df = spark.range(3000).selectExpr("CAST(id AS STRING) AS k")
+    got = sorted(r.k for r in deterministic_sample(df, "k", 5).collect())
+    want = sorted(sorted((str(i) for i in range(3000)), key=lambda k: (hashlib.md5(k.encode()).hexdigest(), k))[:150])
+    assert got == want and deterministic_sample(df.limit(0), "k", 5).count() == 0 and deterministic_sample(df.limit(3), "k", 5).count() == 1
+
+
 def test_sequence_has_no_gaps(spark):
     df = spark.range(1000).selectExpr("(id * 7919) % 1000 AS x").repartition(7)
     got = {r.x: r.sequence for r in with_sequence(df, ["x"]).collect()}
@@ -294,6 +328,78 @@ def test_better_wins_and_fuzzy(spark):
     assert [(r.left_id, r.right_id) for r in best_fuzzy(left, right, "b", "t", "u", "i", "j").collect()] == [(1, 8)]
 
 
+def test_fuzzy_against_brute_force(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("aáeköstrl n") for _ in range(r.randrange(1, 12)))
+    slip = lambda w: w[: len(w) // 2] + r.choice("xyz") + w[len(w) // 2 + r.randrange(2) :]
+    left = [("b1" if i % 3 else "b2", word()) for i in range(120)]
+    right = [("b1" if i % 3 else "b2", slip(w) if i % 2 else word(), i) for i, (_, w) in enumerate(left)]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    def similarity(a, b):
+        return 1 - distance(a.encode(), b.encode()) / max(len(a), len(b))
+
+    want = {}
+    for block, w in left:
+        best = min(((-similarity(w, u), i) for c, u, i in right if c == block and similarity(w, u) >= 0.6), default=None)
+        if best:
+            want[block, w] = best[1]
+    a = spark.createDataFrame([(b, w, f"{b}/{w}") for b, w in set(left)], "b string, t string, i string")
+    got = best_fuzzy(a, spark.createDataFrame(right, "b string, u string, j int"), "b", "t", "u", "i", "j")
+    assert {tuple(x.left_id.split("/", 1)): x.right_id for x in got.collect()} == want and len(want) > 50
+
+
+def test_nearest_against_brute_force(spark):
+    r = random.Random(7)
+    spread = lambda n, name: [(f"{name}{i}", max(-90.0, min(90.0, r.choice((47.5, -10.0, 89.9, 0.0)) + r.gauss(0, r.choice((0.001, 1, 30))))), (r.choice((19.0, 179.99, -60.0)) + r.gauss(0, r.choice((0.001, 1, 60))) + 180) % 360 - 180) for i in range(n)]
+    a, b = spread(150, "a"), spread(80, "b")
+    b += [("c", b[0][1], b[0][2]), ("bad", 91.0, 0.0), ("none", None, 1.0)]
+
+    def metres(p, q):
+        h = math.sin(math.radians(q[1] - p[1]) / 2) ** 2 + math.cos(math.radians(p[1])) * math.cos(math.radians(q[1])) * math.sin(math.radians(q[2] - p[2]) / 2) ** 2
+        return 2 * 6371000 * math.asin(min(1, math.sqrt(h)))
+
+    want = {p[0]: min((metres(p, q), q[0]) for q in b if q[1] is not None and abs(q[1]) <= 90) for p in a}
+    df = lambda x: spark.createDataFrame(x, "k string, latitude double, longitude double")
+    got = {x.left_key: (x.metres, x.right_key) for x in nearest(df(a), "k", df(b), "k").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k][0] - want[k][0]) < 1e-3 and (got[k][1] == want[k][1] or abs(got[k][0] - want[k][0]) < 1e-6) for k in want)
+    assert nearest(df(a), "k", df(b).limit(0), "k").count() == 0
+
+
+def test_retry_and_keywords(spark):
+    one = lambda c: spark.range(1).select(c).first()[0]
+    wants = lambda q, m: one(wants_retry(F.lit(q), F.lit(m)))
+    assert [wants(q, m) for q in ("failed", "settlement", "street", "exact") for m in (None, "settlement", "street", "exact")] == [True] * 4 + [False, True, True, True] + [False, False, True, True] + [False] * 4
+    assert [one(quality_by_keyword(F.lit(k))) for k in ("House number", "residential road", "Town", "x", None)] == ["exact", "street", "settlement", "failed", "failed"]
+    assert tuple(one(answer_place(F.lit('{"items":[{"position":{"lat":1.5,"lng":2.5},"resultType":"street"},{"resultType":"x"}]}')))) == (1.5, 2.5, "street", "street")
+    assert tuple(one(answer_place(F.lit('{"items":[]}')))) == tuple(one(answer_place(F.lit("broken")))) == (None, None, None, None)
+
+
+def test_closed_subset(spark):
+    df = lambda rows_, schema: spark.createDataFrame(rows_, schema)
+    tables = {
+        "county": df([("c1", "01", "Főváros"), ("c2", "02", "A"), ("c3", "03", "B"), ("c4", "04", "C")], "id string, county_code string, county_name string"),
+        "settlement": df([(f"s{c}{i}", f"c{c}", f"{i:03d}") for c in range(1, 5) for i in range(1, 5)], "id string, county_id string, settlement_code string"),
+        "polling_station": df([("p1", "s11"), ("p2", "s14"), ("p3", None)], "id string, settlement_id string"),
+        "address": df([("a1", "s11", "z1"), ("a2", "s14", "z2"), ("a3", "s21", None)], "id string, settlement_id string, postal_code_id string"),
+        "address_mapping": df([("a1", "k1"), ("a2", "k1"), ("a2", "k2"), ("a3", "k3")], "original_address_id string, canonical_address_id string"),
+        "canonical_address": df([("k1",), ("k2",), ("k3",)], "id string"), "postal_code": df([("z1",), ("z2",)], "id string"),
+        "address_polling_stations": df([("k1", "p1"), ("k2", "p2")], "canonical_address_id string, polling_station_id string"),
+    }
+    chosen = chosen_settlements(tables["settlement"], tables["county"], "Főváros", 2, 1, 2)
+    assert rows(chosen) == [("s11",), ("s12",), ("s21",), ("s31",)]
+    got = {k: rows(v) for k, v in closed_subset(tables, chosen).items()}
+    assert [x[0] for x in got["county"]] == ["c1", "c2", "c3"] and [x[0] for x in got["address"]] == ["a1", "a3"] and got["postal_code"] == [("z1",)]
+    assert got["address_mapping"] == [("a1", "k1"), ("a3", "k3")] and got["canonical_address"] == [("k1",), ("k3",)] and got["address_polling_stations"] == [("k1", "p1")] and got["polling_station"] == [("p1", "s11")]
+
+
 def test_station_places(spark):
     where = [("s1", "Kisfalu", "k1", D(1)), ("s2", "Nagyfalu", " K1 ", D(1)), ("s3", "Üresfalu", None, D(1))]
     se = spark.createDataFrame(where, "id string, settlement_name string, county_id string, loaded_at timestamp")
