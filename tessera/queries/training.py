@@ -65,7 +65,13 @@ def p5_loaded(spark: SparkSession, sf: str) -> DataFrame:
     return parse_records(raw, keep=("record_id", "file_name", "line_no")).where("reason IS NULL").drop("reason")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_changes, p3_found, p5_found, p5_loaded)}
+def p5_form(spark: SparkSession, sf: str) -> DataFrame:
+    """Records that are broken in form: badly quoted, or with the wrong number of columns."""
+    raw = table(spark, sf, "raw_korzet").where("line_no > 1")
+    return parse_records(raw, with_fields=False).where("reason IN ('quoting', 'column_count')").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_report, p2_found, p2_changes, p3_found, p5_found, p5_form, p5_loaded)}
 
 _SPACE = r"'[\s\p{Z}\x{FEFF}\x{200B}]'"
 _KEY = lambda c: rf"lower(regexp_replace({c}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g'))"
@@ -118,7 +124,13 @@ inside AS (
 SELECT 'near' AS pair_kind, left_key, right_key FROM near UNION ALL SELECT 'inside', left_key, right_key FROM inside
 """
 
+_FIELD = r'(?:"(?:[^"]|"")*"|[^";]*)'
+_P5_FORM = f"""WITH r AS (SELECT record_id, regexp_replace(coalesce(raw_record, ''), $$\\r\\z$$, '') AS t FROM raw_korzet WHERE line_no > 1),
+n AS (SELECT *, regexp_full_match(t, $$(?s){_FIELD}(?:;{_FIELD})*$$) AS quoted, regexp_replace(t, $$(?s)"(?:[^"]|"")*"$$, '', 'g') AS bare FROM r)
+SELECT DISTINCT record_id, CASE WHEN NOT quoted THEN 'quoting' ELSE 'column_count' END AS reason FROM n WHERE NOT quoted OR length(bare) - length(replace(bare, ';', '')) <> {len(STAGING_COLUMNS) - 1}"""
+
 ORACLE = {
+    "p5_form": _P5_FORM,
     "p1_found": _P1,
     "p1_report": f"SELECT table_name, load_month, count(*) AS orphan_rows FROM ({_P1}) GROUP BY 1, 2",
     "p2_found": _P2_FOUND,
