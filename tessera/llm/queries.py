@@ -52,7 +52,50 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.where("piece_no = 1").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_records, p6_survivors, p7_packing, p8_found, p9_found, p9_pieces)}
+def p7_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """Of every document the tokens and characters that its pieces hold, and whether it is cut only where it has to be."""
+    p = p7_packing(spark, sf)
+    size = F.col("token_end") - F.col("token_start")
+    g = p.groupBy("doc_id").agg(F.sum(size).alias("n_tokens"), F.count(F.lit(1)).alias("n_pieces"), F.sum(F.col("char_end") - F.col("char_start")).alias("n_chars"), F.count_distinct("piece_no").alias("k"))
+    return g.select("doc_id", "n_tokens", "n_pieces", "n_chars", (F.col("k") == F.col("n_pieces")).alias("once"))
+
+
+def p7_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of the packing: all tokens, no sequence over its capacity or with a gap, and little more sequences than the tokens need."""
+    p = p7_packing(spark, sf).withColumn("size", F.col("token_end") - F.col("token_start")).where("size > 0")
+    seq = p.groupBy("sequence_id").agg(F.sum("size").alias("held"), F.max(F.col("sequence_offset") + F.col("size")).alias("ends"), F.count(F.lit(1)).alias("k"), F.count_distinct("sequence_offset").alias("starts"))
+    g = seq.agg(F.sum("held").alias("tokens"), F.count(F.lit(1)).alias("n"), F.max("held").alias("most"), F.bool_and((F.col("held") == F.col("ends")) & (F.col("k") == F.col("starts"))).alias("gapless"))
+    return g.select("tokens", (F.col("most") <= CAPACITY).alias("fits"), "gapless", (F.col("n") <= F.ceil(F.col("tokens") / CAPACITY) * 1.01 + 1).alias("near_bound"))
+
+
+def p9_cover(spark: SparkSession, sf: str) -> DataFrame:
+    """Of every document that is split: its tokens, those that the pieces hold without what they repeat, whether all pieces fit and repeat what they should, and the digest of the text that they make up."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("doc_id").orderBy("piece_no")
+    p = p9_pieces(spark, sf).withColumn("before", F.lag("token_end").over(w)).withColumn("chars", F.coalesce(F.lag("char_end").over(w), F.col("char_start")))
+    new = F.expr("substring(piece, cast(chars - char_start AS INT) + 1)")
+    g = p.groupBy("doc_id").agg(
+        F.max("n_tokens").alias("n_tokens"), F.sum(F.col("token_end") - F.coalesce("before", F.lit(0))).alias("covered"),
+        F.bool_and(F.col("token_end") - F.col("token_start") <= LIMIT).alias("fits"), F.bool_and(F.col("before").isNull() | (F.col("token_start") == F.col("before") - OVERLAP)).alias("overlaps"),
+        F.array_sort(F.collect_list(F.struct("piece_no", new.alias("t")))).alias("parts"),
+    )
+    return g.select("doc_id", "n_tokens", "covered", "fits", "overlaps", F.md5(F.array_join(F.transform("parts", lambda x: x["t"]), "")).alias("digest"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_records, p6_survivors, p7_packing, p7_cover, p7_sequences, p8_found, p9_found, p9_pieces, p9_cover)}
+
+# Tokens counted by patterns without look-ahead: words, numbers and signs, each with a blank before it; of longer white space
+# before them all but the last character is a token; so is a last character that is no blank, and white space at the end.
+_NOT_BLANK = r"\t\n\v\f\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WHITE = _NOT_BLANK + " "
+_COUNT = lambda pattern: f"len(regexp_extract_all(text, $${pattern}$$))"
+_RUN = rf"'(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+"
+_TOKENS = f"SELECT doc_id, text, CASE WHEN text IS NULL THEN 0 ELSE {_COUNT(_RUN)} + {_COUNT(f'[{_WHITE}][{_WHITE}]+[^{_WHITE}]')} + {_COUNT(f'[{_NOT_BLANK}][^{_WHITE}]')} + CASE WHEN regexp_matches(text, $$[{_WHITE}]\\z$$) THEN 1 ELSE 0 END END AS n FROM documents"
+_P7_COVER = f"SELECT doc_id, sum(n)::BIGINT AS n_tokens, sum(greatest(1, (n + {CAPACITY - 1}) // {CAPACITY}))::BIGINT AS n_pieces, sum(coalesce(length(text), 0))::BIGINT AS n_chars, true AS once FROM ({_TOKENS}) GROUP BY 1"
+_P7_SEQUENCES = f"SELECT sum(n)::BIGINT AS tokens, true AS fits, true AS gapless, true AS near_bound FROM ({_TOKENS})"
+_P9_FOUND = f"SELECT DISTINCT doc_id FROM ({_TOKENS}) WHERE n > {LIMIT}"
+_P9_COVER = f"SELECT doc_id, n AS n_tokens, n AS covered, true AS fits, true AS overlaps, md5(text) AS digest FROM ({_TOKENS}) WHERE n > {LIMIT}"
 
 _UNKNOWN = ", ".join(f"'{u}'" for u in UNKNOWN)
 _KNOWN = lambda c: f"CASE WHEN lower(trim({c})) NOT IN ({_UNKNOWN}) THEN trim({c}) END"
@@ -91,4 +134,4 @@ s AS (SELECT g, count(*) AS n_records, {", ".join(map(_BEST, ("accessibility_fla
       CASE WHEN max(time) > -1e18::BIGINT THEN make_timestamp(max(time)) END AS latest FROM j GROUP BY g HAVING count(DISTINCT id) > 1)
 SELECT g AS canonical_address_id, n_records, accessibility_flag, building, staircase, pir_code, {", ".join(DESCRIPTION)}, geocoding_quality, point.latitude AS latitude, point.longitude AS longitude, latest, w.original_address_id AS whole_record_id
 FROM s LEFT JOIN ({_P6_FOUND}) w ON w.canonical_address_id = s.g"""
-ORACLE = {"p6_found": _P6_FOUND, "p6_records": _P6_RECORDS, "p6_survivors": _P6_SURVIVORS}
+ORACLE = {"p7_cover": _P7_COVER, "p7_sequences": _P7_SEQUENCES, "p9_found": _P9_FOUND, "p9_cover": _P9_COVER, "p6_found": _P6_FOUND, "p6_records": _P6_RECORDS, "p6_survivors": _P6_SURVIVORS}
