@@ -21,7 +21,7 @@ def quality_rank(c: Column) -> Column:
 
 
 def quality_of_osm(kind: Column, place_class: Column, rank: Column) -> Column:
-    """Quality of a map object by its kind, class and search rank (30 if missing)."""
+    """Quality of a map object by its kind, class and search rank (30 if missing). The names and ranks are fixed values."""
     r = F.coalesce(rank, F.lit(30))
     return (
         F.when((F.coalesce(kind, F.lit("")) == "house") | (r == 30), "exact")
@@ -31,7 +31,7 @@ def quality_of_osm(kind: Column, place_class: Column, rank: Column) -> Column:
 
 
 def quality_of_result_type(result_type: Column, house: Column, street: Column, city: Column) -> Column:
-    """Quality of a lookup service's answer by its result type, then by the fields it filled."""
+    """Quality of a lookup service's answer by its result type, then by the fields it filled. The names are fixed values."""
     return (
         F.when(result_type.isin("houseNumber", "place"), "exact").when(result_type.isin("street", "intersection"), "street")
         .when(result_type.isin("locality", "administrativeArea", "district", "postalCodePoint"), "settlement")
