@@ -37,6 +37,8 @@ STANDING_SHARE, STANDING_LEAST = 0.013, 4  # of different texts that carry it, a
 CHUNK_CHARS = 1_000_000
 SPAN = 1 << 32  # room for the difference of two word positions
 INDEX_BYTES = 64 << 20  # memory that the index of one pass may take in each Python worker
+MOST_PASSES = 4  # over the documents; with more items than they take, seeds are joined by a shuffle
+FILTER_BITS = 1 << 27  # of the filter that is sent to all tasks then
 WORD_BYTES = 72  # what the index holds for each word of an item, its filters included
 
 # Signs that character recognition takes for each other.
@@ -222,19 +224,24 @@ def candidates(items: Items, h: np.ndarray, begins: np.ndarray) -> Iterator[tupl
         d, i = divmod(g, n_items)
         lo, hi = begins[d], begins[d + 1]
         i0, i1 = items.begins[i], items.begins[i + 1]
-        shared = set(diag[x:y].tolist())
-        near = np.array(sorted({v + k for v in shared for k in range(-2, 3)}))
-        own = np.array([v in shared for v in near.tolist()])
-        ips = np.arange(i0, i1)
-        dps = ips[None, :] + near[:, None]
-        equal = np.zeros((len(near), len(ips) + 2), bool)
-        equal[:, 1:-1] = (dps >= lo) & (dps < hi) & (h.take(dps, mode="clip") == items.hashes[i0:i1])
-        row, start = np.nonzero(equal[:, 1:] & ~equal[:, :-1])
-        _, stop = np.nonzero(equal[:, :-1] & ~equal[:, 1:])
-        size = stop - start
-        keep = (size >= 3) | (own[row] & (size >= 2))
-        row, start, size = row[keep], start[keep], size[keep]
-        yield d, i, start.tolist(), (start + i0 + near[row] - lo).tolist(), size.tolist()
+        starts, places, sizes = runs_of(h[lo:hi], items.hashes[i0:i1], diag[x:y] - lo + i0)
+        yield d, i, starts, places, sizes
+
+
+def runs_of(text: np.ndarray, item: np.ndarray, diagonals: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """Runs of equal words of an item in a text on the given diagonals (place in the text less place in the item) and their neighbours: item places, text places, lengths."""
+    shared = set(diagonals.tolist())
+    near = np.array(sorted({v + k for v in shared for k in range(-2, 3)}))
+    own = np.array([v in shared for v in near.tolist()])
+    places = np.arange(len(item))[None, :] + near[:, None]
+    equal = np.zeros((len(near), len(item) + 2), bool)
+    equal[:, 1:-1] = (places >= 0) & (places < len(text)) & (text.take(places, mode="clip") == item)
+    row, start = np.nonzero(equal[:, 1:] & ~equal[:, :-1])
+    _, stop = np.nonzero(equal[:, :-1] & ~equal[:, 1:])
+    size = stop - start
+    keep = (size >= 3) | (own[row] & (size >= 2))
+    row, start, size = row[keep], start[keep], size[keep]
+    return start.tolist(), (start + near[row]).tolist(), size.tolist()
 
 
 def leaked_words(starts, places, sizes, standing: set[int], bridge: int = 3) -> tuple[int, int]:
@@ -318,10 +325,10 @@ def _foremost(states: list[tuple]) -> list[tuple]:
 
 
 def _row_schema(kind: str) -> str:
-    return f"copy long, doc {kind}, item int, starts array<int>, places array<long>, sizes array<int>, froms array<int>, tos array<int>"
+    return f"copy long, doc {kind}, item long, starts array<int>, places array<long>, sizes array<int>, froms array<int>, tos array<int>"
 
 
-def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, index_bytes: int = INDEX_BYTES, standing_share: float = STANDING_SHARE, standing_least: int = STANDING_LEAST) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", least_words: int = 25, index_bytes: int = INDEX_BYTES, standing_share: float = STANDING_SHARE, standing_least: int = STANDING_LEAST, most_passes: int = MOST_PASSES) -> DataFrame:
     """Documents that carry at least ``least_words`` words in a row of an item's own wording.
 
     Result: distinct rows of ``key``, ``item_key``, and ``words`` and ``changes`` of the longest stretch found.
@@ -332,28 +339,38 @@ def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     repeated documents give one row; empty tables give none. Other columns are not read. The items are
     gathered and sent to all tasks as an index of at most ``index_bytes``; what is more is taken in several passes
     over the documents, so that memory on the driver and in the workers stays bounded, however many items there
-    are. A pass takes an item word for each ``WORD_BYTES``.
+    are. A pass takes an item word for each ``WORD_BYTES``. If more than ``most_passes`` were needed, seeds of documents
+    and items are joined by a shuffle instead, which reads the documents twice, whatever the number of items.
     """
     tests = items.select(F.col(item_key).alias("k"), F.col(item_text).cast("string").alias("t")).where("k IS NOT NULL AND t IS NOT NULL").distinct()
     size = tests.agg(F.sum(F.regexp_count("t", F.lit(r"[\p{L}\p{N}]+")))).first()[0] or 0  # words
     passes = max(1, -(-int(size) * WORD_BYTES // index_bytes))
     kind = documents.schema[key].dataType.simpleString()
-    found, high = None, None
-    for p in range(passes):
-        part = tests.where(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == p).orderBy("k", "t").collect()
-        index = Items([r["k"] for r in part], [r["t"] for r in part])
-        shared = documents.sparkSession.sparkContext.broadcast(index)
-        cand = cut(_candidates_of(documents, shared, key, text, kind))
-        shared.destroy()  # the candidates are written down
-        if high is None:  # every pass has all texts
-            high = max(standing_least, standing_share * cand.select("copy").distinct().count())
-        one = _leaks_of(cand.where("item >= 0"), index.ids, kind, high, least_words)
-        found = one if found is None else found.unionByName(one)
     item_kind = items.schema[item_key].dataType.simpleString()
+    rows = documents.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).where("doc IS NOT NULL AND text IS NOT NULL")
+    limit = lambda copies_: max(standing_least, standing_share * copies_.select("copy").distinct().count())
+    if passes > most_passes:
+        numbered = cut(tests.withColumn("item", F.monotonically_increasing_id()))
+        seen, cand = _joined_candidates(rows, numbered, kind)
+        judged = _judged(cand, f"copy long, {_FOUND}", limit(seen), least_words)
+        found = judged.join(seen.select("copy", "doc"), "copy").join(numbered.select("item", F.col("k").alias("item_id")), "item")
+    else:
+        found, high = None, None
+        for p in range(passes):
+            part = tests.where(F.pmod(F.xxhash64("k", "t"), F.lit(passes)) == p).orderBy("k", "t").collect()
+            index = Items([r["k"] for r in part], [r["t"] for r in part])
+            shared = documents.sparkSession.sparkContext.broadcast(index)
+            cand = cut(_candidates_of(rows, shared, kind))
+            shared.destroy()  # the candidates are written down
+            if high is None:  # every pass has all texts
+                high = limit(cand)
+            names = documents.sparkSession.createDataFrame([(i, str(k)) for i, k in enumerate(index.ids)], "item long, item_id string")
+            one = _judged(cand.where("item >= 0"), f"doc {kind}, {_FOUND}", high, least_words).join(F.broadcast(names), "item")  # as many rows as items in this pass
+            found = one if found is None else found.unionByName(one)
     return found.select(F.col("doc").alias(key), F.col("item_id").cast(item_kind).alias(item_key), "words", "changes").groupBy(key, item_key).agg(F.max("words").alias("words"), F.min("changes").alias("changes"))
 
 
-def _candidates_of(documents: DataFrame, shared: Broadcast, key: str, text: str, kind: str) -> DataFrame:
+def _candidates_of(rows: DataFrame, shared: Broadcast, kind: str) -> DataFrame:
     """Rows of candidates, and a row with item -1 for each other text that has words."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,15 +393,99 @@ def _candidates_of(documents: DataFrame, shared: Broadcast, key: str, text: str,
                     d, it, s, p, z, a, e = zip(*rows)
                     ints = pa.list_(pa.int32())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([copy[k] for k in d], pa.int64()), keys.take(pa.array(np.array(d) + i)), pa.array(it, pa.int32()), pa.array(s, ints), pa.array(p, pa.list_(pa.int64())), pa.array(z, ints), pa.array(a, ints), pa.array(e, ints)],
+                        [pa.array([copy[k] for k in d], pa.int64()), keys.take(pa.array(np.array(d) + i)), pa.array(it, pa.int64()), pa.array(s, ints), pa.array(p, pa.list_(pa.int64())), pa.array(z, ints), pa.array(a, ints), pa.array(e, ints)],
                         names=["copy", "doc", "item", "starts", "places", "sizes", "froms", "tos"])
                 i = j
 
-    return documents.select(key, F.col(text).cast("string").alias("__text")).where(f"`{key}` IS NOT NULL AND __text IS NOT NULL").mapInArrow(search, _row_schema(kind))
+    return rows.mapInArrow(search, _row_schema(kind))
 
 
-def _leaks_of(cand: DataFrame, ids: list, kind: str, high: float, least_words: int) -> DataFrame:
-    spark = cand.sparkSession
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Keys and texts of batches, in chunks of bounded length."""
+    for b in batches:
+        column, i = b.column(1).to_pylist(), 0
+        while i < len(column):
+            j, total = i, 0
+            while j < len(column) and (j == i or total + len(column[j]) <= CHUNK_CHARS):
+                total += len(column[j])
+                j += 1
+            yield b.column(0).slice(i, j - i), column[i:j]
+            i = j
+
+
+def _joined_candidates(rows: DataFrame, numbered: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with the number of their text (``doc``, ``copy``), and candidates by ``copy``, from a join of seeds.
+
+    A filter of ``FILTER_BITS`` bits, made of the items' seeds, keeps back nearly all seeds of documents that no item has;
+    only what passes is moved. Texts of the same words count once from there on.
+    """
+
+    def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in _chunked(batches):
+            index = Items(list(range(len(texts))), texts)
+            owner = np.repeat(np.arange(len(texts)), np.diff(index.begins))
+            for m, (_, s, pos, _) in enumerate(index.tables):
+                own = owner[pos]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), m, np.int8)), pa.array(s.view(np.int64)), ids.take(pa.array(own)), pa.array((pos - index.begins[own]).astype(np.int32))], names=["mask", "seed", "item", "pos"])
+
+    held = cut(numbered.select("item", "t").mapInArrow(item_seeds, "mask tinyint, seed long, item long, pos int"))
+    place = F.pmod("seed", F.lit(FILTER_BITS))
+    parts = held.groupBy(F.expr(f"CAST(pmod(seed, {FILTER_BITS}) DIV 32768 AS INT)").alias("part")).agg(F.bitmap_construct_agg(place % 32768).alias("bits")).collect()  # FILTER_BITS / 8 bytes at most
+    bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
+    for r in parts:
+        bits[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bits.ravel())
+
+    def document_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for keys, texts in _chunked(batches):
+            h, begins = word_hashes(texts)
+            found = []
+            for m, mask in enumerate(MASKS):
+                s = seeds(h, mask)
+                at = (s.view(np.int64) % FILTER_BITS).astype(np.int64)
+                may = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                owner = np.searchsorted(begins, may, side="right") - 1
+                inside = may + len(mask) <= begins[owner + 1]
+                may, owner = may[inside], owner[inside]
+                found.append((owner, np.full(len(may), m, np.int8), s[may].view(np.int64), (may - begins[owner]).astype(np.int32)))
+            owner, mask_, seed, pos = (np.concatenate(x) for x in zip(*found))
+            order = np.argsort(owner, kind="stable")
+            offsets = pa.array(np.searchsorted(owner[order], np.arange(len(texts) + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (mask_, seed, pos)]
+            yield pa.RecordBatch.from_arrays([keys, pa.array(copies(h, begins), pa.int64()), *lists], names=["doc", "copy", "mask", "seed", "pos"])
+
+    seen = cut(rows.mapInArrow(document_seeds, f"doc {kind}, copy long, mask array<tinyint>, seed array<long>, pos array<int>").where("copy IS NOT NULL"))
+    shared.destroy()
+    asked = seen.select("copy", "doc", F.explode(F.arrays_zip("mask", "seed", "pos")).alias("s")).groupBy("copy", "s.mask", "s.seed", F.col("s.pos").alias("at")).agg(F.min("doc").alias("doc"))
+    hit = F.struct("mask", "pos", (F.col("at") - F.col("pos")).alias("diagonal"))
+    both = asked.join(held, ["mask", "seed"]).groupBy("copy", "item").agg(F.min("doc").alias("doc"), F.collect_set(hit).alias("hits")).where(F.size("hits") >= LEAST_HITS)
+    texts = both.join(rows, "doc").join(numbered.select("item", "t"), "item").select("copy", "item", "text", "t", F.col("hits.mask").alias("mask"), F.col("hits.pos").alias("pos"), F.col("hits.diagonal").alias("diagonal"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for copy, item, text, t, mask, pos, diagonal in zip(*(b[c] for c in b.columns)):
+                cover = np.unique(np.concatenate([pos[mask == m] + k for m, bits_ in enumerate(MASKS) for k, bit in enumerate(bits_) if bit == "1"]))
+                if len(cover) < LEAST_COVER:
+                    continue
+                h, begins = word_hashes([text])
+                if copies(h, begins)[0] != copy:
+                    continue  # another text under the same key
+                starts, places, sizes = runs_of(h, word_hashes([t])[0], diagonal)
+                out.append((copy, item, starts, places, sizes, *spans(starts, sizes)))
+            yield pd.DataFrame(out, columns=["copy", "item", "starts", "places", "sizes", "froms", "tos"])
+
+    schema = "copy long, item long, starts array<int>, places array<long>, sizes array<int>, froms array<int>, tos array<int>"
+    return seen, cut(texts.mapInPandas(compare, schema).dropDuplicates(["copy", "item"]))
+
+
+_FOUND = "item long, words int, changes int"
+
+
+def _judged(cand: DataFrame, schema: str, high: float, least_words: int) -> DataFrame:
+    """Candidates whose longest stretch without standing text is long enough; the first column of ``schema`` is passed on."""
+    owner = schema.split()[0]
     # How many different texts carry each word of an item within a long run: +1 where a run begins, -1 after it.
     long = cand.select("copy", "item", F.explode(F.arrays_zip("froms", "tos")).alias("r")).select("copy", "item", "r.froms", "r.tos").distinct()
     steps = long.select("item", F.explode(F.array(F.struct(F.col("froms").alias("at"), F.lit(1).alias("step")), F.struct(F.col("tos").alias("at"), F.lit(-1).alias("step")))).alias("s"))
@@ -398,9 +499,7 @@ def _leaks_of(cand: DataFrame, ids: list, kind: str, high: float, least_words: i
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = [leaked_words(s, p, z, set() if o is None else set(o.tolist())) for s, p, z, o in zip(b["starts"], b["places"], b["sizes"], b["standing"])]
-            out = pd.DataFrame({"doc": b["doc"], "item": b["item"], "words": [g[0] for g in got], "changes": [g[1] for g in got]})
+            out = pd.DataFrame({owner: b[owner], "item": b["item"], "words": [g[0] for g in got], "changes": [g[1] for g in got]})
             yield out[out["words"] >= least_words]
 
-    judged = cand.join(standing, "item", "left").mapInPandas(judge, f"doc {kind}, item int, words int, changes int")
-    names = spark.createDataFrame([(i, str(k)) for i, k in enumerate(ids)], "item int, item_id string")
-    return judged.join(F.broadcast(names), "item").select("doc", "item_id", "words", "changes")  # as many rows as items in this pass
+    return cand.join(standing, "item", "left").mapInPandas(judge, schema)

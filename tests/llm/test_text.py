@@ -190,6 +190,9 @@ def test_leaks(spark):
     got = {(r.doc_id, r.item_id) for r in leaks(d, b, standing_least=20).collect()}
     assert got == want
     assert {(r.doc_id, r.item_id) for r in leaks(d, b, index_bytes=72 * 120, standing_least=20).collect()} == want
+    whole = lambda **kw: {tuple(r) for r in leaks(d, b, standing_least=20, **kw).collect()}
+    assert whole() == whole(most_passes=0)
+    assert leaks(d.limit(0), b, most_passes=0).count() == 0
     assert leaks(d.limit(0), b).count() == 0 and leaks(d, b.limit(0)).count() == 0
 
 
@@ -224,6 +227,7 @@ def test_copies_do_not_make_standing_text(spark):
     assert {(r.doc_id, r.item_id) for r in leaks(d, b).collect()} == want
     # 20 of the 202 different texts carry it; of the 302 rows they would be less than the share.
     assert {(r.doc_id, r.item_id) for r in leaks(d, b, standing_share=0.09).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in leaks(d, b, most_passes=0).collect()} == want
     assert spans([3, 0, 40], [20, 15, 15]) == ([0, 40], [23, 55]) and spans([0], [5]) == ([], [])
 
 
