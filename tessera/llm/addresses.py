@@ -36,7 +36,7 @@ BLOCK = 4096  # forms of the sorted order that one task compares at a time
 
 # Street types and their ways of writing, without accents and case.
 TYPES = {
-    "utca": ["utca", "u", "utcza", "uca", "uta", "utc", "utcaja", "str"],
+    "utca": ["utca", "u", "utcza", "uca", "uta", "utc", "tca", "utcaja", "str"],
     "ut": ["ut", "utja"],
     "ter": ["ter", "tere", "t"],
     "koz": ["koz", "kz"],
@@ -137,9 +137,11 @@ def type_of(word: str) -> str | None:
     if w in TYPE_OF:
         return TYPE_OF[w]
     if len(w) >= 4:
-        near = {t for t in TYPES if len(t) >= 4 and one_error(w, t, 1) <= 1}
+        near = {t for x, t in TYPE_OF.items() if len(x) >= 4 and (x in TYPES or x[0] == w[0]) and one_error(w, x, 1) <= 1}
         return near.pop() if len(near) == 1 else None
-    return None
+    # Of a short word only two neighbours that have changed places are a slip; other errors make other words of it.
+    near = {t for x, t in TYPE_OF.items() if len(x) == 3 == len(w) and sorted(x) == sorted(w) and one_error(w, x, 1) == 1}
+    return near.pop() if len(near) == 1 else None
 
 
 @functools.lru_cache(CACHED)
@@ -260,11 +262,17 @@ def penalty(a: tuple, b: tuple) -> float:
         best = 9.0
         for size in (len(a[4]), len(a[4]) + 1, len(a[4]) - 1):
             left, right = b[1][: len(b[1]) - size], b[1][len(b[1]) - size :]
-            if b[2] and abs(len(left) - len(b[2])) > 1 or not left.startswith(a[3]) or not 2 <= len(left) <= 8:
+            if b[2] and abs(len(left) - len(b[2])) > 1 or not 2 <= len(left) <= 8:
                 continue
             d = one_error(a[4], right, 1)
-            if d <= 1:
-                best = min(best, cost + 0.5 + 2 * d)
+            if left.startswith(a[3]):
+                slips = d
+            elif len(a[3]) > 1 and a[3][0] == left[0] and min(one_error(a[3], left[:n], 1) for n in (len(a[3]) - 1, len(a[3]), len(a[3]) + 1)) <= 1:
+                slips = d + 1  # a slip in the abbreviation
+            else:
+                continue
+            if slips <= 1:
+                best = min(best, cost + 0.5 + 2 * slips)
         return best
     d = one_error(a[1], b[1], 1)
     if d == 0:

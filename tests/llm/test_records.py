@@ -72,6 +72,8 @@ def test_reading():
         p = read_address(*a)
         assert (p[1], *p[5:]) == want, a
     assert read_address("", "", "", "", "", "", "parts")[1] == ""
+    kinds = {"Bodza kzö": "koz", "Bodza tca": "utca", "utczaa Bodza": "utca", "Bodza téér": "ter", "Kere kRozszug": "", "Hármas kút": ""}
+    assert {k: read_address(k, "", "", "", "", "", "parts")[5] for k in kinds} == kinds
 
 
 def test_penalty():
@@ -79,6 +81,7 @@ def test_penalty():
     base = form("Kerek Gólyafok")
     assert penalty(base, base) == 0 and penalty(base, form("Kerek Gólyafok", "")) == 0.25
     assert penalty(base, form("K. Gólyafok")) == 0.5 and penalty(base, form("Kerek Golyafok")) == 0.5
+    assert penalty(base, form("Keer. Gólyafok")) == 2.5 and penalty(base, form("Keer. Gólayfok")) == 9 and penalty(base, form("Na. Gólyafok")) == 9
     assert penalty(base, form("Kerek Gólayfok")) == 2 and penalty(base, form("Nagy Gólyafok")) == 9 and penalty(base, form("Kerek Gólyafok", "tér")) == 9
 
 
