@@ -16,6 +16,7 @@ from tessera.operators.orphans import Reference, compress, expand, orphans
 from tessera.operators.proximity import cover, edges, even_odd, near_pairs, nearest, parse_polygon, regions_of
 from tessera.operators.rejects import STAGING_COLUMNS, parse_records, read_records, record_ends
 from tessera.operators.snapshots import keep_snapshots, kept_changes, snapshot_changes
+from tessera.session import WHITE, strip
 from tessera.operators.tables import add_column, check_input, columns_of, count_distinct_with_null, deterministic_sample, differences, keep_first, last_wins, merge_columns, parents, running_count, verify_counts, with_sequence
 
 D = lambda d, h=0: dt.datetime(2025, 7, d, h)
@@ -25,6 +26,12 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def test_strip(spark):
+    texts = ["a", " a ", "\u00a0Á\u3000", "\ufeffá b\x1c", "", " ", None, "ﬀ ", "中", " 中", "\x7fa", "\u200b"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    assert [r.y for r in df.select("i", strip("x").alias("y")).orderBy("i").collect()] == [x.strip(WHITE) if x is not None else None for x in texts]
+
+
 # References
 
 
