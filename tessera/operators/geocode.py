@@ -94,7 +94,7 @@ def interpolate(df: DataFrame, group: list[str], number: str, lat: str, lon: str
 
     At least two exact rows with a number are needed. Between two: linear by number. Above the last: 0.0001
     degrees a number on both axes. Below the first: its point. Rows with equal numbers go by ``row_id``.
-    Result: ``row_id``, ``new_latitude``, ``new_longitude``, ``new_source``.
+    Result: ``row_id``, ``new_latitude``, ``new_longitude``, ``new_source``, ``new_quality`` (``interpolated``).
     """
     exact = F.when((F.col(quality) == "exact") & F.col(number).isNotNull() & F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.struct(F.col(number).alias("n"), F.col(lat).alias("lat"), F.col(lon).alias("lon")))
     rows = df.where(F.col(number).isNotNull()).withColumn("__e", exact)
@@ -119,7 +119,7 @@ def interpolate(df: DataFrame, group: list[str], number: str, lat: str, lon: str
         F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), F.concat(F.lit("interpolated ("), F.col("lo.n").cast("string"), F.lit("-"), F.col("hi.n").cast("string"), F.lit(")")))
         .otherwise(F.concat(F.lit("extrapolated (nearest: "), F.coalesce("lo.n", "hi.n").cast("string"), F.lit(")")))
     )
-    return t.where("lo IS NOT NULL OR hi IS NOT NULL").select(row_id, axis("lat").alias("new_latitude"), axis("lon").alias("new_longitude"), source.alias("new_source"))
+    return t.where("lo IS NOT NULL OR hi IS NOT NULL").select(row_id, axis("lat").alias("new_latitude"), axis("lon").alias("new_longitude"), source.alias("new_source"), F.lit("interpolated").alias("new_quality"))
 
 
 TIERS = (0.85, 0.7)  # similarities at which the search for the best stops, if it has found one

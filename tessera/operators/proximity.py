@@ -237,6 +237,58 @@ def near_pairs(points: DataFrame, key: str, lat: str, lon: str, metres: float) -
     return apart.unionByName(same).distinct()
 
 
+def points_within(left: DataFrame, left_key: str, right: DataFrame, right_key: str, metres: float, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
+    """Left and right keys at most ``metres`` apart: distinct (``left_key``, ``right_key``).
+
+    Points are put into cells about ``metres`` high and wide; a right point is in one cell, a left point looks into the
+    cells that its disc may reach, some nine. Equal points are measured once. Points that are not usable or have no key
+    are left out, the date line and the poles need no care; empty tables give no rows. Keys are given as text.
+    """
+    a, b = (_places(df, key, lat, lon).distinct() for df, key in ((left, left_key), (right, right_key)))
+    reach = math.degrees(metres / EARTH_M) * 1.000001
+    rows = max(1, math.floor(180 / reach))
+    high = 180 / rows
+
+    def columns(row: Column) -> Column:
+        """Cells in a row: as wide as the reach where the row is narrowest in degrees, one cell near the poles."""
+        far = F.greatest(F.abs(row * high - 90), F.abs((row + 1) * high - 90)) + reach
+        return F.when(far >= 89.9, F.lit(1.0)).otherwise(F.greatest(F.lit(1.0), F.floor(F.lit(360.0) / F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.lit(math.radians(min(reach, 90.0)))) / F.cos(F.radians(far))))))))
+
+    row_of = lambda y: F.least(F.floor((y + 90) / high), F.lit(rows - 1))
+    col_of = lambda x, n: F.floor((x + 180) / 360 * n)
+    cell = lambda r, c, n: F.shiftleft(r.cast("long"), 32) + F.pmod(c, n).cast("long")
+    y, x = F.col("lat"), F.col("lon")
+    held = b.select("lat", "lon").distinct().withColumn("row", row_of(y)).withColumn("n", columns(F.col("row")))
+    held = held.select(F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), cell(F.col("row"), col_of(x, F.col("n")), F.col("n")).alias("cell"))
+    looks = []
+    for k in (-1, 0, 1):
+        r = row_of(y) + k
+        n = columns(r)
+        # A row has few cells near the poles; each is looked into once.
+        beside = F.array_distinct(F.array(*(cell(r, col_of(x, n) + d, n) for d in (-1, 0, 1))))
+        looks.append(F.when(r.between(0, rows - 1), beside).otherwise(F.array().cast("array<long>")))
+    probe = a.select("lat", "lon").distinct().select("lat", "lon", F.explode(F.concat(*looks)).alias("cell"))
+    links = probe.join(held, "cell").where(haversine_m(y, x, F.col("lat2"), F.col("lon2")) <= metres).select("lat", "lon", "lat2", "lon2")
+    one = a.withColumnRenamed("point_key", "left_key")
+    two = b.select(F.col("point_key").alias("right_key"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    return links.join(one, ["lat", "lon"]).join(two, ["lat2", "lon2"]).select("left_key", "right_key").distinct()
+
+
+def regions_overlap(regions: DataFrame, region: str, polygon: str) -> DataFrame:
+    """Pairs of regions (``a`` < ``b``) that have at least a cell in common that lies wholly within both.
+
+    Cells are about a fiftieth of a region wide at the finest; narrower overlaps, such as those of borders drawn unevenly,
+    do not count. Cells are joined to cells and to the larger ones around them; no two regions are held against each other.
+    """
+    cells = cut(region_cells(regions, region, polygon).where("lines IS NULL").select("cell", "region_id"))
+    levels = sorted(r[0] for r in cells.select(F.shiftright("cell", 48)).distinct().collect())  # some ten
+    level, row, column = F.shiftright("cell", 48), F.shiftright("cell", 24).bitwiseAND((1 << 24) - 1), F.col("cell").bitwiseAND((1 << 24) - 1)
+    around = [F.when(level >= lv, _cell(lv, F.call_function("shiftright", row, (level - lv).cast("int")), F.call_function("shiftright", column, (level - lv).cast("int")))) for lv in levels]
+    wider = cells.select(F.col("region_id").alias("x"), F.explode(F.array_compact(F.array(*around)) if around else F.array().cast("array<long>")).alias("cell")).distinct()
+    pairs = wider.join(cells.withColumnRenamed("region_id", "y"), "cell").where("x != y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 NEAREST_LEVELS = (3, 6, 9, 12, 15)  # cells of 360 / 2**level degrees that the search for the nearest goes down
 
 

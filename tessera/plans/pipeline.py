@@ -112,9 +112,8 @@ def geocoding(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     points = merged.select("canonical_address_id", "county_code", "settlement_name", "street_name", house_int("house").alias("number"), "latitude", "longitude", "quality")
     new = interpolate(points, ["county_code", "settlement_name", "street_name"], "number", "latitude", "longitude", "quality", "canonical_address_id")
     j = merged.join(new, "canonical_address_id", "left")
-    made = F.col("new_latitude").isNotNull()
     located = j.select(*(
-        {"latitude": F.coalesce("new_latitude", "latitude"), "longitude": F.coalesce("new_longitude", "longitude"), "source": F.coalesce("new_source", "source"), "quality": F.when(made, "interpolated").otherwise(F.col("quality"))}.get(c, F.col(c)).alias(c)
+        {"latitude": F.coalesce("new_latitude", "latitude"), "longitude": F.coalesce("new_longitude", "longitude"), "source": F.coalesce("new_source", "source"), "quality": F.coalesce("new_quality", "quality")}.get(c, F.col(c)).alias(c)
         for c in merged.columns))
     return {"geocoding_hit": hits, "geocoding_miss": cache_misses(t["canonical"].select("canonical_address_id"), cached, "canonical_address_id"), "located": located}
 

@@ -9,7 +9,7 @@ from tessera.functions import geo as G
 from tessera.functions.keys import md5_16, strict_cache_key, uuid3
 from tessera.functions.textops import export_score, house_int, plain_address, without_parentheses
 from tessera.operators.geocode import QUALITY_RANK, answer_place, best_fuzzy, better_wins, cache_hits, cache_misses, crowded_points, interpolate, quality_by_keyword, quality_of_osm, quality_of_result_type, quality_rank, station_places, wants_retry
-from tessera.operators.proximity import haversine_m, nearest, regions_of
+from tessera.operators.proximity import nearest, points_within, regions_of, regions_overlap
 from tessera.operators.rejects import STAGING_COLUMNS
 from tessera.operators.serve import canonical_export, canonical_with_lists, resolved_keys
 from tessera.operators.tables import deterministic_sample, differences, first_by, last_by, orphans_of, verify_counts
@@ -102,12 +102,12 @@ lo AS (SELECT s.id, arg_max(struct_pack(n := e.number, lat := e.lat, lon := e.lo
 hi AS (SELECT s.id, arg_min(struct_pack(n := e.number, lat := e.lat, lon := e.lon), (e.number, e.id)) AS hi FROM s JOIN e ON e.area = s.area AND e.street = s.street AND e.number > s.number GROUP BY 1)
 SELECT s.id, round(CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN lo.lat + (s.number - lo.n) / (hi.n - lo.n)::DOUBLE * (hi.lat - lo.lat) WHEN lo IS NOT NULL THEN lo.lat + 0.0001 * (s.number - lo.n) ELSE hi.lat END, 7) AS new_latitude,
   round(CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN lo.lon + (s.number - lo.n) / (hi.n - lo.n)::DOUBLE * (hi.lon - lo.lon) WHEN lo IS NOT NULL THEN lo.lon + 0.0001 * (s.number - lo.n) ELSE hi.lon END, 7) AS new_longitude,
-  CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN 'interpolated (' || lo.n || '-' || hi.n || ')' ELSE 'extrapolated (nearest: ' || coalesce(lo.n, hi.n) || ')' END AS new_source
+  CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN 'interpolated (' || lo.n || '-' || hi.n || ')' ELSE 'extrapolated (nearest: ' || coalesce(lo.n, hi.n) || ')' END AS new_source, 'interpolated' AS new_quality
 FROM s LEFT JOIN lo ON lo.id = s.id LEFT JOIN hi ON hi.id = s.id WHERE lo IS NOT NULL OR hi IS NOT NULL""")
 def street_interpolation(spark, sf):
     p = _street_points(spark, sf).where("street != ''")
     r = interpolate(p, ["area", "street"], "number", "lat", "lon", "quality", "id")
-    return r.select("id", F.round("new_latitude", 7).alias("new_latitude"), F.round("new_longitude", 7).alias("new_longitude"), "new_source")
+    return r.select("id", F.round("new_latitude", 7).alias("new_latitude"), F.round("new_longitude", 7).alias("new_longitude"), "new_source", "new_quality")
 
 
 _AREA = "county_code || '|' || settlement_name"
@@ -296,13 +296,16 @@ def haversine_nearest(spark, sf):
 
 @query(f"SELECT DISTINCT station, district FROM (SELECT a.id AS station, b.id AS district FROM (SELECT id, latitude AS y, longitude AS x FROM polling_station WHERE latitude IS NOT NULL AND longitude IS NOT NULL) a JOIN {_CENTERS} b ON {_HAV} <= 10000)")
 def radius_join(spark, sf):
-    """Stations within 10 km of a district's centre, by bands of latitude."""
-    band = 0.1
-    st = table(spark, sf, "polling_station").where("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col("id").alias("station"), F.col("latitude").alias("y1"), F.col("longitude").alias("x1")).withColumn("band", F.floor(F.col("y1") / band))
+    """Stations within 10 km of a district's centre."""
     p = F.split(F.trim("center"), r"\s+")
-    d = table(spark, sf, "national_individual_electoral_district").where(F.size(p) == 2).select(F.col("id").alias("district"), F.get(p, 0).try_cast("double").alias("y2"), F.get(p, 1).try_cast("double").alias("x2")).where("y2 IS NOT NULL")
-    d = d.withColumn("band", F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda k: F.floor(F.col("y2") / band) + k)))
-    return st.join(d, "band").where(haversine_m(F.col("y1"), F.col("x1"), F.col("y2"), F.col("x2")) <= 10000).select("station", "district").distinct()
+    d = table(spark, sf, "national_individual_electoral_district").where(F.size(p) == 2).select("id", F.get(p, 0).try_cast("double").alias("latitude"), F.get(p, 1).try_cast("double").alias("longitude"))
+    return points_within(table(spark, sf, "polling_station"), "id", d, "id", 10_000).select(F.col("left_key").alias("station"), F.col("right_key").alias("district"))
+
+
+@query()
+def district_overlaps(spark, sf):
+    """Districts that lie over each other."""
+    return regions_overlap(table(spark, sf, "national_individual_electoral_district"), "id", "polygon")
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract(props, '$.k') AS VARCHAR), '') AS k, coalesce(json_extract_string(props, '$.missing'), '') AS missing FROM events")

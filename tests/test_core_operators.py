@@ -13,7 +13,7 @@ from tessera.functions.textops import duration_text
 from tessera.operators.export import chosen_settlements, closed_subset
 from tessera.operators.geocode import answer_place, best_fuzzy, better_wins, interpolate, quality_by_keyword, station_places, wants_retry
 from tessera.operators.orphans import Reference, compress, expand, orphans
-from tessera.operators.proximity import cover, edges, even_odd, near_pairs, nearest, parse_polygon, regions_of
+from tessera.operators.proximity import cover, edges, even_odd, near_pairs, nearest, parse_polygon, points_within, regions_of, regions_overlap
 from tessera.operators.rejects import STAGING_COLUMNS, parse_records, read_records, record_ends
 from tessera.operators.snapshots import keep_snapshots, kept_changes, snapshot_changes
 from tessera.session import WHITE, strip
@@ -380,6 +380,31 @@ def test_nearest_against_brute_force(spark):
     assert nearest(df(a), "k", df(b).limit(0), "k").count() == 0
 
 
+def test_points_within_against_brute_force(spark):
+    r = random.Random(9)
+    base = [(47.0, 19.0), (0.0, 179.999), (89.95, 10.0), (-89.99, -100.0), (60.0, -180.0)]
+    spread = lambda n, name, s: [(f"{name}{i}", max(-90.0, min(90.0, base[i % 5][0] + r.uniform(-s, s))), (base[i % 5][1] + r.uniform(-s, s) / max(math.cos(math.radians(base[i % 5][0])), 1e-3) + 180) % 360 - 180) for i in range(n)]
+
+    def metres(p, q):
+        h = math.sin(math.radians(q[1] - p[1]) / 2) ** 2 + math.cos(math.radians(p[1])) * math.cos(math.radians(q[1])) * math.sin(math.radians(q[2] - p[2]) / 2) ** 2
+        return 2 * 6371000 * math.asin(min(1, math.sqrt(h)))
+
+    df = lambda x: spark.createDataFrame(x, "k string, latitude double, longitude double")
+    for size, limit in ((0.1, 5000.0), (3.0, 200_000.0)):
+        a, b = spread(150, "a", size), spread(150, "b", size)
+        b += [("same", b[0][1], b[0][2]), ("bad", 91.0, 0.0), ("none", None, 1.0)]
+        want = sorted((p[0], q[0]) for p in a for q in b if q[1] is not None and abs(q[1]) <= 90 and metres(p, q) <= limit)
+        assert len(want) > 100 and rows(points_within(df(a), "k", df(b), "k", limit)) == want
+    assert points_within(df(a), "k", df(b).limit(0), "k", 5.0).count() == 0
+
+
+def test_regions_overlap(spark):
+    square = lambda y, x, n: f"{y} {x},{y} {x + n},{y + n} {x + n},{y + n} {x}"
+    df = spark.createDataFrame([("a", square(1, 1, 4)), ("b", square(5, 1, 4)), ("c", square(3, 3, 4)), ("d", square(1.5, 1.5, 0.5)), ("e", None), ("a", square(1, 1, 4))], "id string, poly string")
+    assert rows(regions_overlap(df, "id", "poly")) == [("a", "c"), ("a", "d"), ("b", "c")]
+    assert rows(regions_overlap(df.limit(0), "id", "poly")) == []
+
+
 def test_retry_and_keywords(spark):
     one = lambda c: spark.range(1).select(c).first()[0]
     wants = lambda q, m: one(wants_retry(F.lit(q), F.lit(m)))
