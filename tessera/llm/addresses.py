@@ -413,6 +413,7 @@ def same_places(records: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in batches:
+            t = t.loc[~t.duplicated()]  # repeated rows of a batch
             memo: dict[tuple, tuple] = {}
             out = []
             for m, a, b, c, d, e, f in zip(*(t[x] for x in texts)):
@@ -427,11 +428,10 @@ def same_places(records: DataFrame) -> DataFrame:
     parsed = records.mapInPandas(read, schema).where("folded != ''")
     form_of = F.xxhash64("area", "accented", "abbreviation", "rest", "kind")
     parsed = cut(parsed.withColumn("form_id", form_of).withColumn("spot", F.concat_ws("/", "number", "unit", "stair")))
-    forms = parsed.groupBy("form_id").agg(
-        F.count_distinct("number").alias("support"),
-        *(F.min(c).alias(c) for c in ("area", "accented", "folded", "abbreviation", "rest", "kind")), F.max("head").alias("head"),
-    )
-    roots = resolve_streets(cut(forms), parsed.select("form_id", "number").distinct())
+    numbered = cut(parsed.select("form_id", "number").distinct())
+    own = ["form_id", "area", "accented", "folded", "abbreviation", "rest", "kind"]
+    forms = parsed.select(*own, "head").distinct().groupBy(*own).agg(F.max("head").alias("head")).join(numbered.groupBy("form_id").agg(F.count(F.lit(1)).alias("support")), "form_id")
+    roots = resolve_streets(cut(forms), numbered)
     options = roots.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("form_id")))
     joined = cut(parsed.select("kind_of_record", "id", "form_id", "number", "spot").join(options, "form_id"))
     sure = joined.where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
@@ -476,19 +476,18 @@ def address_records(staging: DataFrame, canonical: DataFrame, mapping: DataFrame
         staging.where(F.col("run_tag").isin(last))
         .select(F.lit("gate").alias("kind_of_record"), text("gate_code").alias("id"), area_of(F.col("county_code"), F.col("settlement_name")).alias("area"), F.lit("parts").alias("mode"),
                 text("street_name").alias("street"), text("street_type").alias("street_type"), text("house_number").alias("house"), text("building").alias("building"), text("staircase").alias("stairs"), none.alias("full"))
-        .where("id != ''").distinct()
+        .where("id != ''")
     )
     mapped = mapping.select(F.col("original_address_id").alias("id")).where("id IS NOT NULL").distinct().withColumn("is_mapped", F.lit(True))
     canon = (
         canonical.where("id IS NOT NULL").join(mapped, "id", "left")
         .select(F.when(F.col("is_mapped"), F.lit("mapped")).otherwise(F.lit("canonical")).alias("kind_of_record"), F.col("id").cast("string").alias("id"), area_of(F.col("county_code"), F.col("settlement_name")).alias("area"), F.lit("full").alias("mode"),
                 text("street_name").alias("street"), none.alias("street_type"), text("house_number").alias("house"), text("building").alias("building"), text("staircase").alias("stairs"), text("full_address").alias("full"))
-        .distinct()
     )
     station = stations.where("id IS NOT NULL").select(
         F.lit("station").alias("kind_of_record"), F.col("id").cast("string").alias("id"), F.concat(F.lit("station|"), F.lower(blank_to_empty("settlement_id"))).alias("area"), F.lit("station").alias("mode"),
         none.alias("street"), none.alias("street_type"), none.alias("house"), none.alias("building"), none.alias("stairs"), text("polling_station_address").alias("full"),
-    ).where("full != ''").distinct()
+    ).where("full != ''")
     return gate.unionByName(canon).unionByName(station)
 
 
