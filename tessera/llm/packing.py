@@ -24,7 +24,7 @@ from tessera.llm.tokens import tokenized
 from tessera.session import cut
 
 ITERATIONS = 3000  # at most; each is one filling found by dynamic programming
-STEP = 0.5  # part of a length's demand that one filling meets at most
+STEPS = (0.02, 0.5)  # part of a length's demand that one filling meets at most: the fewer lengths, the smaller
 GRID = 256  # steps of capacity in the dynamic program
 GROUP = 1 << 20  # pieces of one length that are ranked in one group
 
@@ -98,6 +98,7 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, iterations: in
     """
     weight = lengths / capacity
     grid = max(1, capacity // GRID)
+    step = min(max(2 * len(lengths) / iterations, STEPS[0]), STEPS[1])
     used: dict[bytes, list] = {}
     left = np.ones(len(lengths))  # share of each length's demand that is not met yet
     for _ in range(iterations):
@@ -109,16 +110,27 @@ def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, iterations: in
         held = a > 0
         top = share.max()
         # The length that this filling serves best gets this part of its demand, unless another's is met before.
-        amount = min(STEP / top, (left[held] / share[held]).min())
+        amount = min(step / top, (left[held] / share[held]).min())
         used.setdefault(a.tobytes(), [a, 0.0])[1] += amount
         left -= amount * share
         left[left < 1e-9] = 0
-        weight *= np.exp(-STEP * share / top)
+        weight *= np.exp(-step * share / top)
     return [(a, x) for a, x in used.values()]
 
 
 def plan(lengths: np.ndarray, demand: np.ndarray, capacity: int, iterations: int = ITERATIONS) -> list[tuple[dict[int, int], int]]:
-    """Whole fillings (count by length) and how often each is used; together they hold every piece exactly once. ``lengths`` ascend."""
+    """Whole fillings (count by length) and how often each is used; together they hold every piece exactly once. ``lengths`` ascend.
+
+    The program counts on lengths that fill sequences up together. Where they do not, as with few lengths of more than
+    half a sequence, best fit alone may need fewer sequences, and is taken then.
+    """
+    solved = sorted(solve(lengths, demand, capacity, iterations), key=lambda c: -c[1]) if len(lengths) else []
+    made = [_rounded(lengths, demand, capacity, iterations, x) for x in (solved, [])]
+    return min(made, key=lambda fillings: sum(times for _, times in fillings))
+
+
+def _rounded(lengths: np.ndarray, demand: np.ndarray, capacity: int, iterations: int, solved: list[tuple[np.ndarray, float]]) -> list[tuple[dict[int, int], int]]:
+    """Fillings rounded down, then of the rest those that leave next to no room, then best fit; without a solution best fit alone."""
     left = demand.astype(np.int64).copy()
     out: list[tuple[dict[int, int], int]] = []
 
@@ -129,11 +141,11 @@ def plan(lengths: np.ndarray, demand: np.ndarray, capacity: int, iterations: int
 
     if not len(lengths):
         return out
-    for a, x in sorted(solve(lengths, demand, capacity, iterations), key=lambda c: -c[1]):
+    for a, x in solved:
         held = a > 0
         use(a, min(int(x), int((left[held] // a[held]).min())))
     # Fillings of the lengths left, valued a little above their size, each used as often as the rest allows.
-    for _ in range(iterations):
+    for _ in range(iterations if solved else 0):
         if (left * lengths).sum() < 8 * capacity:
             break
         a = knapsack((lengths / capacity) ** 1.1, lengths, capacity, left, max(1, capacity // GRID))
