@@ -93,6 +93,20 @@ def test_split_documents(spark):
         split_documents(docs(spark), limit=10, overlap=10)
 
 
+def test_cuts_by_strength(spark):
+    sentence = "Egy rövid mondat áll itt. "
+    texts = {1: (sentence * 5 + "\n\n") * 60, 2: (sentence * 5 + "\n") * 60, 3: sentence * 300, 4: "szó " * 2000, 5: "a1" * 3000, 6: (sentence * 33 + "\n\n") + sentence * 200}
+    before = {}
+    for r in split_documents(docs(spark, list(texts.items())), limit=128, overlap=16).collect():
+        t = texts[r.doc_id]
+        if r.char_end < len(t):
+            end = t[: r.char_end]
+            kind = "paragraph" if t[r.char_end - 2 : r.char_end] == "\n\n" else "line" if end.endswith("\n") else "sentence" if end.rstrip().endswith(".") else "word" if t[r.char_end] == " " or end.endswith(" ") else "none"
+            before.setdefault(r.doc_id, []).append(kind)
+    assert {k: set(v) for k, v in before.items()} == {1: {"paragraph"}, 2: {"line"}, 3: {"sentence"}, 4: {"word"}, 5: {"none"}, 6: {"paragraph", "sentence"}}
+    assert before[6].count("paragraph") == 1
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=30))
 def test_plan_holds_everything_once(hist):
