@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tessera.session import blank_to_empty, open_path, shared_folder
 
 ROWS = 1 << 16  # rows that are held of each file at a time
+RANGE_ROWS = 1 << 20  # rows of all snapshots in one range
 SAMPLED = 1 << 17  # keys that the borders of the ranges are drawn from, at most
 
 
@@ -45,9 +46,10 @@ def content_digest(values: list[Column]) -> Column:
     return F.unhex(F.md5(F.concat_ws("", *(x for v in values for x in (F.length(v).cast("string"), F.lit(":"), v)))))
 
 
-def range_borders(keys: DataFrame, ranges: int) -> tuple[str, ...]:
-    """Borders of about equally filled ranges of the first column, from a sample whose size is bounded."""
+def range_borders(keys: DataFrame, ranges: int | None = None) -> tuple[str, ...]:
+    """Borders of about equally filled ranges of the first column, from a sample whose size is bounded; as many ranges as the keys fill, and one for each core at least."""
     n = keys.count()
+    ranges = ranges or max(1, keys.sparkSession.sparkContext.defaultParallelism, -(-n // RANGE_ROWS))
     share = min(1.0, SAMPLED / 2 / max(n, 1))
     drawn = np.array(sorted({r[0] for r in (keys if share == 1 else keys.sample(share, 17)).limit(SAMPLED).collect()}, key=lambda k: k.encode()), object)
     at = [len(drawn) * i // ranges for i in range(1, ranges)]
@@ -67,8 +69,7 @@ def keep_snapshots(df: DataFrame, snapshot: str, key: str, columns: list[str], o
     tidy_key, tag = blank_to_empty(F.col(key).cast("string")), blank_to_empty(F.col(snapshot).cast("string"))
     rows = df.where((tidy_key != "") & (tag != ""))
     if kept is None:
-        n = ranges or max(1, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        kept = Kept(posixpath.join(shared_folder(spark), f"snapshots-{uuid.uuid4().hex}"), tuple(columns), range_borders(rows.select(tidy_key.alias("k")), n), {})
+        kept = Kept(posixpath.join(shared_folder(spark), f"snapshots-{uuid.uuid4().hex}"), tuple(columns), range_borders(rows.select(tidy_key.alias("k")), ranges), {})
     values = [blank_to_empty(F.col(c).cast("string")) for c in columns]
     content = [v.alias(f"c{i}") for i, v in enumerate(values)] if exact_columns else [content_digest(values).alias("c0")]
     orders = [f"o{i}" for i in range(len(order))]
