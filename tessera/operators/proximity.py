@@ -136,7 +136,8 @@ def region_cells(regions: DataFrame, region: str, polygon: str) -> DataFrame:
                 yield pd.DataFrame(out, columns=["cell", "region_id", "lines", "odd", "changes"])
 
     shapes = regions.select(F.col(region).cast("string").alias("region_id"), F.col(polygon).cast("string").alias("polygon")).where("region_id IS NOT NULL AND polygon IS NOT NULL").distinct()
-    return shapes.mapInPandas(covers, "cell long, region_id string, lines array<array<double>>, odd boolean, changes array<double>")
+    # Few bytes, but much work: they are not put together into few tasks.
+    return shapes.repartition(regions.sparkSession.sparkContext.defaultParallelism).mapInPandas(covers, "cell long, region_id string, lines array<array<double>>, odd boolean, changes array<double>")
 
 
 def regions_of(points: DataFrame, regions: DataFrame, key: str, lat: str, lon: str, region: str, polygon: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
