@@ -122,7 +122,7 @@ def interpolate(df: DataFrame, group: list[str], number: str, lat: str, lon: str
     return t.where("lo IS NOT NULL OR hi IS NOT NULL").select(row_id, axis("lat").alias("new_latitude"), axis("lon").alias("new_longitude"), source.alias("new_source"), F.lit("interpolated").alias("new_quality"))
 
 
-TIERS = (0.85, 0.7)  # similarities at which the search for the best stops, if it has found one
+TIERS = (0.8,)  # similarities at which the search for the best stops, if it has found one
 # Letters from rare to common, for the order of tokens; it has a say in the number of candidates only.
 COMMON = "qxwyjfpuhcvbdgzmisoknrlate"
 
@@ -143,12 +143,16 @@ def best_fuzzy(left: DataFrame, right: DataFrame, block: str, left_text: str, ri
 
     The texts of a block are compared once each: equal texts are collapsed to their smallest id first. Texts are not
     held against all of their block: they meet if they share a rare letter and are about as long as each other,
-    which no two similar texts miss. Texts that have a very similar partner are done before looser similarities are looked for.
+    which no two similar texts miss. Texts that have an equal partner, and then those that have a very similar one, are done
+    before looser similarities are looked for.
     """
     raw = lambda c: F.decode(F.encode(F.lower(c), "UTF-8"), "ISO-8859-1")
     a = left.select(F.col(block).alias("__block"), F.col(left_id).alias("left_id"), F.col(left_text).alias("__a"))
     b = right.groupBy(F.col(block).alias("__block"), F.col(right_text).alias("__b")).agg(F.min(right_id).alias("right_id")).where("__b IS NOT NULL")
-    todo, found = a.where("__a IS NOT NULL").select("__block", "__a").distinct(), None
+    todo = a.where("__a IS NOT NULL").select("__block", "__a").distinct()
+    equal = todo.where("__a != ''").withColumn("__l", F.lower("__a")).join(b.select("__block", F.lower("__b").alias("__l"), "right_id"), ["__block", "__l"])
+    found = cut(equal.groupBy("__block", "__a").agg(F.min(F.struct(F.lit(-1.0).alias("s"), "right_id")).alias("m")))
+    todo = todo.join(found, ["__block", "__a"], "left_anti")
     for tier in [t for t in TIERS if t > least] + [least]:
         one = todo.withColumn("token", F.explode(_rare_tokens(raw(F.col("__a")), tier)))
         two = b.withColumn("token", F.explode(_rare_tokens(raw(F.col("__b")), tier)))
@@ -156,10 +160,10 @@ def best_fuzzy(left: DataFrame, right: DataFrame, block: str, left_text: str, ri
         close = F.least(F.length(raw(F.col("__a"))), F.length(raw(F.col("__b")))) >= longest * tier - 1e-9
         pairs = one.join(two, ["__block", "token"]).where(close).drop("token").distinct().withColumn("similarity", byte_similarity(F.col("__a"), F.col("__b"))).where(F.col("similarity") >= tier)
         best = pairs.groupBy("__block", "__a").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "right_id")).alias("m"))
-        found = best if found is None else found.unionByName(best)
         if tier != least:
-            found = cut(found)
-            todo = todo.join(found, ["__block", "__a"], "left_anti")
+            best = cut(best)
+            todo = todo.join(best, ["__block", "__a"], "left_anti")
+        found = found.unionByName(best)
     return a.join(found, ["__block", "__a"]).select("left_id", F.col("m.right_id").alias("right_id"), (-F.col("m.s")).alias("similarity"))
 
 
