@@ -20,7 +20,8 @@ def address_facts(staging: DataFrame, row_id: str = "row_id", order: tuple[str,
 
     ``original_order`` numbers the rows through, ``sequence`` within chunks of them. Keys of blank parts are null.
     """
-    numbered = with_sequence(staging, list(order), "original_order").withColumn("sequence", (F.col("original_order") - 1) % chunk + 1)
+    parts = ["county_code", "settlement_code", "oevk_code", "tevk_code", "postal_code", "street_name", "street_type", "house_number", "building", "staircase", "polling_station_address"]
+    numbered = with_sequence(staging.select(*dict.fromkeys([row_id, *order, *parts])), list(order), "original_order").withColumn("sequence", (F.col("original_order") - 1) % chunk + 1)
     t = lambda c: F.trim(F.coalesce(c, F.lit("")))
     given = lambda c, key: F.when(t(c) != "", key)
     county, settlement, oevk, tevk = t("county_code"), t("settlement_code"), t("oevk_code"), F.coalesce(F.nullif(t("tevk_code"), F.lit("")), F.lit("-"))

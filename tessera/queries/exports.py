@@ -57,9 +57,9 @@ settlement AS (SELECT trim(county_code) AS county_code, trim(settlement_code) AS
 def made(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The tables that the exports are made of, from the staging table; what several of them need is written down once."""
     staging = table(spark, sf, "staging_korzet")
-    keyed = with_canonical_id(staging)
-    addresses = cut(address_facts(staging))
-    mapping = cut(keyed.select(F.col("row_id").cast("string").alias("original_address_id"), "canonical_address_id"))
+    keyed = cut(with_canonical_id(staging).select("row_id", "canonical_address_id", "county_code", "settlement_name", "street_name", "house", "bldg", "stairs", "full_address", "accessible"))
+    addresses = address_facts(staging)
+    mapping = keyed.select(F.col("row_id").cast("string").alias("original_address_id"), "canonical_address_id")
     s = staging.select(*(F.trim(c).alias(c) for c in ("county_code", "county_name", "settlement_code", "settlement_name")))
     county = s.where("county_code != ''").groupBy("county_code").agg(F.max("county_name").alias("county_name")).withColumn("id", md5_16("county_code"))
     settlement = s.where("settlement_code != ''").groupBy("county_code", "settlement_code").agg(F.max("settlement_name").alias("settlement_name"))
