@@ -101,21 +101,21 @@ def geocoding(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     records, whose addresses give the ids of this run.
     """
     best = lambda df, *more: first_by(df, ["canonical_address_id"], [quality_rank(F.col("quality")).desc(), *map(F.asc, (*more, "latitude", "longitude", "quality"))])
-    earlier = _by_address(t["earlier"])
+    earlier = cut(_by_address(t["earlier"]))
     ids = earlier.select(F.col("id").alias("canonical_address_id"), F.col("canonical_address_id").alias("now")).distinct()
     cached = t["cache"].select("canonical_address_id", "cache_key", "latitude", "longitude", "quality").join(ids, "canonical_address_id").drop("canonical_address_id").withColumnRenamed("now", "canonical_address_id")
-    cached = best(cached.where("latitude IS NOT NULL AND longitude IS NOT NULL"), "cache_key")
+    cached = cut(best(cached.where("latitude IS NOT NULL AND longitude IS NOT NULL"), "cache_key"))
     old = t["canonical"].join(best(earlier).select("canonical_address_id", "latitude", "longitude", "quality"), "canonical_address_id", "left")
     old = old.withColumn("quality", F.coalesce("quality", F.lit("failed"))).withColumn("source", F.when(F.col("latitude").isNotNull(), "earlier"))
     hits = cache_hits(t["canonical"].select("canonical_address_id"), cached, "canonical_address_id")
-    merged = better_wins(old, hits, "canonical_address_id", ["latitude", "longitude", "source"])
+    merged = cut(better_wins(old, hits, "canonical_address_id", ["latitude", "longitude", "source"]))
     points = merged.select("canonical_address_id", "county_code", "settlement_name", "street_name", house_int("house").alias("number"), "latitude", "longitude", "quality")
     new = interpolate(points, ["county_code", "settlement_name", "street_name"], "number", "latitude", "longitude", "quality", "canonical_address_id")
     j = merged.join(new, "canonical_address_id", "left")
     located = j.select(*(
         {"latitude": F.coalesce("new_latitude", "latitude"), "longitude": F.coalesce("new_longitude", "longitude"), "source": F.coalesce("new_source", "source"), "quality": F.coalesce("new_quality", "quality")}.get(c, F.col(c)).alias(c)
         for c in merged.columns))
-    return {"geocoding_hit": hits, "geocoding_miss": cache_misses(t["canonical"].select("canonical_address_id"), cached, "canonical_address_id"), "located": located}
+    return {"geocoding_hit": hits, "geocoding_miss": cache_misses(t["canonical"].select("canonical_address_id"), cached, "canonical_address_id"), "located": cut(located)}
 
 
 def export(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -136,7 +136,7 @@ def whole_run(staging: DataFrame, earlier: DataFrame, cache: DataFrame, count: b
     """Staging, earlier canonical records and their geocoding cache to all derived tables and those to be exported.
 
     The canonical ids of the rows and the canonical addresses, which most other tables are made of, are written down
-    once; all else is lazy, unless ``count``.
+    once, and so is what geocoding uses more than once; all else is lazy, unless ``count``.
     """
     kept = ["row_id", "canonical_address_id", "polling_station_code", "postal_code", "county_code", "settlement_name", "street_name", "house", "bldg", "stairs", "full_address", "accessible"]
     links = cut(with_canonical_id(staging).select(*kept))
