@@ -149,7 +149,7 @@ def best_fuzzy(left: DataFrame, right: DataFrame, block: str, left_text: str, ri
     raw = lambda c: F.decode(F.encode(F.lower(c), "UTF-8"), "ISO-8859-1")
     a = left.select(F.col(block).alias("__block"), F.col(left_id).alias("left_id"), F.col(left_text).alias("__a"))
     b = right.groupBy(F.col(block).alias("__block"), F.col(right_text).alias("__b")).agg(F.min(right_id).alias("right_id")).where("__b IS NOT NULL")
-    todo = a.where("__a IS NOT NULL").select("__block", "__a").distinct()
+    b, todo = cut(b), cut(a.where("__a IS NOT NULL").select("__block", "__a").distinct())
     equal = todo.where("__a != ''").withColumn("__l", F.lower("__a")).join(b.select("__block", F.lower("__b").alias("__l"), "right_id"), ["__block", "__l"])
     found = cut(equal.groupBy("__block", "__a").agg(F.min(F.struct(F.lit(-1.0).alias("s"), "right_id")).alias("m")))
     todo = todo.join(found, ["__block", "__a"], "left_anti")
