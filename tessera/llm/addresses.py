@@ -302,7 +302,7 @@ def neighbours(forms: DataFrame, numbered: DataFrame, window: int = WINDOW, anch
     anchor = (F.col("support") >= ANCHOR_SUPPORT) & ~short & (F.col("kind") != "")
     light = ["form_id", F.when(F.col("kind") != "", F.xxhash64("kind")).otherwise(F.lit(0)).alias("kind"), short.alias("short")]
     by_name = forms.select("area", *light, anchor.alias("anchor"), F.explode(orders).alias("o")).select(F.xxhash64("area", "o.pass").alias("list"), "form_id", "kind", "short", "anchor", "o.sort_key")
-    by_number = numbered.where("number != ''").join(forms, "form_id").select(F.xxhash64("area", F.lit(3), "number").alias("list"), *light, F.lit(False).alias("anchor"), F.col("folded").alias("sort_key"))
+    by_number = numbered.where("number != ''").join(forms.hint("merge"), "form_id").select(F.xxhash64("area", F.lit(3), "number").alias("list"), *light, F.lit(False).alias("anchor"), F.col("folded").alias("sort_key"))
     order = ["list", "sort_key", "form_id"]
     ordered = cut(by_name.unionByName(by_number).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()))
     # Places in the whole order, from those in each partition; one row for each partition is broadcast.
@@ -317,7 +317,7 @@ def neighbours(forms: DataFrame, numbered: DataFrame, window: int = WINDOW, anch
     stay = placed.where("anchor").withColumn("at", F.row_number().over(Window.partitionBy("block").orderBy("n"))).join(total.select("block", "first_at"), "block")
     stay = stay.withColumn("at", F.col("at") + F.col("first_at")).drop("first_at", "block")
     asked = total.select("block", F.explode(F.concat(F.sequence(F.col("first_at") - anchors + 1, F.col("first_at")), F.sequence(F.col("first_at") + F.col("k") + 1, F.col("first_at") + F.col("k") + anchors))).alias("at"))
-    visit = stay.join(asked, "at").withColumn("guest", F.lit(2)).drop("at")
+    visit = stay.join(asked.hint("merge"), "at").withColumn("guest", F.lit(2)).drop("at")
     columns = ["block", "n", "list", "form_id", "kind", "short", "anchor", "sort_key", "guest"]
     rows = own.select(*columns).unionByName(ahead.select(*columns)).unionByName(visit.select(*columns))
 
@@ -333,7 +333,7 @@ def neighbours(forms: DataFrame, numbered: DataFrame, window: int = WINDOW, anch
             yield t.loc[t["cost"] < 9, ["a", "b", "cost"]]
 
     side = lambda x, key: forms.select(F.col("form_id").alias(key), F.col("area").alias(f"{x}_area"), *(F.col(p).alias(f"{x}_{p}") for p in FORM))
-    both = pairs.join(side("x", "a"), "a").join(side("y", "b"), "b").where("x_area = y_area")
+    both = pairs.join(side("x", "a").hint("merge"), "a").join(side("y", "b").hint("merge"), "b").where("x_area = y_area")
     scored = cut(both.select("a", "b", *(f"{x}_{p}" for x in "xy" for p in FORM)).mapInPandas(score, "a long, b long, cost double"))
     return scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "cost"))
 
@@ -389,17 +389,18 @@ def resolve_streets(forms: DataFrame, numbered: DataFrame) -> DataFrame:
     near = neighbours(forms, numbered)
     ra = rank.select(F.col("form_id").alias("a"), F.col("support").alias("sa"), F.col("rank").alias("ra"))
     rb = rank.select(F.col("form_id").alias("b"), F.col("support").alias("sb"), F.col("rank").alias("rb"))
-    edges = near.join(ra, "a").join(rb, "b")
+    # These tables grow with the data: they are small in their files, so a guess by file size would send them to all tasks.
+    edges = near.join(ra.hint("merge"), "a").join(rb.hint("merge"), "b")
     slip = F.col("cost") >= 1.5
     up = edges.where((F.col("ra") < F.col("rb")) & (~slip | (F.col("sa") <= F.greatest(F.lit(2), F.col("sb") / 8))))
     best = cut(up.withColumn("least", F.min("cost").over(Window.partitionBy("a"))).where("cost <= least + 0.01").select("a", "b").distinct())
     # Variants of variants are led to their roots, each step twice as far, until none has a way to go.
     while True:
-        further = best.join(best.select(F.col("a").alias("b"), F.col("b").alias("c")), "b", "left")
+        further = best.join(best.select(F.col("a").alias("b"), F.col("b").alias("c")).hint("merge"), "b", "left")
         if further.where("c IS NOT NULL").isEmpty():
             break
         best = cut(further.select("a", F.coalesce("c", "b").alias("b")).distinct())
-    return forms.select("form_id").join(best.withColumnRenamed("a", "form_id"), "form_id", "left").select("form_id", F.coalesce("b", "form_id").alias("root"))
+    return forms.select("form_id").join(best.withColumnRenamed("a", "form_id").hint("merge"), "form_id", "left").select("form_id", F.coalesce("b", "form_id").alias("root"))
 
 
 def same_places(records: DataFrame) -> DataFrame:
@@ -433,16 +434,16 @@ def same_places(records: DataFrame) -> DataFrame:
     forms = parsed.select(*own, "head").distinct().groupBy(*own).agg(F.max("head").alias("head")).join(numbered.groupBy("form_id").agg(F.count(F.lit(1)).alias("support")), "form_id")
     roots = resolve_streets(cut(forms), numbered)
     options = roots.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("form_id")))
-    joined = cut(parsed.select("kind_of_record", "id", "form_id", "number", "spot").join(options, "form_id"))
+    joined = cut(parsed.select("kind_of_record", "id", "form_id", "number", "spot").join(options.hint("merge"), "form_id"))
     sure = joined.where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
     # With several streets to choose from, the one that has such a place decides, if it is the only one.
     places = sure.where("number != ''").select("root", "spot").distinct()
-    open_ = joined.where("n > 1 AND number != ''").join(places, ["root", "spot"], "left_semi")
+    open_ = joined.where("n > 1 AND number != ''").join(places.hint("merge"), ["root", "spot"], "left_semi")
     told = open_.groupBy("kind_of_record", "id", "number", "spot").agg(F.min("root").alias("root"), F.count_distinct("root").alias("n")).where("n = 1").select("kind_of_record", "id", "root", "number", "spot")
     known = cut(sure.unionByName(told))
     # A number left out: the street's only place, within records of that kind; of several none can be meant.
     ends = known.where("number != ''").groupBy("kind_of_record", "root").agg(F.min("spot").alias("low"), F.max("spot").alias("high"))
-    bare = known.where("number = ''").join(ends, ["kind_of_record", "root"], "left").where("low IS NULL OR low = high").withColumn("spot", F.coalesce("low", F.lit("")))
+    bare = known.where("number = ''").join(ends.hint("merge"), ["kind_of_record", "root"], "left").where("low IS NULL OR low = high").withColumn("spot", F.coalesce("low", F.lit("")))
     every = known.where("number != ''").select("kind_of_record", "id", "root", "spot").unionByName(bare.select("kind_of_record", "id", "root", "spot"))
     return cut(every.select("kind_of_record", "id", F.xxhash64("root", "spot").alias("place")).distinct())
 
